@@ -50,11 +50,11 @@ def decision_counts(spark, sf_dir):
 
 
 MARGINS = {
-    "m": """SELECT *, positive - 0.02 AS tm, positive - negative AS tg, overlay - clean AS od,
-      0.06 - (overlay - clean) AS og, coalesce(overlay - clean > 0.06, false) OR flagged AS of_,
-      coalesce(positive < 0.02, false) AS tf, coalesce(positive <= negative, false) AS nf
+    "m": """SELECT *, positive - 0.0025 AS tm, positive - negative AS tg, overlay - clean AS od,
+      0.01 - (overlay - clean) AS og, coalesce(overlay - clean > 0.01, false) OR flagged AS of_,
+      coalesce(positive < 0.0025, false) AS tf, coalesce(positive <= negative, false) AS nf
       FROM decisions""",
-    "k": """SELECT *, NOT of_ AND coalesce(positive >= 0.02 AND positive > negative, false) AS kr FROM m""",
+    "k": """SELECT *, NOT of_ AND coalesce(positive >= 0.0025 AND positive > negative, false) AS kr FROM m""",
     "dist": """SELECT *, CASE WHEN kr THEN least(tm, tg, og)
        ELSE greatest(CASE WHEN of_ THEN -og END, CASE WHEN tf THEN -tm END, CASE WHEN nf THEN -tg END) END AS dd
        FROM k""",
@@ -62,7 +62,7 @@ MARGINS = {
       round(od,6) AS overlay_delta, round(og,6) AS overlay_margin_gap, of_ AS overlay_fail,
       tf AS threshold_fail, nf AS negative_fail, kr AS kept_by_rule,
       CASE WHEN of_ THEN 'overlay_margin'
-           WHEN tf AND nf THEN CASE WHEN negative - positive >= 0.02 - positive
+           WHEN tf AND nf THEN CASE WHEN negative - positive >= 0.0025 - positive
                 THEN 'target_vs_negative' ELSE 'target_threshold' END
            WHEN tf THEN 'target_threshold' WHEN nf THEN 'target_vs_negative'
            ELSE 'unknown' END AS rejection_mode,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spark_curate.functions import vectors as V
 from spark_curate.operators import labeling, scoring
 
-THRESHOLDS = scoring.Thresholds(threshold=0.02, overlay_margin=0.06)
+THRESHOLDS = scoring.Thresholds(threshold=0.0025, overlay_margin=0.01)
 CATEGORIES = ("grain", "hue")
 DUP_BITS = 20
 
@@ -178,18 +178,18 @@ CTES: dict[str, str] = {
     "scores": """SELECT image, label,
       max(CASE WHEN g='positive' THEN s END) AS positive, max(CASE WHEN g='negative' THEN s END) AS negative,
       max(CASE WHEN g='overlay' THEN s END) AS overlay, max(CASE WHEN g='clean' THEN s END) AS clean
-      FROM (SELECT image, label, g, round(list_dot_product(embedding, vec), 6) AS s
+      FROM (SELECT image, label, g, round(list_dot_product(embedding, vec), 6) + 0.0 AS s
             FROM items, group_vecs) GROUP BY image, label""",
-    "reasons": """SELECT *, overlay - clean > 0.06 AS flagged,
-      CASE WHEN overlay - clean > 0.06 THEN 'overlay'
-           WHEN positive >= 0.02 AND positive > negative THEN 'passed' ELSE 'low_score' END AS reason
+    "reasons": """SELECT *, overlay - clean > 0.01 AS flagged,
+      CASE WHEN overlay - clean > 0.01 THEN 'overlay'
+           WHEN positive >= 0.0025 AND positive > negative THEN 'passed' ELSE 'low_score' END AS reason
       FROM scores""",
     "decisions": """SELECT image, CASE WHEN reason='overlay' THEN NULL ELSE positive END AS positive,
       CASE WHEN reason='overlay' THEN NULL ELSE negative END AS negative, overlay, clean, flagged,
       reason='passed' AS kept, reason FROM reasons""",
     "label_scores": """SELECT image, category, v.label AS label, label_ord,
       list_dot_product(embedding, vec) AS score FROM items, label_vecs v""",
-    "ranked": """SELECT image, category, label, round(score, 4) AS score,
+    "ranked": """SELECT image, category, label, round(score, 4) + 0.0 AS score,
       row_number() OVER (PARTITION BY image, category ORDER BY round(score, 4) DESC, label_ord) AS rn
       FROM label_scores""",
     "labels_out": """SELECT image, category, max(CASE WHEN rn=1 THEN label END) AS assigned,

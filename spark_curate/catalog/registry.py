@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spark_curate.catalog import filtering
+from spark_curate.catalog import evaluating, filtering
 
-MODULES = (filtering,)
+MODULES = (filtering, evaluating)
 
 
 def queries():
