@@ -179,7 +179,7 @@ def removed_names(spark, sf_dir):
 )
 def removed_by_difference(spark, sf_dir):
     everything = I.items(spark, sf_dir)
-    none = everything.limit(0).select(
+    none = everything.where(F.lit(False)).select(
         F.col("image").alias("duplicate_of"), F.array("image").alias("removed")
     )
     return dedup.removed_names(none, everything, I.decisions(spark, sf_dir).where("kept"))

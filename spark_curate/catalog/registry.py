@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spark_curate.catalog import evaluating, filtering
+from spark_curate.catalog import collecting, deduping, evaluating, filtering
 
-MODULES = (filtering, evaluating)
+MODULES = (filtering, evaluating, deduping, collecting)
 
 
 def queries():

@@ -77,18 +77,19 @@ def bands(phash: Column, plan: BandPlan) -> Column:
 def probes(phash: Column, plan: BandPlan) -> Column:
     """Array of (band, value) with every value within the radius of each band."""
     per_band = [
-        F.transform(
-            F.lit(plan.masks(width)).cast("array<bigint>"),
-            lambda m, i=i, shift=shift, width=width: F.struct(
-                F.lit(i).alias("band"),
-                band_value(phash, shift, width).bitwiseXOR(m).alias("value"),
-            ),
-        )
+        _around(band_value(phash, shift, width), i, plan.masks(width))
         for i, (shift, width) in enumerate(plan.bands)
     ]
     return per_band[0] if len(per_band) == 1 else F.concat(*per_band)
 
 
+def _around(value: Column, band: int, masks: list[int]) -> Column:
+    return F.transform(
+        F.array(*[F.lit(m).cast("bigint") for m in masks]),
+        lambda m: F.struct(F.lit(band).alias("band"), value.bitwiseXOR(m).alias("value")),
+    )
+
+
 def first_matching_band(a: Column, b: Column, plan: BandPlan) -> Column:
     """Lowest band in which the two hashes differ by at most the radius.
 
