@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spark_curate.catalog import collecting, deduping, evaluating, filtering
+from spark_curate.catalog import collecting, deduping, evaluating, filtering, reviewing
 
-MODULES = (filtering, evaluating, deduping, collecting)
+MODULES = (filtering, evaluating, deduping, collecting, reviewing)
 
 
 def queries():

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 64
@@ -28,12 +29,13 @@ class BandPlan:
     bands: tuple[tuple[int, int], ...]  # (shift, width)
     radius: int
 
-    def masks(self, width: int) -> list[int]:
-        """All masks of up to ``radius`` bits in a band of this width."""
+    @staticmethod
+    def masks(width: int, flips: int) -> list[int]:
+        """All masks of up to ``flips`` bits in a band of this width."""
         return [
             sum(1 << bit for bit in bits)
-            for flips in range(self.radius + 1)
-            for bits in combinations(range(width), flips)
+            for n in range(flips + 1)
+            for bits in combinations(range(width), n)
         ]
 
 
@@ -64,43 +66,44 @@ def band_value(phash: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(phash, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def bands(phash: Column, plan: BandPlan) -> Column:
-    """Array of (band, value), one entry per band."""
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("band"), band_value(phash, shift, width).alias("value"))
-            for i, (shift, width) in enumerate(plan.bands)
-        ]
-    )
-
+def probes(df: DataFrame, phash: str, plan: BandPlan, flips: int) -> DataFrame:
+    """Repeat each row per band and per mask of up to ``flips`` bits.
 
-def probes(phash: Column, plan: BandPlan) -> Column:
-    """Array of (band, value) with every value within the radius of each band."""
-    per_band = [
-        _around(band_value(phash, shift, width), i, plan.masks(width))
+    Adds ``band`` and ``value`` (the flipped band). The masks are one constant
+    array; shifting and flipping stay in generated code.
+    """
+    masks = [
+        {"band": i, "shift": shift, "ones": _signed((1 << width) - 1), "mask": _signed(mask)}
         for i, (shift, width) in enumerate(plan.bands)
+        for mask in plan.masks(width, flips)
     ]
-    return per_band[0] if len(per_band) == 1 else F.concat(*per_band)
+    table = F.from_json(
+        F.lit(json.dumps(masks)), "array<struct<band:int,shift:int,ones:bigint,mask:bigint>>"
+    )
+    part = F.call_function("shiftrightunsigned", F.col(phash), F.col("_k.shift"))
+    value = part.bitwiseAND(F.col("_k.ones")).bitwiseXOR(F.col("_k.mask"))
+    return df.select("*", F.explode(table).alias("_k")).select(
+        *df.columns, F.col("_k.band").alias("band"), value.alias("value")
+    )
 
 
-def _around(value: Column, band: int, masks: list[int]) -> Column:
-    return F.transform(
-        F.array(*[F.lit(m).cast("bigint") for m in masks]),
-        lambda m: F.struct(F.lit(band).alias("band"), value.bitwiseXOR(m).alias("value")),
-    )
+def _signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def first_matching_band(a: Column, b: Column, plan: BandPlan) -> Column:
-    """Lowest band in which the two hashes differ by at most the radius.
+def meets_once(a: Column, b: Column, band: Column, value: Column, plan: BandPlan, flips: int) -> Column:
+    """True for exactly one of the (band, value) at which two hashes meet.
 
-    A pair is met once per matching band; taking only the lowest leaves each
-    pair exactly once, without a distinct.
+    ``b`` was probed with ``flips`` bits (0 or 1), ``a`` with the rest of the
+    radius. The pair counts in its lowest matching band only, and there at the
+    value reached from ``b`` by flipping the lowest differing bit.
     """
-    matching = [
-        F.when(
-            hamming(band_value(a, shift, width), band_value(b, shift, width)) <= plan.radius,
-            F.lit(i),
-        )
-        for i, (shift, width) in enumerate(plan.bands)
-    ]
-    return F.coalesce(*matching)
+    matching, met = [], []
+    for i, (shift, width) in enumerate(plan.bands):
+        va, vb = band_value(a, shift, width), band_value(b, shift, width)
+        matching.append(F.when(hamming(va, vb) <= plan.radius, F.lit(i)))
+        if flips:
+            differing = va.bitwiseXOR(vb)
+            vb = vb.bitwiseXOR(differing.bitwiseAND(-differing))
+        met.append(F.when(band == i, value == vb))
+    return (F.coalesce(*matching) == band) & F.coalesce(*met)

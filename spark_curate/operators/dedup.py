@@ -44,42 +44,53 @@ def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
 
 
 def _band_counts(ranked: DataFrame, plan: H.BandPlan) -> DataFrame:
-    return ranked.select(F.explode(H.bands(F.col("phash"), plan)).alias("k")).groupBy(
-        "k.band", "k.value"
-    ).agg(F.count("*").alias("n"))
+    return H.probes(ranked.select("phash"), "phash", plan, 0).groupBy("band", "value").agg(
+        F.count("*").alias("n")
+    )
 
 
-def near(few: DataFrame, many: DataFrame, plan: H.BandPlan) -> DataFrame:
+def near(
+    few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool, same: bool = False
+) -> DataFrame:
     """Pairs (a from ``few``, b from ``many``) within the threshold, each once.
 
-    Both sides have columns rank and phash. ``few`` is probed, ``many`` keeps one
-    row per band; crowded bands are spread by salt.
+    Both sides have columns rank and phash. ``few`` is probed with the radius of
+    the plan and ``many`` keeps one row per band; sides of the ``same`` size share
+    the radius, which makes fewer rows in all. ``spread`` salts crowded bands.
     """
-    left = many.select(
-        F.col("rank").alias("b"), F.col("phash").alias("hb"),
-        F.explode(H.bands(F.col("phash"), plan)).alias("k"),
-    ).select("b", "hb", "k.*")
-    right = few.select(
-        F.col("rank").alias("a"), F.col("phash").alias("ha"),
-        F.explode(H.probes(F.col("phash"), plan)).alias("k"),
-    ).select("a", "ha", "k.*")
-    hot = hot_keys(_band_counts(many, plan), ["band", "value"])
-    met = salted_join(left, right, ["band", "value"], "b", hot)
+    flips = 1 if same and plan.radius > 0 else 0
+    left = H.probes(
+        many.select(F.col("rank").alias("b"), F.col("phash").alias("hb")), "hb", plan, flips
+    )
+    right = H.probes(
+        few.select(F.col("rank").alias("a"), F.col("phash").alias("ha")),
+        "ha",
+        plan,
+        plan.radius - flips,
+    )
+    keys = ["band", "value"]
+    if spread:
+        met = salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
+    else:
+        met = left.join(right, keys)
     distance = H.hamming(F.col("ha"), F.col("hb"))
-    once = H.first_matching_band(F.col("ha"), F.col("hb"), plan) == F.col("band")
+    once = H.meets_once(F.col("ha"), F.col("hb"), F.col("band"), F.col("value"), plan, flips)
     return met.where((distance <= plan.threshold) & once).select(
         "a", "b", distance.alias("distance")
     )
 
 
+def _self_pairs(ranked: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
+    return near(ranked, ranked, plan, spread, same=True).where(F.col("a") < F.col("b"))
+
+
 def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") -> DataFrame:
     """Pairs of distinct hashes within the threshold: image_a before image_b.
 
     Each distinct hash is stood for by its first item.
     """
-    ranked = materialize(global_sequence(representatives(hashes, order), ["at", "image"], "rank"))
-    plan = H.band_plan(threshold)
-    pairs = near(ranked, ranked, plan).where(F.col("a") < F.col("b"))
+    ranked = global_sequence(representatives(hashes, order), ["at", "image"], "rank")
+    pairs = _self_pairs(ranked, H.band_plan(threshold), spread=ranked.count() > SMALLEST_BATCH)
     return (
         pairs.join(ranked.select(F.col("rank").alias("a"), F.col("image").alias("image_a")), "a")
         .join(ranked.select(F.col("rank").alias("b"), F.col("image").alias("image_b")), "b")
@@ -87,8 +98,13 @@ def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") ->
     )
 
 
-def _prefix(todo: DataFrame, size: int, plan: H.BandPlan, most: int) -> tuple[DataFrame, int | None]:
-    """Earliest items whose candidate count is affordable; boundary rank or None."""
+def _prefix(
+    todo: DataFrame, size: int, plan: H.BandPlan, most: int
+) -> tuple[DataFrame, int | None, int]:
+    """Earliest items whose candidate count is affordable.
+
+    Returns the batch, its boundary rank (None if it is everything) and its size.
+    """
     rows = todo.count()
     while True:
         if rows <= size:
@@ -97,13 +113,16 @@ def _prefix(todo: DataFrame, size: int, plan: H.BandPlan, most: int) -> tuple[Da
             share = F.percentile_approx("rank", size / rows, F.lit(10000))
             limit = todo.agg(share).first()[0]
             batch = todo.where(F.col("rank") <= limit)
-        if min(rows, size) <= SMALLEST_BATCH:
-            return batch, limit
-        probes = max(len(plan.masks(width)) for _, width in plan.bands)
-        load = _band_counts(batch, plan).agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+        size = min(rows, size)
+        if size <= SMALLEST_BATCH:
+            return batch, limit, size
+        width = max(width for _, width in plan.bands)
+        probes = len(plan.masks(width, plan.radius))
+        squares = F.sum(F.col("n").cast("double") * F.col("n"))
+        load = _band_counts(batch, plan).agg(squares).first()[0]
         if (load or 0) * probes <= most:
-            return batch, limit
-        size = max(SMALLEST_BATCH, min(rows, size) // GROWTH)
+            return batch, limit, size
+        size = max(SMALLEST_BATCH, size // GROWTH)
 
 
 def _settle(edges: DataFrame, tail_edges: int) -> DataFrame:
@@ -161,8 +180,8 @@ def greedy(
     todo, size = ranked.select("rank", "phash"), first_batch
     found: list[DataFrame] = []
     while True:
-        batch, limit = _prefix(todo, size, plan, max_candidates)
-        pairs = materialize(near(batch, batch, plan).where(F.col("a") < F.col("b")).select("a", "b"))
+        batch, limit, rows = _prefix(todo, size, plan, max_candidates)
+        pairs = materialize(_self_pairs(batch, plan, rows > SMALLEST_BATCH).select("a", "b"))
         removed = materialize(_settle(pairs, tail_edges))
         sources = removed.select(F.col("b").alias("a"))
         inside = pairs.join(sources, "a", "left_anti").join(removed, "b", "left_semi")
@@ -171,7 +190,7 @@ def greedy(
             return reduce(DataFrame.unionByName, found)
         kept = batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti")
         rest = todo.where(F.col("rank") > limit)
-        struck = materialize(near(kept, rest, plan).groupBy("b").agg(F.min("a").alias("keeper")))
+        struck = materialize(near(kept, rest, plan, spread=True).groupBy("b").agg(F.min("a").alias("keeper")))
         found.append(struck)
         todo = materialize(rest.join(struck.select(F.col("b").alias("rank")), "rank", "left_anti"))
         size *= GROWTH
@@ -186,7 +205,7 @@ def find_duplicates(
     ``order`` column, by default the image name.
     """
     reps = representatives(hashes, order)
-    ranked = materialize(global_sequence(reps, ["at", "image"], "rank"))
+    ranked = global_sequence(reps, ["at", "image"], "rank")
     removed = greedy(ranked, threshold, **limits)
     names = ranked.select(F.col("rank").alias("keeper"), F.col("image").alias("_keeper"))
     decided = ranked.join(

@@ -114,7 +114,7 @@ def filter_decisions(
         .when(passed, F.lit("passed"))
         .otherwise(F.lit("low_score"))
     )
-    scored = F.col("reason").isin("passed", "low_score")
+    scored = ~flagged & ~done
     return base.withColumn("reason", reason).select(
         "image",
         F.when(scored, F.col("positive")).alias("positive"),
@@ -195,22 +195,27 @@ def margin_analysis(
         .otherwise("unknown")
     )
 
-    def candidate(name: str, distance: Column, rank: int, wanted: Column) -> Column:
-        entry = F.struct(
-            distance.alias("distance"), F.lit(rank).alias("rank"), F.lit(name).alias("name")
+    def candidate(name: str, distance: Column, rank: int, counts: Column) -> Column:
+        return F.struct(
+            distance.alias("distance"),
+            F.lit(rank).alias("rank"),
+            F.lit(name).alias("name"),
+            counts.alias("counts"),
         )
-        return F.when(wanted & distance.isNotNull(), entry)
+
+    def known(*candidates: Column) -> Column:
+        return F.filter(F.array(*candidates), lambda c: c["distance"].isNotNull() & c["counts"])
 
     always = F.lit(True)
     slack = F.array_min(
-        F.array(
+        known(
             candidate("target_threshold", F.col("target_margin"), 1, always),
             candidate("target_vs_negative", F.col("target_gap"), 2, always),
             candidate("overlay_margin", F.col("overlay_margin_gap"), 3, always),
         )
     )
     violation = F.array_max(
-        F.array(
+        known(
             candidate("overlay_margin", F.col("overlay_delta") - margin, -1, F.col("overlay_fail")),
             candidate("target_threshold", limit - pos, -2, F.col("threshold_fail")),
             candidate("target_vs_negative", neg - pos, -3, F.col("negative_fail")),
@@ -223,14 +228,19 @@ def margin_analysis(
         mode.alias("rejection_mode"),
         F.coalesce(F.col("_near.name"), F.lit("unknown")).alias("nearest_boundary"),
         distance.alias("decision_distance"),
-        F.when(distance.isNull(), "unknown")
-        .when(distance < BORDERLINE_BELOW, "borderline")
-        .when(distance < MODERATE_BELOW, "moderate")
-        .otherwise("clear")
+        _band(distance)
         .alias("decision_band"),
     )
 
 
+def _band(distance: Column) -> Column:
+    """Band by the number of limits reached; none for a missing distance."""
+    limits = F.array(*[F.lit(x) for x in (-1e300, BORDERLINE_BELOW, MODERATE_BELOW)])
+    reached = F.size(F.filter(limits, lambda x: distance >= x))
+    names = F.array(*[F.lit(x) for x in ("unknown", "borderline", "moderate", "clear")])
+    return F.element_at(names, reached + 1)
+
+
 def rejection_reasons(decisions: DataFrame) -> DataFrame:
     """Rejected items with why, and every score known about them."""
     return decisions.where(~F.col("kept")).select(
