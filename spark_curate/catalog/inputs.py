@@ -115,24 +115,24 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Classes 0-6 are on target, 7 and 8 are not, class 9 is not annotated yet.
     """
-    label = F.col("label")
-    marks = items(spark, sf_dir).select(
-        "image",
-        F.when(label == 9, F.lit(None)).otherwise(label < 7).cast("boolean").alias("is_target"),
-        F.when(label < 7, truth(label)).alias("ground_truth"),
+    scored = scoring.group_scores(items(spark, sf_dir), group_prompts(spark, sf_dir))
+    carried = ["label", "embedding"]
+    decided = scoring.filter_decisions(
+        scored.select("image", *carried, *[F.round(g, 6).alias(g) for g in scoring.GROUPS]),
+        THRESHOLDS,
+        keep=carried,
     )
-    kept = decisions(spark, sf_dir).select("image", "kept")
-    both = marks.join(kept, "image").join(records(spark, sf_dir), "image")
-    accepted = F.col("kept")
-    return both.select(
+    labelled = labeling.label_records(decided, label_prompts(spark, sf_dir), keep=["label", "kept"])
+    label, accepted = F.col("label"), F.col("kept")
+    return labelled.select(
         "image",
         F.when(accepted, F.lit("accepted")).otherwise("rejected").alias("source"),
         F.when(accepted, F.col("predicted")).alias("predicted"),
         F.when(
             accepted, F.transform_values("scores", lambda _, r: r["confidence"])
         ).alias("confidence"),
-        "ground_truth",
-        "is_target",
+        F.when(label < 7, truth(label)).alias("ground_truth"),
+        F.when(label == 9, F.lit(None)).otherwise(label < 7).cast("boolean").alias("is_target"),
     )
 
 

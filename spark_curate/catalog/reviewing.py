@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spark_curate.catalog import inputs as I
 from spark_curate.functions import names as N
 from spark_curate.functions import vectors as V
+from spark_curate.functions.session import materialize
 from spark_curate.operators import clustering, labeling, monitor, review, sequence
 from spark_curate.operators import evaluation as ev
 
@@ -44,57 +45,59 @@ def clusters(spark, sf_dir):
     )
 
 
-def seeds(spark, sf_dir):
+def seeds(spark, sf_dir, sample=None):
     everything = I.items(spark, sf_dir)
-    found = review.annotation_seeds(I.sample(spark, sf_dir), everything, I.CATEGORIES)
+    sample = I.sample(spark, sf_dir) if sample is None else sample
+    found = review.annotation_seeds(sample, everything, I.CATEGORIES)
     return found.join(everything.select("image", "embedding"), "image")
 
 
-def votes(spark, sf_dir):
-    return review.seed_votes(
-        I.items(spark, sf_dir), seeds(spark, sf_dir), I.CATEGORIES, SETTINGS.knn_k
-    )
+def votes(spark, sf_dir, seeded):
+    return review.seed_votes(I.items(spark, sf_dir), seeded, I.CATEGORIES, SETTINGS.knn_k)
 
 
-def consensus(spark, sf_dir):
-    long = labeling.predicted_long(I.records(spark, sf_dir))
-    return review.cluster_consensus(
-        long.join(clusters(spark, sf_dir).select("image", "cluster_id"), "image")
-    )
+def consensus(placed, records):
+    long = labeling.predicted_long(records)
+    return review.cluster_consensus(long.join(placed.select("image", "cluster_id"), "image"))
 
 
-def profile(spark, sf_dir):
-    return review.cluster_profile(
-        clusters(spark, sf_dir), seeds(spark, sf_dir), SETTINGS.outlier_quantile_max
-    )
+def profile(placed, seeded):
+    return review.cluster_profile(placed, seeded, SETTINGS.outlier_quantile_max)
 
 
-def accuracy(spark, sf_dir):
-    return ev.label_accuracy(ev.comparisons(I.sample(spark, sf_dir)), I.CATEGORIES)
+def accuracy(sample):
+    return ev.label_accuracy(ev.comparisons(sample), I.CATEGORIES)
 
 
 def queue(spark, sf_dir):
-    raised = accuracy(spark, sf_dir).select(
+    return review_run(spark, sf_dir)[0]
+
+
+def review_run(spark, sf_dir):
+    """(queue, cluster profile, seeds) from stored labels, sample and clusters."""
+    sample = materialize(I.sample(spark, sf_dir))
+    records = materialize(I.records(spark, sf_dir))
+    placed = materialize(clusters(spark, sf_dir))
+    seeded = materialize(seeds(spark, sf_dir, sample))
+    raised = accuracy(sample).select(
         "category", F.round(F.col("accuracy") + 0.45, 2).alias("accuracy")
     )
     weights = {
         r["category"]: (r["weight"], r["review_only"])
         for r in review.category_weights(raised, I.CATEGORIES).collect()
     }
-    records = I.records(spark, sf_dir).select(
-        "image",
-        "predicted",
-        F.transform_values("scores", lambda _, r: F.round(labeling.margin(r), 4)).alias("margins"),
-    )
-    return review.review_queue(
-        records,
-        clusters(spark, sf_dir),
-        votes(spark, sf_dir),
-        consensus(spark, sf_dir),
-        profile(spark, sf_dir),
+    margins = F.transform_values("scores", lambda _, r: F.round(labeling.margin(r), 4))
+    profiled = materialize(profile(placed, seeded))
+    items = review.review_queue(
+        records.select("image", "predicted", margins.alias("margins")),
+        placed,
+        votes(spark, sf_dir, seeded),
+        consensus(placed, records),
+        profiled,
         weights,
         SETTINGS,
     )
+    return items, profiled, seeded
 
 
 CLUSTERS = {
@@ -172,7 +175,7 @@ NEEDED = ("items", "class_dims", "marks", "labels_out", "evaluated")
 
 @register("seed_votes", I.sql("SELECT * FROM votes", "items", "marks", extra=VOTES))
 def seed_votes(spark, sf_dir):
-    return review.votes_long(votes(spark, sf_dir))
+    return review.votes_long(votes(spark, sf_dir, seeds(spark, sf_dir)))
 
 
 @register(
@@ -205,7 +208,7 @@ def annotation_seeds(spark, sf_dir):
     I.sql("SELECT * FROM consensus", "items", "class_dims", "labels_out", extra={**CLUSTERS, **CONSENSUS}),
 )
 def cluster_consensus(spark, sf_dir):
-    return consensus(spark, sf_dir)
+    return consensus(clusters(spark, sf_dir), I.records(spark, sf_dir))
 
 
 @register(
@@ -218,7 +221,8 @@ def cluster_consensus(spark, sf_dir):
     ),
 )
 def cluster_profile(spark, sf_dir):
-    out = profile(spark, sf_dir).withColumn("seed_coverage", F.round("seed_coverage", 4))
+    out = profile(clusters(spark, sf_dir), seeds(spark, sf_dir)).withColumn(
+        "seed_coverage", F.round("seed_coverage", 4))
     for name in ("mean_distance", "p90_distance", "outlier_threshold"):
         out = out.withColumn(name, F.round(name, 6))
     return out
@@ -263,9 +267,8 @@ def exemplars(spark, sf_dir):
     ),
 )
 def assignments(spark, sf_dir):
-    return review.assignments(
-        clusters(spark, sf_dir), profile(spark, sf_dir), seeds(spark, sf_dir)
-    )
+    placed, seeded = clusters(spark, sf_dir), materialize(seeds(spark, sf_dir))
+    return review.assignments(placed, profile(placed, seeded), seeded)
 
 
 @register(
@@ -278,7 +281,7 @@ def assignments(spark, sf_dir):
     ),
 )
 def category_weights(spark, sf_dir):
-    out = review.category_weights(accuracy(spark, sf_dir), (*I.CATEGORIES, "shade"))
+    out = review.category_weights(accuracy(I.sample(spark, sf_dir)), (*I.CATEGORIES, "shade"))
     return out.withColumn("weight", F.round("weight", 6))
 
 
@@ -368,8 +371,8 @@ def priority_concentration(spark, sf_dir):
     ),
 )
 def run_counts(spark, sf_dir):
-    n_seeds = seeds(spark, sf_dir).count()
-    return review.run_counts(queue(spark, sf_dir), profile(spark, sf_dir), n_seeds)
+    items, profiled, seeded = review_run(spark, sf_dir)
+    return review.run_counts(items, profiled, seeded.count())
 
 
 @register(
@@ -382,9 +385,10 @@ def run_counts(spark, sf_dir):
     ),
 )
 def cluster_stats(spark, sf_dir):
-    items = queue(spark, sf_dir)
-    none = review.run_counts(items, profile(spark, sf_dir), 0).where(F.lit(False))
-    return monitor.cluster_stats(none, items, profile(spark, sf_dir), review.suggestions(items))
+    items, profiled, _ = review_run(spark, sf_dir)
+    items = materialize(items)
+    none = review.run_counts(items, profiled, 0).where(F.lit(False))
+    return monitor.cluster_stats(none, items, profiled, review.suggestions(items))
 
 
 @register(
@@ -397,7 +401,7 @@ def cluster_stats(spark, sf_dir):
     ),
 )
 def top_clusters(spark, sf_dir):
-    top = monitor.top_clusters(profile(spark, sf_dir))
+    top = monitor.top_clusters(profile(clusters(spark, sf_dir), seeds(spark, sf_dir)))
     return top.select("cluster_id", "size", F.round("mean_distance", 6).alias("mean_distance"))
 
 

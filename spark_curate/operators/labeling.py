@@ -75,8 +75,9 @@ def label_records(
     embedding: str = "embedding",
     digits: int = 4,
     max_bytes: int = V.MAX_BLOCK_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Nested label records: image, predicted, scores.
+    """Nested label records: image, predicted, scores, and the columns to ``keep``.
 
     ``predicted`` maps category to label; ``scores`` maps category to assigned,
     confidence, all_scores, runner_up and runner_up_score. Scores are rounded
@@ -88,22 +89,24 @@ def label_records(
         raise ValueError("no label prompts")
     rows = V.bounded_rows(vectors, first[0], max_bytes)
     if rows is None:
-        return _records_from_long(label_scores(items, prompts, embedding, max_bytes), digits)
+        records = _records_from_long(label_scores(items, prompts, embedding, max_bytes), digits)
+        return records.join(items.select("image", *keep), "image") if keep else records
     rows = sorted(rows, key=lambda r: (r["category"], r["label_ord"], r["label"]))
     by_category: dict[str, list[int]] = {}
     for i, row in enumerate(rows):
         by_category.setdefault(row["category"], []).append(i)
     scored = items.where(F.col(embedding).isNotNull()).select(
-        "image", V.products(F.col(embedding), [r["vector"] for r in rows]).alias("_scores")
+        "image", *keep, V.products(F.col(embedding), [r["vector"] for r in rows]).alias("_scores")
     )
     ranked = scored.select(
         "image",
+        *keep,
         *[
             _ranked(F.slice("_scores", places[0] + 1, len(places)), rows, places, digits).alias(cat)
             for cat, places in by_category.items()
         ],
     )
-    return _nest(ranked, list(by_category))
+    return _nest(ranked, list(by_category), keep)
 
 
 def _ranked(scores: Column, rows: Sequence, places: Sequence[int], digits: int) -> Column:
@@ -135,9 +138,10 @@ def _record(entries: Column) -> Column:
     )
 
 
-def _nest(ranked: DataFrame, categories: Sequence[str]) -> DataFrame:
+def _nest(ranked: DataFrame, categories: Sequence[str], keep: Sequence[str]) -> DataFrame:
     return ranked.select(
         "image",
+        *keep,
         C.map_from_columns((c, F.col(f"`{c}`")[0]["label"]) for c in categories).alias("predicted"),
         C.map_from_columns((c, _record(F.col(f"`{c}`"))) for c in categories).alias("scores"),
     )

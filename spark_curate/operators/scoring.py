@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spark_curate.functions import columns as C
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
 
@@ -92,13 +90,17 @@ def is_target(positive: Column, negative: Column, threshold: float) -> Column:
 
 
 def filter_decisions(
-    scores: DataFrame, thresholds: Thresholds = Thresholds(), existing: DataFrame | None = None
+    scores: DataFrame,
+    thresholds: Thresholds = Thresholds(),
+    existing: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One decision row per item with its reason.
 
     Reasons in order: overlay, resume_existing, load_error, passed, low_score.
     Positive and negative scores are given only where that rule was evaluated.
-    ``existing`` (images) turns on resuming: those items stay kept.
+    ``existing`` (images) turns on resuming: those items stay kept. Columns named
+    in ``keep`` are carried along.
     """
     flagged = is_flagged(F.col("overlay"), F.col("clean"), thresholds.overlay_margin)
     passed = is_target(F.col("positive"), F.col("negative"), thresholds.threshold)
@@ -117,6 +119,7 @@ def filter_decisions(
     scored = ~flagged & ~done
     return base.withColumn("reason", reason).select(
         "image",
+        *keep,
         F.when(scored, F.col("positive")).alias("positive"),
         F.when(scored, F.col("negative")).alias("negative"),
         "overlay",
@@ -262,7 +265,3 @@ def merge_overlay_log(target_log: DataFrame, overlay_log: DataFrame) -> DataFram
     return target_log.join(flags, "image", "left").withColumn(
         "flagged", F.coalesce("flagged", F.lit(False))
     )
-
-
-def all_of(predicates: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, predicates, F.lit(True))
