@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spark_curate.catalog import collecting, deduping, evaluating, filtering, reviewing
+from spark_curate.catalog import collecting, deduping, evaluating, exporting, filtering, reviewing
 
-MODULES = (filtering, evaluating, deduping, collecting, reviewing)
+MODULES = (filtering, evaluating, deduping, collecting, reviewing, exporting)
 
 
 def queries():
