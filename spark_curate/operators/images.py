@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
@@ -12,7 +13,6 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from spark_curate.functions import names as N
 from spark_curate.functions import pixels as P
-from spark_curate.functions import vectors as V
 from spark_curate.operators import resolution
 
 
@@ -98,10 +98,20 @@ def encode(
     ``make_predict_fn`` loads the model once per worker and returns a function on
     batches of the column (pixels or prompt texts).
     """
-    predict = predict_batch_udf(
-        make_predict_fn,
+    def make_unit_fn() -> Callable:
+        predict = make_predict_fn()
+
+        def unit_vectors(*batch):
+            vectors = np.asarray(predict(*batch), dtype=np.float64)
+            length = np.linalg.norm(vectors, axis=1, keepdims=True)
+            return (vectors / np.where(length > 0, length, 1.0)).astype(np.float32)
+
+        return unit_vectors
+
+    encoded = predict_batch_udf(
+        make_unit_fn,
         return_type=ArrayType(FloatType()),
         batch_size=batch_size,
         input_tensor_shapes=input_tensor_shapes,
     )
-    return df.withColumn("embedding", V.unit(predict(F.col(column))).cast("array<float>"))
+    return df.withColumn("embedding", encoded(F.col(column)))

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spark_curate.functions import columns as C
 from spark_curate.functions import vectors as V
@@ -156,6 +157,10 @@ def nearest_seeds(
     )
 
 
+_SUGGESTION = (
+    "struct<category:string,label:string,confidence:double,cluster_ratio:double,"
+    "seed_ratio:double,seed_similarity:double,margin:double>"
+)
 _VOTE = "struct<label:string,ratio:double,similarity:double,support:bigint>"
 
 
@@ -434,13 +439,12 @@ class _Terms:
 
 
 def _terms(category: str, weight: float, review_only: bool, settings: ReviewSettings) -> _Terms:
-    none = F.lit(None)
     if review_only:
         return _Terms(
             F.lit(RISK_REVIEW_ONLY * weight),
             F.array(F.lit(category)),
             F.array(F.lit(f"{category}:review_only")),
-            none,
+            F.lit(None).cast(_SUGGESTION),
         )
     pred = C.lookup(F.col("predicted"), category, C.UNKNOWN)
     margin = C.lookup(F.col("margins"), category)
@@ -558,9 +562,7 @@ def review_queue(
         "predicted",
         F.concat(*[t.flagged for t in terms]).alias("_flagged"),
         F.concat(*[t.reasons for t in terms], outlier_reason).alias("_reasons"),
-        F.array_compact(F.array(*[t.suggestion for t in terms if t.suggestion is not None])).alias(
-            "suggestions"
-        ),
+        F.array_compact(F.array(*[t.suggestion for t in terms])).alias("suggestions"),
     )
     return scored.select(
         "image",
@@ -656,15 +658,29 @@ def run_counts(review: DataFrame, profile: DataFrame, n_seeds: int) -> DataFrame
     )
 
 
+def canonical(c: Column, kind: T.DataType) -> Column:
+    """The same value with every map, at any depth, as entries sorted by key."""
+    if isinstance(kind, T.MapType):
+        return F.transform(
+            F.array_sort(F.map_keys(c)),
+            lambda k: F.struct(
+                k.alias("key"), canonical(F.try_element_at(c, k), kind.valueType).alias("value")
+            ),
+        )
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda e: canonical(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*[canonical(c[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), fields)
+    return c
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free fingerprint of a table: rows, xor and sum of row digests.
 
     Maps are digested as sorted entries, so equal contents give equal digests.
     """
-    shown = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        shown.append((F.array_sort(F.map_entries(c)) if f.dataType.typeName() == "map" else c).alias(f.name))
+    shown = [canonical(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]
     text = F.to_json(F.struct(*shown))
     digest = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
     return df.select(digest.alias("_d")).agg(

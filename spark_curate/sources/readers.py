@@ -70,8 +70,10 @@ def decoded_images(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
     )
     readable = F.col("image.width") > 0
-    return found.where(N.is_image(F.col("image.origin"))).select(
-        _below(F.col("image.origin"), root).alias("path"),
+    # The origin is a percent-encoded uri in which a plus stands for itself.
+    origin = F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B")))
+    return found.where(N.is_image(origin)).select(
+        _below(origin, root).alias("path"),
         F.when(readable, F.col("image")).alias("pixels"),
         F.when(readable, F.col("image.width")).alias("width"),
         F.when(readable, F.col("image.height")).alias("height"),
