@@ -27,9 +27,15 @@ def png(pixels):
 
 
 def gradient(width, height):
+    """A scene with energy in all low frequencies, at any size."""
     y, x = np.mgrid[0:height, 0:width]
-    wave = 127 + 60 * np.sin(3 * x / width * np.pi) + 60 * np.cos(2 * y / height * np.pi)
-    return np.repeat(wave[:, :, None], 3, axis=2).astype(np.uint8)
+    y, x = (y + 0.5) / height, (x + 0.5) / width
+    rng = np.random.default_rng(1)
+    wave = sum(
+        rng.normal() * np.cos(np.pi * a * x) * np.cos(np.pi * b * y) for a in range(9) for b in range(9)
+    )
+    scene = (127 + 100 * wave / np.abs(wave).max()).clip(0, 255)
+    return np.repeat(scene[:, :, None], 3, axis=2).astype(np.uint8)
 
 
 @pytest.fixture(scope="module")
