@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spark_curate.catalog import filtering
 from spark_curate.catalog import inputs as I
 from spark_curate.functions import names as N
+from spark_curate.functions.session import materialize
 from spark_curate.operators import harvest, monitor, resolution, sequence
 
 QUERIES = {}
@@ -150,7 +151,7 @@ def name_collisions(spark, sf_dir):
     ),
 )
 def find_originals(spark, sf_dir):
-    raw = raw_files(spark, sf_dir)
+    raw = materialize(raw_files(spark, sf_dir))
     done = resolution.resolution_step(raw).where(F.col("new_width").isNotNull())
     resized = done.select(F.concat("name", F.lit(".jpg")).alias("image")).distinct()
     return resolution.find_originals(resized, raw)
@@ -561,7 +562,7 @@ def search_until(spark, sf_dir):
     )
     numbered = sequence.global_sequence(pages.select("query", "page_id"), ["query", "page_id"])
     starts = numbered.groupBy("query").agg(F.min("seq").alias("start"))
-    numbers = numbered.join(F.broadcast(starts), "query").select(
+    numbers = numbered.join(starts, "query").select(
         "page_id", "query", (F.col("seq") - F.col("start")).alias("page")
     )
     urls = pages.select(

@@ -66,11 +66,11 @@ def band_value(phash: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(phash, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def probes(df: DataFrame, phash: str, plan: BandPlan, flips: int) -> DataFrame:
+def probes(df: DataFrame, phash: str, plan: BandPlan, flips: int, own: str) -> DataFrame:
     """Repeat each row per band and per mask of up to ``flips`` bits.
 
-    Adds ``band`` and ``value`` (the flipped band). The masks are one constant
-    array; shifting and flipping stay in generated code.
+    Adds ``band``, ``value`` (the flipped band) and the unflipped band as ``own``.
+    The masks are one constant array; shifting and flipping stay in generated code.
     """
     masks = [
         {"band": i, "shift": shift, "ones": _signed((1 << width) - 1), "mask": _signed(mask)}
@@ -81,9 +81,12 @@ def probes(df: DataFrame, phash: str, plan: BandPlan, flips: int) -> DataFrame:
         F.lit(json.dumps(masks)), "array<struct<band:int,shift:int,ones:bigint,mask:bigint>>"
     )
     part = F.call_function("shiftrightunsigned", F.col(phash), F.col("_k.shift"))
-    value = part.bitwiseAND(F.col("_k.ones")).bitwiseXOR(F.col("_k.mask"))
-    return df.select("*", F.explode(table).alias("_k")).select(
-        *df.columns, F.col("_k.band").alias("band"), value.alias("value")
+    banded = df.select("*", F.explode(table).alias("_k")).select(
+        *df.columns, F.col("_k.band").alias("band"), F.col("_k.mask").alias("_m"),
+        part.bitwiseAND(F.col("_k.ones")).alias(own),
+    )
+    return banded.select(
+        *df.columns, "band", F.col(own).bitwiseXOR(F.col("_m")).alias("value"), own
     )
 
 
@@ -91,19 +94,22 @@ def _signed(bits: int) -> int:
     return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def meets_once(a: Column, b: Column, band: Column, value: Column, plan: BandPlan, flips: int) -> Column:
-    """True for exactly one of the (band, value) at which two hashes meet.
+def canonical_meeting(a_own: Column, b_own: Column, value: Column) -> Column:
+    """True at one of the values at which two hashes meet within a band.
 
-    ``b`` was probed with ``flips`` bits (0 or 1), ``a`` with the rest of the
-    radius. The pair counts in its lowest matching band only, and there at the
-    value reached from ``b`` by flipping the lowest differing bit.
+    With one flip allowed on b's side that is b with the lowest differing bit
+    flipped, or b itself where the bands are equal.
     """
-    matching, met = [], []
-    for i, (shift, width) in enumerate(plan.bands):
-        va, vb = band_value(a, shift, width), band_value(b, shift, width)
-        matching.append(F.when(hamming(va, vb) <= plan.radius, F.lit(i)))
-        if flips:
-            differing = va.bitwiseXOR(vb)
-            vb = vb.bitwiseXOR(differing.bitwiseAND(-differing))
-        met.append(F.when(band == i, value == vb))
-    return (F.coalesce(*matching) == band) & F.coalesce(*met)
+    differing = a_own.bitwiseXOR(b_own)
+    return value == b_own.bitwiseXOR(differing.bitwiseAND(-differing))
+
+
+def first_band(a: Column, b: Column, plan: BandPlan) -> Column:
+    """Lowest band in which two hashes differ by at most the radius."""
+    differing = a.bitwiseXOR(b)
+    return F.coalesce(
+        *[
+            F.when(F.bit_count(band_value(differing, shift, width)) <= plan.radius, F.lit(i))
+            for i, (shift, width) in enumerate(plan.bands)
+        ]
+    )

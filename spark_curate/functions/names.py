@@ -24,10 +24,11 @@ def parent_path(path: Column) -> Column:
 
 def suffix(path: Column) -> Column:
     """Lower-case suffix without its dot; empty if there is none."""
-    return F.lower(F.regexp_extract(file_name(path), r"[^/]\.([^./]+)$", 1))
+    return F.lower(F.regexp_extract(file_name(path), r".\.([^.]*)$", 1))
 
 
 def stem(path: Column) -> Column:
+    """Name without its suffix; a leading or a trailing dot makes no suffix."""
     return F.regexp_replace(file_name(path), r"(.)\.[^.]+$", "$1")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 # A vector table larger than this is processed in blocks of this size.
 MAX_BLOCK_BYTES = 64 * 1024 * 1024
+MAX_BLOCK_ROWS = 8192
 
 
 def doubles(v: Column) -> Column:
@@ -58,11 +59,18 @@ def mean_vector(v: Column) -> Column:
     return vector_to_array(Summarizer.mean(array_to_vector(doubles(v))))
 
 
-def bounded_rows(df: DataFrame, dim: int, max_bytes: int = MAX_BLOCK_BYTES):
-    """Rows of a small vector table, or None when it exceeds ``max_bytes``."""
-    limit = max(1, max_bytes // (8 * max(dim, 1)))
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+def bounded_rows(
+    df: DataFrame, vector: str = "vector", max_bytes: int = MAX_BLOCK_BYTES
+) -> tuple[list | None, int]:
+    """(rows, dimension) of a small vector table.
+
+    Rows are None when there are more than ``MAX_BLOCK_ROWS`` or their vectors take
+    more than ``max_bytes``. At most ``MAX_BLOCK_ROWS`` + 1 rows are fetched.
+    """
+    rows = df.limit(MAX_BLOCK_ROWS + 1).collect()
+    dim = len(rows[0][vector]) if rows else 0
+    fits = len(rows) <= min(MAX_BLOCK_ROWS, max_bytes // (8 * max(dim, 1)))
+    return (rows if fits else None), dim
 
 
 def batch_matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:

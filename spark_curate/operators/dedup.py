@@ -26,10 +26,13 @@ from spark_curate.operators.sequence import global_sequence
 from spark_curate.operators.skew import hot_keys, join_unique, salted_join
 
 FIRST_BATCH = 100_000
-SMALLEST_BATCH = 10_000
+SMALLEST_BATCH = 2_000
 GROWTH = 4
-MAX_CANDIDATES = 5_000_000_000
+MAX_CANDIDATES = 20_000_000_000
+MAX_DENSE_PAIRS = 500_000
+CROWDED = 16
 TAIL_EDGES = 200_000
+EVEN_SIDES = 8
 
 
 def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
@@ -44,7 +47,7 @@ def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
 
 
 def _band_counts(ranked: DataFrame, plan: H.BandPlan) -> DataFrame:
-    return H.probes(ranked.select("phash"), "phash", plan, 0).groupBy("band", "value").agg(
+    return H.probes(ranked.select("phash"), "phash", plan, 0, "own").groupBy("band", "value").agg(
         F.count("*").alias("n")
     )
 
@@ -55,29 +58,35 @@ def near(
     """Pairs (a from ``few``, b from ``many``) within the threshold, each once.
 
     Both sides have columns rank and phash. ``few`` is probed with the radius of
-    the plan and ``many`` keeps one row per band; sides of the ``same`` size share
-    the radius, which makes fewer rows in all. ``spread`` salts crowded bands.
+    the plan and ``many`` keeps one row per band; sides of about the ``same`` size
+    share the radius, which makes fewer rows in all. ``spread`` salts crowded bands.
+
+    A pair counts in its lowest matching band only, so no distinct is needed.
     """
     flips = 1 if same and plan.radius > 0 else 0
     left = H.probes(
-        many.select(F.col("rank").alias("b"), F.col("phash").alias("hb")), "hb", plan, flips
+        many.select(F.col("rank").alias("b"), F.col("phash").alias("hb")), "hb", plan, flips, "ob"
     )
     right = H.probes(
         few.select(F.col("rank").alias("a"), F.col("phash").alias("ha")),
         "ha",
         plan,
         plan.radius - flips,
+        "oa",
     )
     keys = ["band", "value"]
+    if not flips:  # the meeting value is b's own band: one per band already
+        left, right = left.drop("ob"), right.drop("oa")
     if spread:
         met = salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
     else:
         met = left.join(right, keys)
     distance = H.hamming(F.col("ha"), F.col("hb"))
-    once = H.meets_once(F.col("ha"), F.col("hb"), F.col("band"), F.col("value"), plan, flips)
-    return met.where((distance <= plan.threshold) & once).select(
-        "a", "b", distance.alias("distance")
-    )
+    close = distance <= plan.threshold
+    if flips:
+        close = close & H.canonical_meeting(F.col("oa"), F.col("ob"), F.col("value"))
+    once = H.first_band(F.col("ha"), F.col("hb"), plan) == F.col("band")
+    return met.where(close & once).select("a", "b", distance.alias("distance"))
 
 
 def _self_pairs(ranked: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
@@ -98,14 +107,29 @@ def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") ->
     )
 
 
+def _affordable(batch: DataFrame, rows: int, plan: H.BandPlan, most: int) -> bool:
+    """Whether the pairs of a batch are worth forming at once.
+
+    Two sums over the band counts decide: expected candidates of all bands, and
+    pairs inside crowded bands, where most candidates are true pairs.
+    """
+    width = max(width for _, width in plan.bands)
+    probes = len(plan.masks(width, plan.radius))
+    squares = F.col("n").cast("double") * F.col("n")
+    crowded = F.col("n") > CROWDED * (1 + rows / 2.0**width)
+    load = _band_counts(batch, plan).agg(
+        F.sum(squares).alias("all"), F.sum(F.when(crowded, squares)).alias("dense")
+    ).first()
+    return (load["all"] or 0) * probes <= most and (load["dense"] or 0) <= MAX_DENSE_PAIRS
+
+
 def _prefix(
-    todo: DataFrame, size: int, plan: H.BandPlan, most: int
+    todo: DataFrame, rows: int, size: int, plan: H.BandPlan, most: int
 ) -> tuple[DataFrame, int | None, int]:
     """Earliest items whose candidate count is affordable.
 
     Returns the batch, its boundary rank (None if it is everything) and its size.
     """
-    rows = todo.count()
     while True:
         if rows <= size:
             batch, limit = todo, None
@@ -116,11 +140,7 @@ def _prefix(
         size = min(rows, size)
         if size <= SMALLEST_BATCH:
             return batch, limit, size
-        width = max(width for _, width in plan.bands)
-        probes = len(plan.masks(width, plan.radius))
-        squares = F.sum(F.col("n").cast("double") * F.col("n"))
-        load = _band_counts(batch, plan).agg(squares).first()[0]
-        if (load or 0) * probes <= most:
+        if _affordable(batch, size, plan, most):
             return batch, limit, size
         size = max(SMALLEST_BATCH, size // GROWTH)
 
@@ -180,17 +200,22 @@ def greedy(
     todo, size = ranked.select("rank", "phash"), first_batch
     found: list[DataFrame] = []
     while True:
-        batch, limit, rows = _prefix(todo, size, plan, max_candidates)
-        pairs = materialize(_self_pairs(batch, plan, rows > SMALLEST_BATCH).select("a", "b"))
+        rows = todo.count()
+        batch, limit, taken = _prefix(todo, rows, size, plan, max_candidates)
+        pairs = materialize(_self_pairs(batch, plan, taken > SMALLEST_BATCH).select("a", "b"))
         removed = materialize(_settle(pairs, tail_edges))
         sources = removed.select(F.col("b").alias("a"))
         inside = pairs.join(sources, "a", "left_anti").join(removed, "b", "left_semi")
         found.append(inside.groupBy("b").agg(F.min("a").alias("keeper")))
         if limit is None:
             return reduce(DataFrame.unionByName, found)
-        kept = batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti")
+        kept = materialize(batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti"))
         rest = todo.where(F.col("rank") > limit)
-        struck = materialize(near(kept, rest, plan, spread=True).groupBy("b").agg(F.min("a").alias("keeper")))
+        # Probing only the kept side costs more rows once it is no longer small.
+        even = kept.count() * EVEN_SIDES > rows - taken
+        struck = materialize(
+            near(kept, rest, plan, spread=True, same=even).groupBy("b").agg(F.min("a").alias("keeper"))
+        )
         found.append(struck)
         todo = materialize(rest.join(struck.select(F.col("b").alias("rank")), "rank", "left_anti"))
         size *= GROWTH
@@ -213,7 +238,7 @@ def find_duplicates(
     ).select("phash", "n", F.coalesce("_keeper", "image").alias("duplicate_of"))
     every = hashes.where(F.col("phash").isNotNull()).select("image", "phash")
     return (
-        join_unique(every, materialize(decided), "phash")
+        join_unique(every, decided, "phash", rows=ranked.count())
         .where(F.col("image") != F.col("duplicate_of"))
         .select("image", "duplicate_of")
     )

@@ -36,15 +36,11 @@ def label_scores(
     One pass over the items without a shuffle. A prompt table beyond
     ``max_bytes`` is taken block by block and the scores are united.
     """
-    vectors = label_vectors(prompts)
-    first = vectors.select(F.size("vector")).first()
-    if first is None:
-        raise ValueError("no label prompts")
     present = items.where(F.col(embedding).isNotNull())
-    parts = [
-        _block_scores(present, block, embedding)
-        for block in vector_blocks(vectors, first[0], ("category", "label_ord", "label"), max_bytes)
-    ]
+    blocks = vector_blocks(label_vectors(prompts), "vector", ("category", "label_ord", "label"), max_bytes)
+    parts = [_block_scores(present, block, embedding) for block in blocks if block]
+    if not parts:
+        raise ValueError("no label prompts")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -83,11 +79,9 @@ def label_records(
     confidence, all_scores, runner_up and runner_up_score. Scores are rounded
     before ranking and ties go to the label declared first.
     """
-    vectors = label_vectors(prompts)
-    first = vectors.select(F.size("vector")).first()
-    if first is None:
+    rows, _ = V.bounded_rows(label_vectors(prompts), "vector", max_bytes)
+    if rows == []:
         raise ValueError("no label prompts")
-    rows = V.bounded_rows(vectors, first[0], max_bytes)
     if rows is None:
         records = _records_from_long(label_scores(items, prompts, embedding, max_bytes), digits)
         return records.join(items.select("image", *keep), "image") if keep else records

@@ -132,10 +132,10 @@ def nearest_seeds(
     own neighbour. Seeds are compared block by block; with more than one block
     only each block's best k per item are shuffled.
     """
-    dim = seeds.select(F.size("embedding")).first()[0]
-    parts = []
-    for block in vector_blocks(seeds.select("image", "embedding"), dim, ("image",), max_bytes):
-        parts.append(_block_neighbours(items, block, k))
+    blocks = vector_blocks(seeds.select("image", "embedding"), "embedding", ("image",), max_bytes)
+    parts = [_block_neighbours(items, block, k) for block in blocks if block]
+    if not parts:
+        raise ValueError("no seeds")
     if len(parts) == 1:
         best = parts[0]
     else:
@@ -207,11 +207,10 @@ def seed_votes(
     Seeds within ``max_bytes`` vote inside one Arrow pass without any shuffle;
     more seeds go through :func:`nearest_seeds`.
     """
-    dim = seeds.select(F.size("embedding")).first()
-    if dim is None:
+    rows, _ = V.bounded_rows(seeds.select("image", "embedding", "truth"), "embedding", max_bytes)
+    if rows == []:
         empty = F.create_map().cast(f"map<string,{_VOTE}>")
         return items.select("image", empty.alias("votes"))
-    rows = V.bounded_rows(seeds.select("image", "embedding", "truth"), dim[0], max_bytes)
     if rows is None:
         seeds = materialize(seeds)
         near = nearest_seeds(items, seeds, k, max_bytes)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
+from spark_curate.operators.sequence import global_sequence
 
 GROUPS = ("positive", "negative", "overlay", "clean")
 
@@ -39,25 +40,24 @@ def group_vectors(prompts: DataFrame, keys: Sequence[str] = ("group",)) -> DataF
     return prompts.groupBy(*keys).agg(V.mean_vector(F.col("embedding")).alias("vector"))
 
 
-def vector_blocks(vectors: DataFrame, dim: int, order: Sequence[str], max_bytes: int):
-    """Lists of rows of at most ``max_bytes`` each.
+def vector_blocks(
+    vectors: DataFrame, vector: str, order: Sequence[str], max_bytes: int
+) -> Iterator[list]:
+    """Lists of rows of at most ``max_bytes`` of vectors each, in order.
 
-    A table within the bound is one block. A larger one is split by hash, with
-    room for uneven splits, so that the driver never holds more than a block.
+    A table within the bound is one block. A larger one is numbered and read block
+    by block, so that the driver never holds more than a block. The order columns
+    identify a row.
     """
-    rows = V.bounded_rows(vectors, dim, max_bytes)
+    rows, dim = V.bounded_rows(vectors, vector, max_bytes)
     if rows is not None:
         yield sorted(rows, key=lambda r: tuple(r[c] for c in order))
         return
-    stored = materialize(vectors)
-    pieces = 2 * (1 + stored.count() * 8 * dim // max_bytes)
-    for piece in range(pieces):
-        part = stored.where(F.pmod(F.xxhash64(*order), F.lit(pieces)) == piece)
-        rows = V.bounded_rows(part, dim, max_bytes)
-        if rows is None:
-            raise ValueError("vector rows repeat their key; give each a key of its own")
-        if rows:
-            yield sorted(rows, key=lambda r: tuple(r[c] for c in order))
+    most = max(1, min(V.MAX_BLOCK_ROWS, max_bytes // (8 * dim)))
+    numbered = materialize(global_sequence(vectors, list(order), "_seq"))
+    for start in range(0, numbered.count(), most):
+        block = numbered.where(F.col("_seq").between(start + 1, start + most))
+        yield block.orderBy("_seq").drop("_seq").collect()
 
 
 def group_scores(

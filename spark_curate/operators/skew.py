@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spark_curate.functions.session import materialize
+
 HOT_KEYS = 1000
 SALTS = 32
+SMALL_ROWS = 100_000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", most: int = HOT_KEYS) -> DataFrame:
@@ -17,12 +20,18 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", most: int = H
     return counts.where(F.col(n) * most > total).select(*keys)
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, n: str = "n") -> DataFrame:
+def join_unique(
+    left: DataFrame, right: DataFrame, key: str, n: str = "n", rows: int | None = None
+) -> DataFrame:
     """Inner join with a side holding one row per key and the key's row count ``n``.
 
-    Rows of hot keys meet a broadcast of at most ``HOT_KEYS`` rows and stay where
-    they are; only the others are shuffled.
+    A side of up to ``SMALL_ROWS`` known ``rows`` is broadcast. Otherwise rows of
+    hot keys meet a broadcast of at most ``HOT_KEYS`` rows and stay where they are;
+    only the others are shuffled.
     """
+    if rows is not None and rows <= SMALL_ROWS:
+        return left.join(F.broadcast(right.drop(n)), key)
+    right = materialize(right)
     total = right.agg(F.sum(n)).first()[0] or 0
     is_hot = F.col(n) * HOT_KEYS > total
     hot = F.broadcast(right.where(is_hot).drop(n))

@@ -87,6 +87,7 @@ def test_threshold_is_inclusive_and_top_bit_counts(spark):
 
 def test_one_hash_owning_most_rows(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_KEYS", 3)
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
     rows = [(f"{i:04d}", 5) for i in range(400)] + [(f"z{i:03d}", i * 977) for i in range(50)]
     assert run(spark, rows, 1) == sequential(rows, 1)
 
