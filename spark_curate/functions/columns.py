@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts read as a missing number.
@@ -91,3 +91,22 @@ def sorted_set(c: Column) -> Column:
 def run_id(at: Column | None = None) -> Column:
     """``20260308T120000Z``: the id of a run in UTC."""
     return F.date_format(F.current_timestamp() if at is None else at, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def unnest(df: DataFrame, keep: Iterable[Column | str], nested: Column, *names: str) -> DataFrame:
+    """``keep`` plus one row per entry of a map or array, as the given names.
+
+    The plain generators make the planner test the nested value for emptiness
+    below the projection that makes it, which runs an Arrow function twice; the
+    outer form does not, and its rows for empty values are dropped above.
+    """
+    rows = df.select(*keep, F.explode_outer(nested).alias(*names))
+    return rows.where(F.col(names[0]).isNotNull())
+
+
+def unnest_at(
+    df: DataFrame, keep: Iterable[Column | str], nested: Column, position: str, name: str
+) -> DataFrame:
+    """Like :func:`unnest` for an array, with the position of each entry."""
+    rows = df.select(*keep, F.posexplode_outer(nested).alias(position, name))
+    return rows.where(F.col(position).isNotNull())

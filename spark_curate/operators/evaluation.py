@@ -162,8 +162,8 @@ def filter_metrics(sample: DataFrame) -> DataFrame:
 def comparisons(sample: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """(image, category, predicted, truth, confidence) of confirmed samples."""
     ready = sample.where(is_confirmed() & has_predictions())
-    pairs = ready.select(
-        "image", "predicted", "confidence", F.explode("ground_truth").alias("category", "truth")
+    pairs = C.unnest(
+        ready, ["image", "predicted", "confidence"], F.col("ground_truth"), "category", "truth"
     )
     if categories is not None:
         pairs = pairs.where(F.col("category").isin(*categories))

@@ -58,7 +58,7 @@ def _block_scores(items: DataFrame, block: Sequence, embedding: str) -> DataFram
     scored = items.select(
         "image", V.products(F.col(embedding), [r["vector"] for r in block]).alias("_scores")
     )
-    return scored.select("image", F.posexplode("_scores").alias("_i", "score")).select(
+    return C.unnest_at(scored, ["image"], F.col("_scores"), "_i", "score").select(
         "image",
         *[keys[F.col("_i")][k].alias(k) for k in LABEL_KEYS],
         "score",
@@ -179,7 +179,7 @@ def rank_labels(scores: DataFrame, digits: int = 4) -> DataFrame:
 
 def labels_long(records: DataFrame) -> DataFrame:
     """One row per (image, category) of nested label records."""
-    return records.select("image", F.explode("scores").alias("category", "_r")).select(
+    return C.unnest(records, ["image"], F.col("scores"), "category", "_r").select(
         "image",
         "category",
         "_r.assigned",
@@ -207,12 +207,9 @@ def margins(records: DataFrame) -> DataFrame:
 
 def score_shares(records: DataFrame) -> DataFrame:
     """Every label's score relative to the best of its category; 0 if none is positive."""
-    exploded = records.select("image", F.explode("scores").alias("category", "_r")).select(
-        "image",
-        "category",
-        F.array_max(F.map_values("_r.all_scores")).alias("_max"),
-        F.explode("_r.all_scores").alias("label", "score"),
-    )
+    rows = C.unnest(records, ["image"], F.col("scores"), "category", "_r")
+    best = F.array_max(F.map_values("_r.all_scores")).alias("_max")
+    exploded = C.unnest(rows, ["image", "category", best], F.col("_r.all_scores"), "label", "score")
     return exploded.select(
         "image",
         "category",
@@ -225,9 +222,9 @@ def score_shares(records: DataFrame) -> DataFrame:
 def predicted_long(records: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """(image, category, label) rows; missing categories read ``unknown``."""
     if categories is None:
-        return records.select("image", F.explode("predicted").alias("category", "label"))
+        return C.unnest(records, ["image"], F.col("predicted"), "category", "label")
     pairs = C.map_from_columns((c, C.lookup(F.col("predicted"), c, C.UNKNOWN)) for c in categories)
-    return records.select("image", F.explode(pairs).alias("category", "label"))
+    return C.unnest(records, ["image"], pairs, "category", "label")
 
 
 def label_distribution(labels: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ def nearest_seeds(
                 ).alias("near"),
             )
         )
-    return best.select("image", F.posexplode("near").alias("_r", "_e")).select(
+    return C.unnest_at(best, ["image"], F.col("near"), "_r", "_e").select(
         "image", "_e.seed", "_e.similarity", (F.col("_r") + 1).alias("rank")
     )
 
@@ -276,7 +276,7 @@ def seed_votes(
 
 
 def votes_long(votes: DataFrame) -> DataFrame:
-    return votes.select("image", F.explode("votes").alias("category", "_v")).select(
+    return C.unnest(votes, ["image"], F.col("votes"), "category", "_v").select(
         "image", "category", "_v.*"
     )
 
@@ -591,9 +591,8 @@ def first_records(records: DataFrame, most: int) -> DataFrame:
 
 def suggestions(review: DataFrame) -> DataFrame:
     """One row per suggested (image, category)."""
-    return review.select("image", "cluster_id", F.explode("suggestions").alias("_s")).select(
-        "image", "cluster_id", "_s.*"
-    )
+    rows = C.unnest_at(review, ["image", "cluster_id"], F.col("suggestions"), "_i", "_s")
+    return rows.select("image", "cluster_id", "_s.*")
 
 
 def uncertainty_score(reasons: Column, is_outlier: Column) -> Column:
