@@ -111,12 +111,12 @@ SEEDS = {
 }
 VOTES = {
     **SEEDS,
-    "near": """SELECT i.image, s.image AS seed, gt_hue, gt_grain, round(list_dot_product(i.embedding, s.embedding), 9) AS sim,
+    "near": """SELECT i.image, s.image AS seed, gt_hue, gt_grain, round(list_dot_product(i.embedding, s.embedding), 9) AS sim, list_dot_product(i.embedding, s.embedding) AS raw_sim,
       row_number() OVER (PARTITION BY i.image ORDER BY round(list_dot_product(i.embedding, s.embedding), 9) DESC, s.image) AS rank
       FROM items i, seeds s QUALIFY rank <= 7""",
-    "cast_": """SELECT image, category, label, count(*) AS support, avg(sim) AS similarity, min(rank) AS first_
-      FROM (SELECT image, 'hue' AS category, gt_hue AS label, sim, rank FROM near
-            UNION ALL SELECT image, 'grain', gt_grain, sim, rank FROM near) GROUP BY ALL""",
+    "cast_": """SELECT image, category, label, count(*) AS support, avg(raw_sim) AS similarity, min(rank) AS first_
+      FROM (SELECT image, 'hue' AS category, gt_hue AS label, raw_sim, rank FROM near
+            UNION ALL SELECT image, 'grain', gt_grain, raw_sim, rank FROM near) GROUP BY ALL""",
     "votes": """SELECT image, category, label, round(support / 7, 6) AS ratio, round(similarity, 6) AS similarity, support
       FROM cast_ QUALIFY row_number() OVER (PARTITION BY image, category ORDER BY support DESC, first_) = 1""",
 }
@@ -181,15 +181,14 @@ def seed_votes(spark, sf_dir):
 @register(
     "nearest_seeds",
     I.sql(
-        "SELECT image, seed, round(sim, 6) AS similarity, rank::INT AS rank FROM near",
+        "SELECT image, seed, sim AS similarity, rank::INT AS rank FROM near",
         "items",
         "marks",
         extra={k: VOTES[k] for k in ("seeds", "near")},
     ),
 )
 def nearest_seeds(spark, sf_dir):
-    near = review.nearest_seeds(I.items(spark, sf_dir), seeds(spark, sf_dir), SETTINGS.knn_k)
-    return near.withColumn("similarity", F.round("similarity", 6))
+    return review.nearest_seeds(I.items(spark, sf_dir), seeds(spark, sf_dir), SETTINGS.knn_k)
 
 
 @register(

@@ -128,8 +128,8 @@ def nearest_seeds(
 ) -> DataFrame:
     """k nearest seeds by dot product: image, seed, similarity, rank.
 
-    Ties go to the seed with the smaller name; an item that is a seed may be its
-    own neighbour. Seeds are compared block by block; with more than one block
+    Similarities are rounded to ``TIE_DIGITS``, beyond which they are noise; ties go
+    to the seed with the smaller name. An item that is a seed may be its own neighbour. Seeds are compared block by block; with more than one block
     only each block's best k per item are shuffled.
     """
     blocks = vector_blocks(seeds.select("image", "embedding"), "embedding", ("image",), max_bytes)
@@ -228,8 +228,8 @@ def seed_votes(
     @F.arrow_udf(f"array<{_VOTE}>")
     def vote(column: pa.Array) -> pa.Array:
         valid, x = V.batch_matrix(column, matrix.shape[1])
-        similarity = np.round(x @ matrix.T, TIE_DIGITS)
-        at = _nearest(similarity, voters)
+        similarity = x @ matrix.T
+        at = _nearest(np.round(similarity, TIE_DIGITS), voters)
         near = np.take_along_axis(similarity, at, axis=1)
         labels, supports, means = [], [], []
         for word, code in zip(words, codes):
