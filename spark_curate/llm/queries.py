@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import quality, sharding, simhash
+from spark_curate.llm import quality, sharding, simhash, toxicity
+from spark_curate.llm.common import remainder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_toxicity(spark, folder):
+    """Toxicity score of every document, learned from the labels of four fifths of the ids."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 5) == 0)
+
+
 def op7_simhash_dedup(spark, folder):
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -42,6 +50,7 @@ def pipeline(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
+        op4_toxicity,
         op7_simhash_dedup,
         op8_quality_rules,
         op10_sharding,
