@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import quality, sharding, simhash, toxicity
+from spark_curate.llm import bpe, quality, sharding, simhash, toxicity
 from spark_curate.llm.common import remainder
 
 
@@ -20,6 +21,12 @@ def op4_toxicity(spark, folder):
     return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 5) == 0)
 
 
+def op6_bpe_encoding(spark, folder):
+    """Ids and decoded text of every document under the word vocabulary, as digests."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_decode(table(spark, folder, "documents"), path)
+
+
 def op7_simhash_dedup(spark, folder):
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -51,6 +58,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op4_toxicity,
+        op6_bpe_encoding,
         op7_simhash_dedup,
         op8_quality_rules,
         op10_sharding,
