@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import bpe, quality, sharding, simhash, toxicity
+from spark_curate.llm import bpe, packing, quality, sharding, simhash, toxicity
 from spark_curate.llm.common import remainder
 
 
@@ -14,6 +14,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_packing(spark, folder):
+    """Sequences of at most 1024 tokens holding all documents."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, folder, "documents"), path)
+
+
 def op4_toxicity(spark, folder):
     """Toxicity score of every document, learned from the labels of four fifths of the ids."""
     docs = table(spark, folder, "documents")
@@ -57,6 +63,7 @@ def pipeline(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_packing,
         op4_toxicity,
         op6_bpe_encoding,
         op7_simhash_dedup,
