@@ -73,7 +73,7 @@ class Ids:
             for t in texts
         ]
         seen = set().union(*(f for f in found if f))
-        new = list(seen - self.known.keys())
+        new = [w for w in seen if w not in self.known]
         if new and len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
             new = list(seen)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import bpe, packing, quality, sharding, simhash, toxicity
+from spark_curate.llm import bpe, counting, packing, quality, sharding, simhash, toxicity
 from spark_curate.llm.common import remainder
 
 
@@ -48,6 +48,12 @@ def op8_quality_rules(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
 
 
+def op9_token_counts(spark, folder):
+    """Pieces of every document under the scored vocabulary taken as a unigram model."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return counting.token_counts(table(spark, folder, "documents"), path)
+
+
 def op10_sharding(spark, folder):
     """Eight contiguous shards of equal bytes."""
     return sharding.byte_shards(table(spark, folder, "documents"))
@@ -68,6 +74,7 @@ QUERIES = {
         op6_bpe_encoding,
         op7_simhash_dedup,
         op8_quality_rules,
+        op9_token_counts,
         op10_sharding,
     )
 }
