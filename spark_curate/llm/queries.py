@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import bpe, counting, packing, quality, sharding, simhash, toxicity
+from spark_curate.llm import bpe, counting, neighbours, packing, quality, sharding, simhash, toxicity
 from spark_curate.llm.common import remainder
 
 
@@ -14,6 +14,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_nearest_neighbours(spark, folder):
+    """The five nearest vectors found for every fiftieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op3_packing(spark, folder):
     """Sequences of at most 1024 tokens holding all documents."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +75,7 @@ def pipeline(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_nearest_neighbours,
         op3_packing,
         op4_toxicity,
         op6_bpe_encoding,
