@@ -112,6 +112,7 @@ QUERIES = {
         op8_quality_rules,
         op9_token_counts,
         op10_sharding,
+        pipeline,
     )
 }
 SQL: dict[str, str] = {"op5_chat_formatting": OP5_SQL}

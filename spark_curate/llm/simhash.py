@@ -217,6 +217,15 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarr
         yield name, *(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+def class_components(marked: DataFrame, radius: int, id_col: str) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of ``marked`` (fp, id_col)."""
+    classes = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least_id")))
+    linked = components(links(classes, radius)).withColumnRenamed("node", "fp")
+    rooted = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -231,9 +240,28 @@ def near_duplicates(
     marked = materialize(
         fingerprints(docs.select(F.col(id_col).alias("doc_id"), text_col), width, text_col)
     )
-    classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    linked = components(links(classes, radius)).withColumnRenamed("node", "fp")
-    rooted = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
+    named = class_components(marked, radius, "doc_id").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but one of each component.
+
+    The row of the smallest id stays; of repeated ids the one read first, and a null id
+    only if the component has no other. Rows are told apart by their place of reading,
+    so ``docs`` has to be read alike twice, as a table is.
+    """
+    mark = "_row"
+    while mark in docs.columns:
+        mark += "_"
+    numbered = docs.withColumn(mark, F.monotonically_increasing_id())
+    slim = numbered.select(
+        F.col(mark).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("body")
+    )
+    marked = materialize(fingerprints(slim, width, "body", ("row", "id")))
+    found = marked.join(class_components(marked, radius, "id").select("fp", "root"), "fp")
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
+    stay = materialize(found.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(mark)))
+    return numbered.join(stay, mark, "left_semi").drop(mark)
