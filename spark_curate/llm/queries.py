@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import bpe, chat, counting, neighbours, packing, quality, sharding, simhash, toxicity
+from spark_curate.llm import bpe, chat, counting, neighbours, packing, quality, sharding, simhash, suffix_tree, toxicity
 from spark_curate.llm.common import remainder
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_scoring(spark, folder):
+    """log10 probability of every document, learned from six sevenths of the ids."""
+    return suffix_tree.score(table(spark, folder, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op2_nearest_neighbours(spark, folder):
     """The five nearest vectors found for every fiftieth vector."""
     vectors = table(spark, folder, "embeddings")
@@ -103,6 +108,7 @@ def pipeline(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_lm_scoring,
         op2_nearest_neighbours,
         op3_packing,
         op4_toxicity,
