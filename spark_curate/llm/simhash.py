@@ -264,4 +264,5 @@ def keep_one(
     found = marked.join(class_components(marked, radius, "id").select("fp", "root"), "fp")
     first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
     stay = materialize(found.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(mark)))
-    return numbered.join(stay, mark, "left_semi").drop(mark)
+    # never a broadcast: what stays grows with the documents, and the plan is to be one at every size
+    return numbered.join(stay.hint("merge"), mark, "left_semi").drop(mark)
