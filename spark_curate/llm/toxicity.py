@@ -37,8 +37,10 @@ STEP = WINDOW - GRAM - 2
 #: has under 64 literals, below which they are not entropy coded.
 LEAD = bytes(range(128, 192))
 GAP = b"\xff"  # parts selected grams in a dictionary; no UTF-8 text holds it
-#: A window's length difference counts from this many bytes on.
+#: A window is reported as toxic if the toxic dictionary saves more than so many bytes.
 MARGIN = 2
+#: Differences beyond this many bytes are one class to the evidence.
+BIN_SPAN = 8
 
 FIELDS = "score double, predicted int, n_windows long, n_toxic_windows long"
 
@@ -49,6 +51,7 @@ class Model:
 
     toxic: bytes
     ordinary: bytes
+    ratios: list[float]
     centre: list[float]
     spread: list[float]
     weights: list[float]
@@ -148,15 +151,33 @@ def differences(text: str, toxic_length, ordinary_length) -> np.ndarray:
     return np.array([ordinary_length(w) - toxic_length(w) for w in windows(text)])
 
 
-def features(saved: np.ndarray) -> list[float]:
-    toxic = np.clip(saved - MARGIN, 0, None)
-    plain = np.clip(-saved - MARGIN, 0, None)
-    n = len(saved)
+def _bins(saved: np.ndarray) -> np.ndarray:
+    """A window's difference as a class: from ``-BIN_SPAN`` to ``BIN_SPAN`` bytes."""
+    return np.clip(saved, -BIN_SPAN, BIN_SPAN) + BIN_SPAN
+
+
+def window_ratios(toxic: list[np.ndarray], ordinary: list[np.ndarray]) -> np.ndarray:
+    """Per class of differences: log of how much more usual it is in toxic documents."""
+    counts = [
+        np.bincount(_bins(np.concatenate(group)), minlength=2 * BIN_SPAN + 1) + 0.5
+        for group in (toxic, ordinary)
+    ]
+    return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+
+
+def features(saved: np.ndarray, ratios: np.ndarray) -> list[float]:
+    """The evidence of all windows together, and per window.
+
+    The sum weighs every window, also those that speak for an ordinary text, so a long
+    text is not toxic for a few chance matches nor a short one for a single match.
+    """
+    evidence = float(ratios[_bins(saved)].sum())
+    beyond = np.clip(saved - MARGIN, 0, None)
     return [
-        math.sqrt(toxic.sum() / n),
-        math.log1p(toxic.sum()),
-        math.sqrt((toxic > 0).sum() / n),
-        math.sqrt(plain.sum() / n),
+        math.copysign(math.log1p(abs(evidence)), evidence),
+        evidence / len(saved),
+        math.sqrt(beyond.mean()),
+        math.sqrt((beyond > 0).mean()),
     ]
 
 
@@ -196,10 +217,12 @@ def fit_texts(toxic: list[str], ordinary: list[str]) -> Model | float:
     content = train_dictionaries(toxic[: cuts[0]], ordinary[: cuts[1]])
     lengths = [compressor(c) for c in content]
     held = [(t, 1) for t in toxic[cuts[0] :]] + [(t, 0) for t in ordinary[cuts[1] :]]
-    rows = np.array([features(differences(t, *lengths)) for t, _ in held])
+    saved = [differences(t, *lengths) for t, _ in held]
+    ratios = window_ratios(*([d for d, (_, y) in zip(saved, held, strict=True) if y == c] for c in (1, 0)))
+    rows = np.array([features(d, ratios) for d in saved])
     centre, spread = rows.mean(axis=0), rows.std(axis=0) + 1e-6
     weights = _logistic((rows - centre) / spread, np.array([y for _, y in held], float))
-    return Model(*content, centre.tolist(), spread.tolist(), weights.tolist())
+    return Model(*content, ratios.tolist(), centre.tolist(), spread.tolist(), weights.tolist())
 
 
 def fit(
@@ -250,9 +273,9 @@ def score(
 ) -> DataFrame:
     """Toxicity of every whole text, a row per row of ``docs``.
 
-    Overlapping windows of the text are compressed under both dictionaries; what the
-    toxic one saves becomes a few features, and the calibrated regression a score
-    from 0 to 1; ``predicted`` is 1 from 0.5 on. Null and empty texts are one empty
+    Overlapping windows of the text are compressed under both dictionaries; the evidence
+    of the length differences becomes a score from 0 to 1 by the calibrated regression;
+    ``predicted`` is 1 from 0.5 on. Null and empty texts are one empty
     window and get the score of a text without any match. Repeated rows score alike.
     Without labelled texts of both classes every score is the share of toxic ones.
     An empty table gives an empty result; columns besides ``carry`` and the text are
@@ -268,11 +291,13 @@ def score(
                 "n_toxic_windows": [0] * len(texts),
             }
         lengths = compressor(model.toxic), compressor(model.ordinary)
-        centre, spread, weights = (np.array(x) for x in (model.centre, model.spread, model.weights))
+        ratios, centre, spread, weights = (
+            np.array(x) for x in (model.ratios, model.centre, model.spread, model.weights)
+        )
 
         def work(texts: list[str]) -> dict[str, list]:
             saved = [differences(t, *lengths) for t in texts]
-            rows = (np.array([features(s) for s in saved]).reshape(-1, len(centre)) - centre) / spread
+            rows = (np.array([features(s, ratios) for s in saved]).reshape(-1, len(centre)) - centre) / spread
             scores = 1 / (1 + np.exp(-np.clip(rows @ weights[1:] + weights[0], -30, 30)))
             return {
                 "score": scores.tolist(),
