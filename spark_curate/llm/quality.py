@@ -15,13 +15,13 @@ from spark_curate.llm.common import BLANKS, map_texts
 #: first length there is too little to compress and only the base rules decide.
 BANDS = (
     (192, 1.10, 2.30),
-    (512, 1.25, 2.15),
-    (1024, 1.40, 2.25),
-    (2048, 1.50, 2.35),
-    (4096, 1.60, 2.45),
-    (8192, 1.70, 2.55),
-    (16384, 1.75, 2.65),
-    (32768, 1.80, 2.75),
+    (512, 1.25, 2.20),
+    (1024, 1.40, 2.30),
+    (2048, 1.50, 2.40),
+    (4096, 1.60, 2.55),
+    (8192, 1.70, 2.65),
+    (16384, 1.75, 2.80),
+    (32768, 1.80, 3.00),
 )
 #: Fixed chunks of this many bytes, each compressed alone; a chunk has its own band.
 CHUNK_BYTES = 2048
