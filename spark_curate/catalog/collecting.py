@@ -8,7 +8,7 @@ from spark_curate.catalog import filtering
 from spark_curate.catalog import inputs as I
 from spark_curate.functions import names as N
 from spark_curate.functions.session import materialize
-from spark_curate.operators import harvest, monitor, resolution, sequence
+from spark_curate.operators import harvest, monitor, resolution, sequence, skew
 
 QUERIES = {}
 SQL = {}
@@ -532,38 +532,37 @@ def link_quota(spark, sf_dir):
 
 
 
-@register(
-    "search_until",
-    I.sql(
+def search_sql(stride):
+    return I.sql(
         """SELECT query, page, ord, url FROM new JOIN read_ USING (query, page)
         QUALIFY row_number() OVER (PARTITION BY query ORDER BY page, ord) <= 25""",
         extra={
             **LINKS,
-            "ranked": """SELECT p.lang AS query, dense_rank() OVER (PARTITION BY p.lang ORDER BY p.page_id) - 1 AS page, links.ord, links.url
+            "ranked": f"""SELECT p.lang AS query, (dense_rank() OVER (PARTITION BY p.lang ORDER BY p.page_id) - 1) * {stride} AS page, links.ord, links.url
                FROM links JOIN (SELECT page_id, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang FROM pages) p USING (page_id)""",
-            "reach": "SELECT * FROM ranked WHERE page <= 51",
-            "new": """SELECT query, page, ord, url FROM reach
+            "new": """SELECT query, page, ord, url FROM ranked
                QUALIFY row_number() OVER (PARTITION BY query, url ORDER BY page, ord) = 1""",
-            "fresh": """SELECT query, page, count(n.url) AS new FROM (SELECT DISTINCT query, page FROM reach) r
+            "fresh": """SELECT query, page, count(n.url) AS new FROM (SELECT DISTINCT query, page FROM ranked) r
                LEFT JOIN new n USING (query, page) GROUP BY query, page""",
             "ends": """SELECT query, page, coalesce(sum(new) OVER e, 0) AS before,
-               page >= 2 AND new = 0 AND lag(new) OVER (PARTITION BY query ORDER BY page) = 0 AS ends FROM fresh
+               lag(page) OVER (PARTITION BY query ORDER BY page) >= 1 AND new = 0 AND lag(new) OVER (PARTITION BY query ORDER BY page) = 0 AS ends FROM fresh
                WINDOW e AS (PARTITION BY query ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
             "read_": """SELECT query, page FROM (SELECT *, coalesce(bool_or(ends) OVER (PARTITION BY query ORDER BY page
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ended FROM ends)
                WHERE page = 0 OR (before < 25 AND NOT ended)""",
         },
-    ),
-)
-def search_until(spark, sf_dir):
-    """Pages of a language stand for the result pages of a query, in id order."""
+    )
+
+
+def searched(spark, sf_dir, stride):
+    """Pages of a language stand for the result pages of a query, numbered in id order."""
     pages = I.table(spark, sf_dir, "pages").withColumn(
         "query", F.regexp_extract("html", 'lang="([a-z]+)"', 1)
     )
     numbered = sequence.global_sequence(pages.select("query", "page_id"), ["query", "page_id"])
-    starts = numbered.groupBy("query").agg(F.min("seq").alias("start"))
-    numbers = numbered.join(starts, "query").select(
-        "page_id", "query", (F.col("seq") - F.col("start")).alias("page")
+    starts = numbered.groupBy("query").agg(F.min("seq").alias("start"), F.count("*").alias("n"))
+    numbers = skew.join_unique(numbered, starts, "query").select(
+        "page_id", "query", ((F.col("seq") - F.col("start")) * stride).alias("page")
     )
     urls = pages.select(
         "page_id",
@@ -577,6 +576,17 @@ def search_until(spark, sf_dir):
     return harvest.search_until(numbers.join(urls, "page_id").select("query", "page", "urls"), 25)
 
 
+@register("search_until", search_sql(1))
+def search_until(spark, sf_dir):
+    return searched(spark, sf_dir, 1)
+
+
+@register("search_until_gaps", search_sql(7))
+def search_until_gaps(spark, sf_dir):
+    """The same with six page numbers left out between any two."""
+    return searched(spark, sf_dir, 7)
+
+
 @register(
     "feed_links",
     I.sql(
@@ -623,7 +633,7 @@ def static_host_links(spark, sf_dir):
     "admitted_responses",
     I.sql(
         """SELECT query, ord, url, name FROM (SELECT source AS query, doc_id AS ord, 'http://example.com/' || doc_id AS url,
-        'google_' || lpad(doc_id::VARCHAR, 5, '0') || '_' || substr(sha256('http://example.com/' || doc_id), 1, 16) ||
+        'google_' || printf('%05d', doc_id) || '_' || substr(sha256('http://example.com/' || doc_id), 1, 16) ||
           CASE lang WHEN 'de' THEN '.png' WHEN 'fr' THEN '.webp' ELSE '.jpg' END AS name
         FROM documents WHERE lang <> 'es' AND octet_length(encode(text)) >= 1000)
         QUALIFY row_number() OVER (PARTITION BY query ORDER BY ord) <= 8""",

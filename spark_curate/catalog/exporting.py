@@ -215,7 +215,7 @@ def apply_corrections(spark, sf_dir):
 @register(
     "export_names",
     I.sql(
-        """SELECT image, 'item_' || lpad((row_number() OVER (ORDER BY image))::VARCHAR, 5, '0') || '.jpg' AS new_name,
+        """SELECT image, 'item_' || printf('%05d', row_number() OVER (ORDER BY image)) || '.jpg' AS new_name,
         row_number() OVER (ORDER BY image) AS seq FROM (SELECT o_orderpriority || '/' || o_orderkey AS image FROM orders)""",
     ),
 )
@@ -229,7 +229,7 @@ def export_names(spark, sf_dir):
 @register(
     "export_clean",
     I.sql(
-        """SELECT 'item_' || lpad((row_number() OVER (ORDER BY image))::VARCHAR, 5, '0') || '.jpg' AS image, grain, hue FROM fixed""",
+        """SELECT 'item_' || printf('%05d', row_number() OVER (ORDER BY image)) || '.jpg' AS image, grain, hue FROM fixed""",
         "labels_out", "items",
         extra=WIDE,
     ),

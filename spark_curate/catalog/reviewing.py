@@ -409,15 +409,14 @@ def top_clusters(spark, sf_dir):
     I.sql(
         """SELECT round((SELECT avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) FROM (
           SELECT image, max(n) FILTER (own) AS n, max(total / nullif(n - 1, 0)) FILTER (own) AS a, min(total / n) FILTER (NOT own) AS b
-          FROM (SELECT x.image, x.label = y.label AS own, y.label, count(*) AS n, sum(list_distance(x.embedding, y.embedding)) AS total
-                FROM picked x, picked y GROUP BY ALL) GROUP BY image)), 6) AS silhouette,
+          FROM (SELECT x.image, x.label = y.label AS own, y.label, count(*) AS n, sum(list_distance(x.embedding, y.embedding) ** 2) AS total
+                FROM items x, items y GROUP BY ALL) GROUP BY image)), 6) AS silhouette,
         (SELECT round((sum(n * d * d) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*))), 4)
          FROM (SELECT g.label, count(*) AS n, sum(list_distance(i.embedding, vec) ** 2) AS w, any_value(list_distance(vec, whole)) AS d
                FROM items i JOIN class_vecs g ON g.label = i.label, overall GROUP BY g.label)) AS calinski_harabasz""",
         "items", "class_dims",
         extra={
             "class_vecs": CLUSTERS["class_vecs"],
-            "picked": "SELECT * FROM items ORDER BY md5('42' || image), image LIMIT 1200",
             "overall": "SELECT list(v ORDER BY i) AS whole FROM (SELECT i, sum(s) / sum(n) AS v FROM dims GROUP BY i)",
         },
     ),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
-from spark_curate.operators.evaluation import draw
 
-# Rows used for the silhouette, weights of the two signals.
-SILHOUETTE_ROWS = 1200
+# Weights of the two signals.
 SILHOUETTE_WEIGHT, DISPERSION_WEIGHT = 0.7, 0.3
 
 
@@ -85,41 +83,19 @@ def assign(features: DataFrame, model: KMeansModel) -> DataFrame:
     )
 
 
-def silhouette(
-    assigned: DataFrame, rows: int = SILHOUETTE_ROWS, seed: int = 42
-) -> float:
-    """Mean Euclidean silhouette of a seeded sample of (image, features, cluster_id).
+def silhouette(assigned: DataFrame) -> float:
+    """Mean silhouette of all rows of (features, cluster_id), by squared Euclidean distance.
 
-    The sample is of fixed size whatever the table, so it is shipped to the tasks
-    that score its rows. -1 if the sample lies in one cluster.
+    The squared form needs only the sums of each cluster, so the work is linear in
+    the rows and no sample is taken. -1 if all rows lie in one cluster.
     """
-    sample = materialize(
-        draw(assigned.select("image", V.doubles(F.col("features")).alias("features"), "cluster_id"), rows, seed)
+    rows = assigned.select(
+        array_to_vector(V.doubles(F.col("features"))).alias("features"),
+        F.col("cluster_id").cast("double").alias("prediction"),
     )
-    taken = sample.collect()
-    if len({r["cluster_id"] for r in taken}) < 2:
+    if rows.select("prediction").distinct().limit(2).count() < 2:
         return -1.0
-    points = np.asarray([r["features"] for r in taken], dtype=np.float64)
-    labels = np.asarray([r["cluster_id"] for r in taken])
-    names, codes = np.unique(labels, return_inverse=True)
-    member = np.eye(len(names))[codes]
-    sizes = member.sum(axis=0)
-
-    @F.arrow_udf("double")
-    def row_score(column: pa.Array, cluster: pa.Array) -> pa.Array:
-        _, x = V.batch_matrix(column, points.shape[1])
-        own = np.searchsorted(names, cluster.to_numpy(zero_copy_only=False))
-        distances = np.linalg.norm(x[:, None, :] - points[None, :, :], axis=2)
-        totals, at = distances @ member, np.arange(len(x))
-        within = totals[at, own] / np.maximum(sizes[own] - 1, 1)
-        means = totals / sizes
-        means[at, own] = np.inf
-        nearest = means.min(axis=1)
-        scale = np.maximum(within, nearest)
-        value = np.where(scale > 0, (nearest - within) / np.where(scale > 0, scale, 1), 0.0)
-        return pa.array(np.where(sizes[own] > 1, value, 0.0))
-
-    return sample.agg(F.avg(row_score("features", "cluster_id"))).first()[0]
+    return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows)
 
 
 def dispersion_ratio(assigned: DataFrame) -> float:
@@ -164,7 +140,7 @@ def select_best_k(features: DataFrame, settings: ClusterSettings) -> tuple[int,
             "image", vector_to_array("features").alias("features"), "cluster_id"
         )
         measured.append(
-            (k, silhouette(placed, seed=settings.seed), dispersion_ratio(placed), model)
+            (k, silhouette(placed), dispersion_ratio(placed), model)
         )
     top = max(m[2] for m in measured)
     top = top if top > 0 else 1.0

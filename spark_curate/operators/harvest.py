@@ -124,15 +124,14 @@ def search_until(pages: DataFrame, target: int) -> DataFrame:
     stops after two successive pages without a new url, or before a page once
     ``target`` urls are there; the result is cut at ``target``.
 
-    Two pages bring at least one url or end the search, so pages after
-    ``2 * target + 1`` are never reached and each query's window stays bounded.
+    Page numbers may have gaps: successive pages are those that follow each other in
+    the table. Only one row per page enters the windows of a query.
     """
-    reachable = pages.where(F.col("page") <= 2 * target + 1)
-    each = reachable.select("query", "page", F.posexplode("urls").alias("ord", "url"))
+    each = pages.select("query", "page", F.posexplode("urls").alias("ord", "url"))
     first = each.groupBy("query", "url").agg(F.min(F.struct("page", "ord")).alias("_f"))
     new = first.select("query", "_f.page", "_f.ord", "url")
     fresh = (
-        reachable.select("query", "page", F.lit(0).alias("_n"))
+        pages.select("query", "page", F.lit(0).alias("_n"))
         .unionByName(new.select("query", "page", F.lit(1).alias("_n")))
         .groupBy("query", "page")
         .agg(F.sum("_n").alias("new"))
@@ -144,7 +143,7 @@ def search_until(pages: DataFrame, target: int) -> DataFrame:
         "page",
         F.coalesce(F.sum("new").over(earlier), F.lit(0)).alias("_before"),
         (
-            (F.col("page") >= 2)
+            (F.lag("page").over(by_page) >= 1)
             & (F.col("new") == 0)
             & (F.lag("new").over(by_page) == 0)
         ).alias("_ends"),
@@ -211,6 +210,10 @@ def pending_work(
     )
 
 
-def download_totals(files: DataFrame) -> DataFrame:
-    """Files per source and in total (source null)."""
-    return files.rollup("source").agg(F.count("*").alias("n"))
+def download_totals(files: DataFrame, count: str | None = None) -> DataFrame:
+    """Files per source and in total (source null).
+
+    ``count`` names the column of file counts if a row stands for several files.
+    """
+    n = F.sum(count) if count else F.count("*")
+    return files.rollup("source").agg(n.alias("n"))

@@ -616,9 +616,9 @@ def priority_concentration(review: DataFrame) -> DataFrame:
         )
     )
     n = scored.count()
-    top = min(n, max(TOP_LEAST, n // int(1 / TOP_SHARE)))
-    limit = exact_quantiles(scored.withColumn("_k", F.lit(1)), ["_k"], "score", {"t": 0.75}).first()
-    threshold = limit["t"] if limit else None
+    top = min(n, max(TOP_LEAST, int(TOP_SHARE * n)))
+    # the score is a small whole number, so the exact quantile needs a few counts only
+    threshold = scored.agg(F.percentile("score", 0.75)).first()[0]
     order = [F.col("priority_score").desc(), F.col("image")]
     numbered = global_sequence(scored, order)
     high = ((F.col("score") >= F.lit(threshold)) & (F.col("score") > 0)).cast("int")

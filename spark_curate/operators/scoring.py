@@ -237,11 +237,13 @@ def margin_analysis(
 
 
 def _band(distance: Column) -> Column:
-    """Band by the number of limits reached; none for a missing distance."""
-    limits = F.array(*[F.lit(x) for x in (-1e300, BORDERLINE_BELOW, MODERATE_BELOW)])
-    reached = F.size(F.filter(limits, lambda x: distance >= x))
-    names = F.array(*[F.lit(x) for x in ("unknown", "borderline", "moderate", "clear")])
-    return F.element_at(names, reached + 1)
+    """How far an item stands from the boundary."""
+    return (
+        F.when(distance.isNull(), "unknown")
+        .when(distance < BORDERLINE_BELOW, "borderline")
+        .when(distance < MODERATE_BELOW, "moderate")
+        .otherwise("clear")
+    )
 
 
 def rejection_reasons(decisions: DataFrame) -> DataFrame:

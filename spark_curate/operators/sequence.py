@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spark_curate.functions import columns as C
 from spark_curate.functions.session import materialize
+from spark_curate.operators.skew import join_unique
 
 _ROW_BITS = 33  # low bits of monotonically_increasing_id: row within partition
 
@@ -92,7 +93,8 @@ def exact_quantiles(
             for i, (_, p) in enumerate(asked)
         ],
     )
-    placed = present.join(edges, list(keys))
+    # the rows of hot keys stay where they are; the brackets, one row per key, come to them
+    placed = join_unique(present, edges.withColumn("_rows", F.col("n")), list(keys), "_rows")
     inside = [F.col("_v").between(F.col(f"_b{i}.lo"), F.col(f"_b{i}.hi")) for i in range(len(asked))]
     # Values outside all brackets collapse to one row per key and gap.
     gap = sum(

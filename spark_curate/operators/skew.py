@@ -21,7 +21,7 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", most: int = H
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, key: str, n: str = "n", rows: int | None = None
+    left: DataFrame, right: DataFrame, key: str | list[str], n: str = "n", rows: int | None = None
 ) -> DataFrame:
     """Inner join with a side holding one row per key and the key's row count ``n``.
 

@@ -54,7 +54,7 @@ def harvest_step(
     return {
         "work": work,
         "links": harvest.quota(wanted, int(limit * harvest.OVERFETCH_PAGES)),
-        "totals": harvest.download_totals(existing.select("source")),
+        "totals": harvest.download_totals(existing, "n"),
     }
 
 

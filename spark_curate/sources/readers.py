@@ -89,10 +89,18 @@ def items(images: DataFrame) -> DataFrame:
 
 
 def _last_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Last row of each key in file order."""
-    at = F.monotonically_increasing_id()
+    """Last row of each key in file order: by file, place in the file, then row.
+
+    Spark packs the splits of files into partitions by size, so the row numbers of
+    partitions alone do not follow the files.
+    """
     rest = [c for c in df.columns if c != key]
-    placed = df.withColumn("_at", at)
+    row = F.monotonically_increasing_id()
+    try:
+        at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), row)
+        placed = df.withColumn("_at", at)
+    except AnalysisException:  # the empty stand-in of a missing file
+        placed = df.withColumn("_at", row)
     return (
         placed.groupBy(key)
         .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), "_at").alias("_r"))
@@ -101,9 +109,12 @@ def _last_per_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def label_file(
-    spark: SparkSession, path: str, categories: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str, categories: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """A label JSON file (an array, or one object per line), last row per image."""
+    """A label JSON file, last row per image: one object per line, as the writers write.
+
+    ``multi_line`` reads a file holding one array, which takes one task.
+    """
     rows = spark.read.schema(S.label_file(categories)).option("multiLine", multi_line).json(path)
     named = rows.withColumn("image", F.trim("image")).where(F.col("image") != "")
     return _last_per_key(named, "image")
@@ -113,7 +124,7 @@ def label_records(
     spark: SparkSession,
     folder: str,
     categories: Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Label records of a step folder, from the full file if there is one.
 

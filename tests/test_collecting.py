@@ -9,6 +9,7 @@ from spark_curate.functions import columns as C
 from spark_curate.functions import names as N
 from spark_curate.functions import vectors as V
 from spark_curate.operators import export, harvest, monitor, resolution
+from spark_curate.plans import steps
 
 
 def one(spark, column, **values):
@@ -192,3 +193,20 @@ def test_fallback_tables(spark):
     full, none = spark.range(3), spark.range(0)
     assert monitor.coalesce_tables(full, none).count() == 3
     assert monitor.coalesce_tables(none, full).count() == 3
+
+
+def test_paging_over_gaps_in_the_numbers(spark):
+    pages = spark.createDataFrame(
+        [("q", p, [f"u{p}"]) for p in (0, 10, 20, 30)] + [("r", p, ["same"]) for p in (0, 5, 9, 40)] + [("r", 50, ["late"])],
+        "query string, page int, urls array<string>",
+    )
+    got = sorted((r["query"], r["page"], r["url"]) for r in harvest.search_until(pages, 3).collect())
+    assert got == [("q", 0, "u0"), ("q", 10, "u10"), ("q", 20, "u20"), ("r", 0, "same")]
+
+
+def test_harvest_totals_count_files(spark):
+    paths = spark.createDataFrame([(f"google/red/google_{i}.jpg",) for i in range(5)], "path string")
+    queries = spark.createDataFrame([("red",)], "query string")
+    pages = spark.createDataFrame([], "page_id long, query string, url string, html string")
+    totals = {r["source"]: r["n"] for r in steps.harvest_step(queries, ["google"], paths, pages, 9)["totals"].collect()}
+    assert totals == {"google": 5, None: 5}

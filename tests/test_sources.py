@@ -147,11 +147,11 @@ def test_label_file(spark, tmp_path):
         {"image": "a", "hue": "black", "scores": {"hue": {"assigned": "black", "confidence": 0.5}}},
     ]
     (tmp_path / "labels.json").write_text(json.dumps(entries[:2], indent=1))
-    basic = {r["image"]: r for r in readers.label_records(spark, str(tmp_path), ("hue", "grain")).collect()}
+    basic = {r["image"]: r for r in readers.label_records(spark, str(tmp_path), ("hue", "grain"), multi_line=True).collect()}
     assert basic["a"]["predicted"] == {"hue": "red", "grain": "unknown"}
     assert basic["a"]["margins"]["hue"] == pytest.approx(0.2) and basic["b"]["margins"]["hue"] is None
     (tmp_path / "labels_full.json").write_text(json.dumps(entries))
-    full = {r["image"]: r for r in readers.label_records(spark, str(tmp_path), ("hue",)).collect()}
+    full = {r["image"]: r for r in readers.label_records(spark, str(tmp_path), ("hue",), multi_line=True).collect()}
     assert set(full) == {"a", "b"} and full["a"]["predicted"]["hue"] == "black"
     assert full["a"]["margins"]["hue"] is None
 
@@ -225,7 +225,7 @@ def test_outputs(spark, tmp_path):
     )
     vectors = spark.createDataFrame([("a", [1.0]), ("z", [0.5])], "image string, embedding array<float>")
     writers.write_labels(records, str(tmp_path), ("hue", "grain"))
-    back = readers.label_records(spark, str(tmp_path), ("hue", "grain"), multi_line=False).first()
+    back = readers.label_records(spark, str(tmp_path), ("hue", "grain")).first()
     assert back["predicted"] == {"hue": "red", "grain": "unknown"}
     writers.write_embeddings(records, vectors, f"{tmp_path}/emb", "m", "w")
     stored = readers.embeddings(spark, f"{tmp_path}/emb")
@@ -256,3 +256,21 @@ def test_run_and_manifest(spark, tmp_path):
     assert state.where("filter.kept").count() == state.where("label.labeled").count()
     board = steps.dashboard(outcome, hashed, hashed)
     assert board["funnel"].count() == 4 and board["anomalies"].where("rule = 'retention'").count() >= 1
+
+
+def test_last_row_wins_in_file_order(spark, tmp_path):
+    """The later file is the larger one, which Spark reads first."""
+    folder = tmp_path / "log.csv"
+    folder.mkdir()
+    head = "filename,positive_score,negative_score,kept\n"
+    (folder / "part-0.csv").write_text(head + "x,0.1,0.2,False\n")
+    filler = "".join(f"y{i},0.5,0.1,True\n" for i in range(20_000))
+    (folder / "part-1.csv").write_text(head + filler + "x,0.9,0.2,True\n")
+    got = {r["image"]: r["kept"] for r in readers.target_log(spark, str(folder)).where("image = 'x'").collect()}
+    assert got == {"x": True}
+
+
+def test_label_lines_are_all_read(spark, tmp_path):
+    lines = [json.dumps({"image": f"i{k}", "hue": "red"}) for k in range(5)]
+    (tmp_path / "labels.json").write_text("\n".join(lines))
+    assert readers.label_records(spark, str(tmp_path), ("hue",)).count() == 5
