@@ -55,9 +55,10 @@ def branches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
     Each round joins the table of ancestors with itself, so round ``k`` knows the
     ``2**k``-th ancestor of every node and the score of the stretch below it: a thread of
-    a thousand replies takes ten rounds. ``jumps[k]`` is (node, anc) at that distance.
-    Nodes on a cycle never end; after as many rounds as the nodes allow they are left
-    out. Each round is written to the shared folder.
+    a thousand replies takes ten rounds, of which all but the first few concern only the
+    nodes far from their root. ``jumps[k]`` is (node, anc) at that distance. Nodes on a
+    cycle never end; after as many rounds as the nodes allow they are left out. Each
+    round is written to the shared folder.
     """
     slim = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = slim.select(F.col("node").alias("_node"), F.col("tree").alias("_tree"))
@@ -67,28 +68,28 @@ def branches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         )
     )
     leaves = state.select("node").join(state.select(F.col("anc").alias("node")), "node", "left_anti")
-    total, open_nodes = state.agg(F.count(F.lit(1)), F.count("anc")).first()
+    total = state.count()
+    ended, walking = state.where("anc is null"), state.where("anc is not null")
     jumps = []
-    while open_nodes and len(jumps) <= total.bit_length():
-        jumps.append(state.where("anc is not null").select("node", "anc"))
-        above = state.select(
+    while len(jumps) <= total.bit_length() and not walking.isEmpty():
+        jumps.append(walking.select("node", "anc"))
+        above = ended.union(walking).select(
             F.col("node").alias("anc"),
             F.col("anc").alias("_anc"),
             F.col("depth").alias("_depth"),
             F.col("score").alias("_score"),
         )
-        state = materialize(
-            state.join(above, "anc", "left").select(
+        moved = materialize(
+            walking.join(above, "anc").select(
                 "tree",
                 "node",
                 F.col("_anc").alias("anc"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
+                (F.col("depth") + F.col("_depth")).alias("depth"),
+                (F.col("score") + F.col("_score")).alias("score"),
             )
         )
-        open_nodes = state.agg(F.count("anc")).first()[0]
-    ended = state.where("anc is null").join(leaves, "node", "left_semi")
-    return ended.select("tree", F.col("node").alias("leaf"), "depth", "score"), jumps
+        ended, walking = ended.union(moved.where("anc is null")), moved.where("anc is not null")
+    return ended.join(leaves, "node", "left_semi").select("tree", F.col("node").alias("leaf"), "depth", "score"), jumps
 
 
 def ranked(paths: DataFrame) -> DataFrame:
