@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spark_curate.catalog import inputs as I
-from spark_curate.functions import names as N
 from spark_curate.operators import dedup, monitor
 
 QUERIES = {}
@@ -23,16 +22,23 @@ def register(name, sql=None):
 
 
 def document_hashes(spark, sf_dir):
-    """Documents by name, hashed by text: copies share their hash."""
+    """Documents by name, hashed so that near copies stay near.
+
+    A word flips the bit its own hash names: equal texts share their hash, and each
+    word changed, added or left out moves two bits at most.
+    """
     name = F.concat_ws("_", F.lit("doc"), "source", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
-    return I.table(spark, sf_dir, "documents").select(
-        name.alias("image"), N.hash_from_hex(F.substring(F.md5("text"), 1, 16)).alias("phash")
-    )
+    bit = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % 64
+    flip = lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(w).cast("int")))
+    phash = F.aggregate(F.split("text", " "), F.lit(0).cast("bigint"), flip)
+    return I.table(spark, sf_dir, "documents").select(name.alias("image"), phash.alias("phash"))
 
 
-DOC_HASHES = """SELECT 'doc_' || source || '_' || lpad(doc_id::VARCHAR, 12, '0') AS image,
+DOC_HASHES = """SELECT 'doc_' || source || '_' || printf('%012d', doc_id) AS image,
   (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END)::BIGINT AS phash
-  FROM (SELECT doc_id, source, ('0x' || substr(md5(text), 1, 16))::UBIGINT::HUGEINT AS u FROM documents)"""
+  FROM (SELECT doc_id, any_value(source) AS source,
+          bit_xor(1::UBIGINT << (('0x' || substr(md5(w), 1, 8))::BIGINT % 64)::UBIGINT)::HUGEINT AS u
+        FROM (SELECT doc_id, source, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY doc_id)"""
 
 
 def greedy_sql(body, source, threshold, *names):
@@ -61,15 +67,14 @@ def greedy_sql(body, source, threshold, *names):
 @register(
     "hamming_pairs",
     I.sql(
-        f"""SELECT a.image AS image_a, b.image AS image_b, bit_count(xor(a.phash, b.phash))::INT AS distance
+        """SELECT a.image AS image_a, b.image AS image_b, bit_count(xor(a.phash, b.phash))::INT AS distance
         FROM reps a JOIN reps b ON a.image < b.image
-        WHERE bit_count(xor(a.phash, b.phash)) <= {I.DUP_BITS}""",
-        "hashes",
-        extra={"reps": "SELECT phash, min(image) AS image FROM hashes GROUP BY phash"},
+        WHERE bit_count(xor(a.phash, b.phash)) <= 10""",
+        extra={"h": DOC_HASHES, "reps": "SELECT phash, min(image) AS image FROM h GROUP BY phash"},
     ),
 )
 def hamming_pairs(spark, sf_dir):
-    return dedup.near_pairs(I.hashes(spark, sf_dir), I.DUP_BITS)
+    return dedup.near_pairs(document_hashes(spark, sf_dir), 10)
 
 
 @register(
@@ -82,16 +87,11 @@ def duplicates(spark, sf_dir):
 
 @register(
     "dedup_survivors",
-    greedy_sql(
-        "SELECT image FROM h WHERE image NOT IN (SELECT image FROM dups)",
-        "SELECT image, phash FROM hashes",
-        I.DUP_BITS,
-        "hashes",
-    ),
+    greedy_sql("SELECT image FROM h WHERE image NOT IN (SELECT image FROM dups)", DOC_HASHES, 10),
 )
 def dedup_survivors(spark, sf_dir):
-    hashes = I.hashes(spark, sf_dir)
-    return dedup.survivors(hashes, dedup.find_duplicates(hashes, I.DUP_BITS)).select("image")
+    hashes = document_hashes(spark, sf_dir)
+    return dedup.survivors(hashes, dedup.find_duplicates(hashes, 10)).select("image")
 
 
 @register("document_duplicates", greedy_sql("SELECT * FROM dups", DOC_HASHES, 10))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spark_curate.catalog import collecting
 from spark_curate.catalog import inputs as I
+from spark_curate.catalog.deduping import greedy_sql
 from spark_curate.functions import columns as C
 from spark_curate.functions import names as N
 from spark_curate.functions import vectors as V
@@ -323,7 +324,28 @@ def logged_margins(spark, sf_dir):
     return found.select("image", "overlay_fail", "threshold_fail")
 
 
-@register("run_all_counts")
+LEFT = "image NOT IN (SELECT image FROM dups)"
+
+
+@register(
+    "run_all_counts",
+    greedy_sql(
+        f"""SELECT from_step, to_step, from_count, to_count, round(c, 6) AS conversion_pct, round(100 - c, 6) AS drop_pct
+        FROM (SELECT lag(step) OVER w AS from_step, step AS to_step, lag(n) OVER w AS from_count, n AS to_count,
+                n * 100.0::DOUBLE / lag(n) OVER w AS c
+          FROM (SELECT 'download' AS step, 0 AS ord, count(*) AS n FROM items
+            UNION ALL SELECT 'resize', 1, count(*) FROM items
+            UNION ALL SELECT 'dedup', 2, count(*) FROM items WHERE {LEFT}
+            UNION ALL SELECT 'filter', 3, count(*) FROM decisions WHERE kept AND {LEFT}
+            UNION ALL SELECT 'label', 4, count(*) FROM decisions WHERE kept AND {LEFT})
+          WINDOW w AS (ORDER BY ord)) WHERE from_step IS NOT NULL""",
+        "SELECT image, phash FROM hashes",
+        I.DUP_BITS,
+        "hashes",
+        "items",
+        "decisions",
+    ),
+)
 def run_all_counts(spark, sf_dir):
     """Dedup, filter and label of all items in one run, as step counts."""
     hashed = I.items(spark, sf_dir).join(I.hashes(spark, sf_dir), "image")
@@ -331,6 +353,9 @@ def run_all_counts(spark, sf_dir):
         hashed, I.group_prompts(spark, sf_dir), I.label_prompts(spark, sf_dir),
         threshold=I.DUP_BITS, thresholds=I.THRESHOLDS,
     )
-    return steps.dashboard(outcome, hashed, hashed)["funnel"]
+    rows = steps.dashboard(outcome, hashed, hashed)["funnel"]
+    return rows.withColumn("conversion_pct", F.round("conversion_pct", 6)).withColumn(
+        "drop_pct", F.round("drop_pct", 6)
+    )
 
 

@@ -16,7 +16,7 @@ from spark_curate.operators import labeling, scoring
 
 THRESHOLDS = scoring.Thresholds(threshold=0.0025, overlay_margin=0.01)
 CATEGORIES = ("grain", "hue")
-DUP_BITS = 20
+DUP_BITS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
