@@ -8,7 +8,7 @@ from spark_curate.catalog import inputs as I
 from spark_curate.functions import names as N
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
-from spark_curate.operators import clustering, labeling, monitor, review, sequence
+from spark_curate.operators import clustering, labeling, monitor, review, sequence, skew
 from spark_curate.operators import evaluation as ev
 
 QUERIES = {}
@@ -34,14 +34,12 @@ def clusters(spark, sf_dir):
     means = (
         I.table(spark, sf_dir, "embeddings")
         .groupBy("label")
-        .agg(V.mean_vector(F.col("embedding")).alias("v"))
-        .orderBy("label")
-        .collect()
+        .agg(V.mean_vector(F.col("embedding")).alias("v"), F.count("*").alias("n"))
     )
-    return I.items(spark, sf_dir).select(
+    return skew.join_unique(I.items(spark, sf_dir), means, "label").select(
         "image",
         F.col("label").alias("cluster_id"),
-        V.distance_to(F.col("embedding"), F.col("label"), [m["v"] for m in means]).alias("distance"),
+        V.euclidean(F.col("embedding"), F.col("v")).alias("distance"),
     )
 
 

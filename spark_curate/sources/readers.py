@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from spark_curate.functions import columns as C
 from spark_curate.functions import names as N
@@ -216,8 +216,17 @@ def listing(step_files: DataFrame, log: DataFrame | None = None, labels: DataFra
 # Groups, manifest, samples, metrics
 
 
-def duplicate_groups(spark: SparkSession, path: str) -> DataFrame:
-    """(image, duplicate_of) from a JSON object {kept: [removed, ...]}."""
+def duplicate_groups(spark: SparkSession, path: str, one_object: bool = False) -> DataFrame:
+    """(image, duplicate_of) from groups as JSON lines, as the writer writes them.
+
+    ``one_object`` reads a file holding one object {kept: [removed, ...]}, which takes
+    one task.
+    """
+    if not one_object:
+        lines = S.struct(duplicate_of=S.STR, removed=ArrayType(S.STR))
+        stored = _or_empty(spark, lambda: spark.read.schema(lines).json(path), lines)
+        removed = stored.select(F.explode("removed").alias("image"), "duplicate_of")
+        return removed.where(F.trim("image") != "")
     text = _or_empty(
         spark, lambda: spark.read.text(path, wholetext=True), S.struct(value=S.STR)
     )

@@ -18,6 +18,10 @@ from spark_curate.operators import evaluation, labeling
 from spark_curate.sources import schemas as S
 
 
+#: What is kept of an accepted annotation: its place in the order of events.
+ACCEPTED = StructType([f for f in S.ANNOTATIONS.fields if f.name in ("image", "ts", "event_id")])
+
+
 def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     full = StructType([*schema.fields, StructField("batch", LongType())])
     try:
@@ -71,15 +75,23 @@ def annotation_stream(
     """Apply arriving annotation events to the evaluation sample.
 
     Every batch writes the next version of the sample; the first starts from
-    ``sample``. Read the newest with :func:`annotated_sample`.
+    ``sample``. Read the newest with :func:`annotated_sample`. The order keys of the
+    accepted events are kept, so an older event that arrives late changes nothing and
+    the outcome is that of one batch over all events.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         current = annotated_sample(spark, out, sample, before=batch_id)
-        updated, refused = evaluation.apply_annotations(current, batch, options)
+        accepted = _stored(spark, f"{out}/accepted", ACCEPTED).where(F.col("batch") < batch_id)
+        last = accepted.groupBy("image").agg(F.max(F.struct("ts", "event_id")).alias("_last"))
+        newer = F.col("_last").isNull() | (F.struct("ts", "event_id") > F.col("_last"))
+        fresh = batch.join(last, "image", "left").where(newer).drop("_last")
+        updated, refused = evaluation.apply_annotations(current, fresh, options)
+        taken = fresh.join(refused.select("image", "event_id"), ["image", "event_id"], "left_anti")
         updated.write.mode("overwrite").parquet(f"{out}/sample/batch={batch_id}")
         refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch_id}")
+        taken.select(*ACCEPTED.names).write.mode("overwrite").parquet(f"{out}/accepted/batch={batch_id}")
 
     return _start(events, work, checkpoint)
 

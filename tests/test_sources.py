@@ -158,9 +158,15 @@ def test_label_file(spark, tmp_path):
 
 def test_groups_file(spark, tmp_path):
     (tmp_path / "groups.json").write_text('{\n "k": ["a", "b", " "],\n "m": ["c"]}')
-    got = {tuple(r) for r in readers.duplicate_groups(spark, f"{tmp_path}/groups.json").collect()}
+    got = {tuple(r) for r in readers.duplicate_groups(spark, f"{tmp_path}/groups.json", one_object=True).collect()}
     assert got == {("a", "k"), ("b", "k"), ("c", "m")}
     assert readers.duplicate_groups(spark, f"{tmp_path}/none.json").count() == 0
+    groups = spark.createDataFrame(
+        [("k", 0, ["a", "b"]), ("k", 1, ["d"]), ("m", 0, ["c"])], "duplicate_of string, piece long, removed array<string>"
+    )
+    writers.write_groups(groups, f"{tmp_path}/lines")
+    back = {tuple(r) for r in readers.duplicate_groups(spark, f"{tmp_path}/lines").collect()}
+    assert back == {("a", "k"), ("b", "k"), ("d", "k"), ("c", "m")}
 
 
 def test_prompt_tables(spark):

@@ -43,5 +43,6 @@ def test_annotation_stream(spark, tmp_path):
 
     assert arrive([("a", True, {"c": "y"}, "2024-01-01", 1)]) == {"a": (True, {"c": "y"}), "b": (None, None)}
     assert arrive([("b", True, {}, "2024-01-02", 2), ("a", False, {}, "2024-01-03", 3)]) == {"a": (False, None), "b": (None, None)}
+    assert arrive([("a", True, {"c": "x"}, "2024-01-02", 9)])["a"] == (False, None), "an older event came late"
     refused = spark.read.parquet(f"{out}/refused")
     assert [r["image"] for r in refused.collect()] == ["b"]
