@@ -122,7 +122,8 @@ def shard_links(tree_side: np.ndarray, query_side: np.ndarray | None, radius: in
     asked = values[offset:]
     for k in range(0, len(asked), 256):
         query, node = tree.search(asked[k : k + 256], radius)
-        labels = _merge(labels, query + offset + k, node)
+        # the roots are joined, and with them all that earlier batches put under them
+        labels = _merge(labels, labels[query + offset + k], labels[node])
     moved = np.flatnonzero(labels != np.arange(len(values)))
     return zip(values[moved].view(np.int64).tolist(), values[labels[moved]].view(np.int64).tolist(), strict=True)
 

@@ -129,6 +129,58 @@ def test_links_of_dense_groups_in_small_trees(spark, radius, tree_rows):
     assert len(pairs) == len(set(roots)) == len(set(got))
 
 
+def chains(n, seed, length=12):
+    """Shuffled distinct values: walks of ``length`` steps of four changed bits each."""
+    rng = np.random.default_rng(seed)
+    values = {}
+    while len(values) < n:
+        v = int(rng.integers(0, 1 << 63))
+        for _ in range(length):
+            for b in rng.choice(64, 4, replace=False):
+                v ^= 1 << int(b)
+            values[v] = None
+    return rng.permutation(np.array([*values][:n], np.uint64))
+
+
+def joined(values, edges):
+    """The least position reachable from each position."""
+    labels = np.arange(len(values))
+    a, b = edges
+    while True:
+        before = labels.copy()
+        least = np.minimum(labels[a], labels[b])
+        np.minimum.at(labels, a, least)
+        np.minimum.at(labels, b, least)
+        if np.array_equal(before, labels):
+            return labels
+
+
+@pytest.mark.parametrize("n,asking", [(1500, 0), (1300, 200), (200, 1300), (750, 750)])
+def test_links_of_a_unit_asked_in_batches(n, asking):
+    values = chains(n + asking, 5)
+    tree, asked = values[:n], values[n:] if asking else None
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    if asking:
+        near[:n, :n] = near[n:, n:] = False
+    want = joined(values, np.nonzero(near))
+    place = {int(v): k for k, v in enumerate(values.view(np.int64))}
+    found = [(place[a], place[b]) for a, b in simhash.shard_links(tree, asked, 4)]
+    got = joined(values, np.array(found).T)
+    assert np.array_equal(got, want)
+    assert len(found) == len(values) - len(set(want.tolist()))
+
+
+def test_links_of_a_shard_of_many_rows(spark):
+    values = chains(1400, 8, 40) & np.uint64((1 << 48) - 1)  # under a mask all have one key
+    values = np.unique(values)
+    classes = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    want = joined(values, np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= 4))
+    for tree_rows in (300, 700, 4096):
+        linked = {r["node"]: r["root"] for r in rows(components(simhash.links(classes, 4, tree_rows)))}
+        got = [linked.get(s, s) for s in values.view(np.int64).tolist()]
+        assert len(set(zip(want.tolist(), got, strict=True))) == len(set(want.tolist())) == len(set(got))
+
+
 def test_band_masks_leave_one_untouched():
     rng = random.Random(1)
     for rows_, radius in ((10, 4), (1 << 20, 4), (1 << 40, 4), (100, 0)):
