@@ -429,19 +429,24 @@ def cluster_quality(spark, sf_dir):
     )
 
 
-QUICK = clustering.ClusterSettings(k_min=8, k_max=12, k_step=2, pca_dim=16, restarts=2, max_iter=20)
+SEARCH = clustering.ClusterSettings()
+
+
+def best_k(spark, sf_dir):
+    """The reduced items, and the k, model and candidates of the whole search."""
+    features = clustering.reduce_dimensions(I.items(spark, sf_dir), SEARCH)
+    return features, *clustering.select_best_k(features, SEARCH)
 
 
 @register("kmeans_assignments")
 def kmeans_assignments(spark, sf_dir):
-    features = clustering.reduce_dimensions(I.items(spark, sf_dir), QUICK)
-    return clustering.assign(features, clustering.best_kmeans(features, 10, QUICK))
+    features, _, model, _ = best_k(spark, sf_dir)
+    return clustering.assign(features, model)
 
 
 @register("select_k")
 def select_k(spark, sf_dir):
-    features = clustering.reduce_dimensions(I.items(spark, sf_dir), QUICK)
-    return clustering.select_best_k(features, QUICK)[2]
+    return best_k(spark, sf_dir)[3]
 
 
 @register(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -12,12 +13,15 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
 
 # Weights of the two signals.
 SILHOUETTE_WEIGHT, DISPERSION_WEIGHT = 0.7, 0.3
+#: Cluster counts tried at once; the many short jobs of a fit leave most cores idle.
+AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -133,15 +137,16 @@ def select_best_k(features: DataFrame, settings: ClusterSettings) -> tuple[int,
     ks = [max(2, min(n - 1, settings.k_min, settings.k_max))] if fallback else list(
         range(low, high + 1, settings.k_step)
     )
-    measured = []
-    for k in ks:
+
+    def measure(k: int) -> tuple[int, float, float, KMeansModel]:
         model = best_kmeans(features, k, settings)
         placed = model.transform(features).select(
             "image", vector_to_array("features").alias("features"), "cluster_id"
         )
-        measured.append(
-            (k, silhouette(placed), dispersion_ratio(placed), model)
-        )
+        return k, silhouette(placed), dispersion_ratio(placed), model
+
+    with ThreadPool(min(AT_ONCE, len(ks))) as pool:
+        measured = pool.map(inheritable_thread_target(features.sparkSession)(measure), ks, chunksize=1)
     top = max(m[2] for m in measured)
     top = top if top > 0 else 1.0
     rows, best = [], None

@@ -241,6 +241,29 @@ def test_select_k_finds_clear_groups(spark):
     assert clustering.select_best_k(features.limit(5), fallback)[0] == 4
 
 
+def test_cluster_queries_search_the_whole_range(spark, monkeypatch):
+    """The fits themselves are shortened here; what is asked of them is not."""
+    from dataclasses import replace
+
+    import __spark_entry__ as entry
+
+    asked, fit = [], clustering.best_kmeans
+
+    def short(features, k, settings):
+        asked.append((k, settings))
+        return fit(features, k, replace(settings, restarts=1, max_iter=3))
+
+    monkeypatch.setattr(clustering, "best_kmeans", short)
+    folder = entry.SMALL.replace("sf0.001", "sf0.01")
+    table = entry.queries()["select_k"](spark, folder).collect()
+    assert sorted(r["k"] for r in table) == list(range(18, 41))
+    best = max(table, key=lambda r: (r["objective"], -r["k"]))["k"]
+    placed = entry.queries()["kmeans_assignments"](spark, folder)
+    assert placed.agg(F.max("cluster_id")).first()[0] == best - 1
+    assert sorted(k for k, _ in asked) == sorted(2 * [*range(18, 41)])
+    assert {s for _, s in asked} == {clustering.ClusterSettings()}
+
+
 def test_cluster_review_run(spark, tmp_path):
     from spark_curate.catalog import inputs as I
     from spark_curate.operators import evaluation as ev
