@@ -23,11 +23,17 @@ BANDS = (
     (16384, 1.75, 2.80),
     (32768, 1.80, 3.00),
 )
-#: Fixed chunks of this many bytes, each compressed alone; a chunk has its own band.
+#: Fixed chunks of this many bytes, each compressed alone; a chunk has its own band. What
+#: is left at the end is a chunk as well, with the band of a text of its length.
 CHUNK_BYTES = 2048
 CHUNK_BAND = (1.50, 2.35)
-#: A document fails if more than this share of its whole chunks leaves their band.
+#: A document fails if more than this share of its chunks leaves their band, on whichever
+#: side; of the chunks after the first ``FEW_CHUNKS``, more than ``LATER_SHARE``.
 CHUNK_SHARE = 0.25
+FEW_CHUNKS = 16
+LATER_SHARE = 0.125
+#: It also fails if more than so many chunks in a row leave it.
+MOST_IN_A_ROW = 4
 LEVEL = 3
 
 SYMBOLS = b"#*$%&|<>"
@@ -60,30 +66,43 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _band(size: int) -> tuple[float, float]:
+    """The band of a text of so many bytes, at least those of the first."""
+    return BANDS[bisect_right([b[0] for b in BANDS], size) - 1][1:]
+
+
 def judge(raw: bytes, squeeze) -> tuple[float | None, int, int, str]:
-    """Ratio of the whole text, its whole chunks, those out of band, and the verdict.
+    """Ratio of the whole text, its chunks, those out of band, and the verdict.
 
-    ``keep``, ``repetitive`` (above a band) or ``incompressible`` (below one). A text
-    shorter than the first band is kept.
+    ``keep``, ``repetitive`` (above a band) or ``incompressible`` (below one); chunks on
+    both sides count together and the more frequent side names them. A text shorter than
+    the first band is kept, and such a rest is no chunk.
     """
     if len(raw) < BANDS[0][0]:
         return None, 0, 0, "keep"
     ratio = len(raw) / len(squeeze(raw))
-    _, least, most = BANDS[bisect_right([b[0] for b in BANDS], len(raw)) - 1]
-    high = low = 0
-    whole = len(raw) // CHUNK_BYTES
-    for k in range(whole):
-        part = raw[k * CHUNK_BYTES : (k + 1) * CHUNK_BYTES]
-        part_ratio = CHUNK_BYTES / len(squeeze(part))
-        high += part_ratio > CHUNK_BAND[1]
-        low += part_ratio < CHUNK_BAND[0]
-    if ratio > most or high > CHUNK_SHARE * whole:
+    least, most = _band(len(raw))
+    chunks = high = low = row = longest = 0
+    for k in range(0, len(raw) if len(raw) >= CHUNK_BYTES else 0, CHUNK_BYTES):
+        part = raw[k : k + CHUNK_BYTES]
+        if len(part) < BANDS[0][0]:
+            break
+        bottom, top = CHUNK_BAND if len(part) == CHUNK_BYTES else _band(len(part))
+        part_ratio = len(part) / len(squeeze(part))
+        chunks += 1
+        high += part_ratio > top
+        low += part_ratio < bottom
+        row = 0 if bottom <= part_ratio <= top else row + 1
+        longest = max(longest, row)
+    allowed = CHUNK_SHARE * min(chunks, FEW_CHUNKS) + LATER_SHARE * max(0, chunks - FEW_CHUNKS)
+    failed = high + low > allowed or longest > MOST_IN_A_ROW
+    if ratio > most or failed and high >= low:
         verdict = "repetitive"
-    elif ratio < least or low > CHUNK_SHARE * whole:
+    elif ratio < least or failed:
         verdict = "incompressible"
     else:
         verdict = "keep"
-    return ratio, whole, high + low, verdict
+    return ratio, chunks, high + low, verdict
 
 
 def quality(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on single texts against plain or library versions."""
 
+import base64
 import hashlib
 import re
 import zlib
@@ -83,6 +84,39 @@ def test_quality_against_plain_rules(make, awkward):
     assert by_id[50]["verdict"] == "incompressible" and by_id[52]["verdict"] == "repetitive" and by_id[51]["kept"]
 
 
+def test_chunks_out_of_band_on_either_side():
+    squeeze = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    size = quality.CHUNK_BYTES
+    made = prose(5, 20_000).encode()
+    good = [made[k * size : (k + 1) * size] for k in range(48)]
+    random_ = np.random.default_rng(4).bytes(size * 48)
+    junk = [base64.b64encode(random_[k * size : (k + 1) * size])[:size] for k in range(48)]
+    dull = [(good[k][:200] * 11)[:size] for k in range(48)]
+    low, high = quality.CHUNK_BAND
+    ratio = lambda part: size / len(squeeze(part))
+    assert all(low <= ratio(p) <= high for p in good)
+    assert all(ratio(p) < low for p in junk) and all(ratio(p) > high for p in dull)
+
+    def judged(at, n=48, rest=b""):
+        parts = [at.get(k, good)[k] for k in range(n)]
+        return quality.judge(b"".join(parts) + rest, squeeze)[1:]
+
+    assert judged({}) == (48, 0, "keep")
+    # a quarter and less of each kind, near half together
+    assert judged({k: junk if k % 4 else dull for k in range(0, 48, 2)})[2] != "keep"
+    assert judged({0: junk, 4: dull, 6: dull}, 8)[2] == "repetitive"
+    # a quarter of a long text in one run, and five chunks
+    assert judged({k: junk for k in range(20, 32)}) == (48, 12, "incompressible")
+    assert judged({k: junk for k in range(20, 25)}) == (48, 5, "incompressible")
+    assert judged({k: junk for k in range(1, 48, 4)})[2] == "incompressible"
+    # single odd chunks
+    assert judged({5: junk, 17: dull, 30: junk, 41: dull}) == (48, 4, "keep")
+    # the rest counts as a chunk
+    assert judged({2: junk}, 5, junk[0][:2000]) == (6, 2, "incompressible")
+    assert judged({2: junk}, 5, good[7][:2000]) == (6, 1, "keep")
+    assert judged({}, 5, junk[0][:100]) == (5, 0, "keep")
+
+
 # sharding
 
 
