@@ -158,16 +158,17 @@ def pack(cut: DataFrame, capacity: int = 1024, group_pieces: int = GROUP_PIECES)
     """Add sequence_id and offset to pieces (any columns, among them ``length``).
 
     A piece of ``capacity`` tokens is a sequence by itself. The shorter ones are dealt
-    into groups of about ``group_pieces`` by a hash, and each group is packed in one
-    task, the longest piece first. A group leaves a few unfilled sequences, whatever
-    its size, so groups are as large as a task takes easily.
+    into groups of about ``group_pieces`` in turn, as they are read, so that equal rows
+    spread like others, and each group is packed in one task, the longest piece first.
+    A group leaves a few unfilled sequences, whatever its size, so groups are as large
+    as a task takes easily. ``cut`` has to be read alike twice, as a table is.
     """
     short = F.col("length") < capacity
     ones, longs = cut.where(short), cut.where(~short)
     groups = max(1, -(-ones.count() // group_pieces))
     keys = [c for c in cut.columns]
     dealt = (
-        ones.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int"))
+        ones.withColumn("_group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
         .repartition(groups, "_group")
         .sortWithinPartitions("_group", F.desc("length"), *[c for c in keys if c != "length"])
     )

@@ -319,6 +319,22 @@ def test_packing_in_several_groups(spark):
     assert len(filled) <= 1.02 * sum(n for _, n in sizes) / 1024 + 6
 
 
+def test_equal_pieces_are_dealt_to_all_groups(spark):
+    sizes = [(i, 1 + i * 37 % 1024) for i in range(2000)] + [(None, 300)] * 1000
+    cut = spark.createDataFrame(sizes, "doc_id long, length long")
+    found = rows(packing.pack(cut, group_pieces=500))
+    assert Counter((r["doc_id"], r["length"]) for r in found) == Counter(sizes)
+    short = [n for _, n in sizes if n < 1024]
+    groups = -(-len(short) // 500)
+    # even numbers are those of shared sequences
+    per_group = Counter(r["sequence_id"] // 2 % groups for r in found if r["sequence_id"] % 2 == 0)
+    assert len(per_group) == groups and max(per_group.values()) < 700
+    filled = Counter()
+    for r in found:
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 1024
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(ODD, max_size=5))
 def test_cached_ids_as_the_library(texts):
