@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_curate.llm import bpe, chat, counting, neighbours, packing, quality, sharding, simhash, suffix_tree, toxicity
+from spark_curate.llm import (
+    alignment,
+    audit,
+    bpe,
+    chat,
+    counting,
+    minhash,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffix_tree,
+    toxicity,
+)
 from spark_curate.llm.common import remainder
 
 
@@ -98,6 +112,70 @@ def op10_sharding(spark, folder):
     return sharding.byte_shards(table(spark, folder, "documents"))
 
 
+def op11_token_alignment(spark, folder):
+    """Groups, links and link counts of every document under two tokenizers."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.linked_documents(table(spark, folder, "documents"), *paths)
+
+
+def op12_filter_audit(spark, folder):
+    """What five filters take from each source in all of their orders."""
+    counts = audit.mask_counts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return audit.audit(counts)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents
+), tokens AS (
+  SELECT *, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    min(doc_id) OVER (PARTITION BY body) AS least
+  FROM docs
+), judged AS (
+  SELECT doc_id, part,
+    (len(words) < 50)::INT
+      + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+      + 4 * (100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 5 * length(body))::INT
+      + 8 * regexp_matches(body, '[#$%&*|]')::INT
+      + 16 * coalesce(doc_id > least, false)::INT AS mask
+  FROM tokens
+), marked AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_toxic
+  FROM judged LEFT JOIN marked USING (doc_id) GROUP BY part, mask
+), orders(so_far, mask_so_far, step, before, bit) AS (
+  SELECT '', 0, 0, 0, 0
+  UNION ALL
+  SELECT so_far || chr(65 + k::INT), mask_so_far + (1 << k::INT), step + 1, mask_so_far, 1 << k::INT
+  FROM orders, range(5) AS letters(k) WHERE (mask_so_far >> k::INT) % 2 = 0
+), steps AS (
+  SELECT whole.so_far AS filter_order, part.step, part.before, part.bit
+  FROM orders AS whole JOIN orders AS part ON starts_with(whole.so_far, part.so_far)
+  WHERE whole.step = 5 AND part.step > 0
+), summed AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(n_good) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS good_lost,
+    coalesce(sum(n_toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM summed
+"""
+
+
+def op13_fingerprints(spark, folder):
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return minhash.with_next(table(spark, folder, "documents"))
+
+
 def pipeline(spark, folder):
     """All stages of corpus_pipeline.py over the documents."""
     import corpus_pipeline
@@ -118,7 +196,10 @@ QUERIES = {
         op8_quality_rules,
         op9_token_counts,
         op10_sharding,
+        op11_token_alignment,
+        op12_filter_audit,
+        op13_fingerprints,
         pipeline,
     )
 }
-SQL: dict[str, str] = {"op5_chat_formatting": OP5_SQL}
+SQL: dict[str, str] = {"op5_chat_formatting": OP5_SQL, "op12_filter_audit": OP12_SQL}
