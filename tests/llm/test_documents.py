@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 from collections import Counter
+from functools import cache
 
 import duckdb
 import numpy as np
@@ -71,13 +72,18 @@ ODD_TEXTS = [
 ]
 
 
-def library_tokens(text):
-    """(ids, bytes of the tokens) under both, by the libraries alone; None without tokens."""
+@cache
+def libraries():
     tokenizer, model = Tokenizer.from_file(PATH_A), sentencepiece.SentencePieceProcessor(model_file=PATH_B)
     tokenizer.encode_special_tokens = True
+    return tokenizer, model, {c: b for b, c in enumerate(alignment.byte_letters())}
+
+
+def library_tokens(text):
+    """(ids, bytes of the tokens) under both, by the libraries alone; None without tokens."""
+    tokenizer, model, letters = libraries()
     if not text:
         return None
-    letters = {c: b for b, c in enumerate(alignment.byte_letters())}
     ids_a = tokenizer.encode(" " + text, add_special_tokens=False).ids
     a = [bytes(letters[c] for c in tokenizer.id_to_token(i)) for i in ids_a]
     ids_b = model.encode(text)
@@ -103,10 +109,11 @@ def plain_alignment(pairs):
         ids_a, a, ids_b, b = found
         ends_a, ends_b = list(itertools.accumulate(map(len, a))), list(itertools.accumulate(map(len, b)))
         common = sorted(set(ends_a) & set(ends_b))
-        groups = [
-            ([i for i, e in zip(ids_a, ends_a, strict=True) if s < e <= t], [i for i, e in zip(ids_b, ends_b, strict=True) if s < e <= t])
-            for s, t in zip([0, *common], common, strict=False)
-        ]
+        groups, i, j = [], 0, 0
+        for end in common:
+            k, m = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
+            groups.append((ids_a[i:k], ids_b[j:m]))
+            i, j = k, m
         at_a, at_b = dict(zip(ends_a, ids_a, strict=True)), dict(zip(ends_b, ids_b, strict=True))
         made.append((doc, ids_a, ids_b, groups, [(at_a[e], at_b[e]) for e in common]))
     return made
