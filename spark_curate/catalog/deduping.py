@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spark_curate.catalog import inputs as I
+from spark_curate.functions.session import materialize
 from spark_curate.operators import dedup, monitor
 
 QUERIES = {}
@@ -25,13 +26,17 @@ def document_hashes(spark, sf_dir):
     """Documents by name, hashed so that near copies stay near.
 
     A word flips the bit its own hash names: equal texts share their hash, and each
-    word changed, added or left out moves two bits at most.
+    word changed, added or left out moves two bits at most. The operators read the
+    hashes several times, so they are written once.
     """
     name = F.concat_ws("_", F.lit("doc"), "source", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
-    bit = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % 64
-    flip = lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(w).cast("int")))
-    phash = F.aggregate(F.split("text", " "), F.lit(0).cast("bigint"), flip)
-    return I.table(spark, sf_dir, "documents").select(name.alias("image"), phash.alias("phash"))
+    bit = F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("bigint") % 64
+    flip = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int"))
+    words = I.table(spark, sf_dir, "documents").select(
+        "doc_id", name.alias("image"), F.explode(F.split("text", " ")).alias("w")
+    )
+    hashed = words.groupBy("doc_id", "image").agg(F.bit_xor(flip).alias("phash"))
+    return materialize(hashed.select("image", "phash"))
 
 
 DOC_HASHES = """SELECT 'doc_' || source || '_' || printf('%012d', doc_id) AS image,

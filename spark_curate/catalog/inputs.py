@@ -137,16 +137,27 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """64 sign bits of the vector as a hash; order key is the name."""
+    """64 sign bits of a vector as a hash; order key is the name.
+
+    Every fourth item is a second shot of the one before it: nine parts of that vector
+    and one of its own, which turns a few signs. So near duplicates exist.
+    """
+    before = table(spark, sf_dir, "embeddings").select(
+        (F.col("vec_id") + 1).alias("vec_id"), V.doubles(F.col("embedding")).alias("_before")
+    )
+    shot = (F.col("vec_id") % 4 == 3) & F.col("_before").isNotNull()
+    own = V.doubles(F.col("embedding"))
+    mixed = F.when(shot, F.zip_with("_before", own, lambda a, b: a * 9 + b)).otherwise(own)
     bits = F.aggregate(
         F.transform(
-            "embedding",
+            "_vector",
             lambda x, i: F.when(x >= 0, _bit(i)).otherwise(F.lit(0).cast("bigint")),
         ),
         F.lit(0).cast("bigint"),
         lambda a, b: a.bitwiseOR(b),
     )
-    return items(spark, sf_dir).select("image", bits.alias("phash"))
+    shots = items(spark, sf_dir).join(before, "vec_id", "left").select("image", mixed.alias("_vector"))
+    return shots.select("image", bits.alias("phash"))
 
 
 def _bit(i: Column) -> Column:
@@ -203,9 +214,12 @@ CTES: dict[str, str] = {
     "evaluated": """SELECT m.image, l.category, l.assigned AS pred, l.confidence AS conf,
       CASE l.category WHEN 'hue' THEN gt_hue ELSE gt_grain END AS gt
       FROM marks m JOIN labels_out l ON m.image=l.image WHERE m.kept AND m.is_target""",
-    "hashes": """SELECT image, list_reduce(list_transform(embedding, lambda x, i:
+    "shots": """SELECT i.image, CASE WHEN i.vec_id % 4 = 3 AND p.image IS NOT NULL
+        THEN list_transform(list_zip(p.embedding, i.embedding), lambda z: z[1] * 9 + z[2])
+        ELSE i.embedding END AS vector FROM items i LEFT JOIN items p ON p.vec_id = i.vec_id - 1""",
+    "hashes": """SELECT image, list_reduce(list_transform(vector, lambda x, i:
         CASE WHEN x < 0 THEN 0 WHEN i=64 THEN (-9223372036854775808)::BIGINT
-             ELSE (1::BIGINT << (i-1)::BIGINT) END), lambda a, b: a | b) AS phash FROM items""",
+             ELSE (1::BIGINT << (i-1)::BIGINT) END), lambda a, b: a | b) AS phash FROM shots""",
 }
 
 _NEEDS: dict[str, tuple[str, ...]] = {
@@ -222,7 +236,8 @@ _NEEDS: dict[str, tuple[str, ...]] = {
     "labels_out": ("ranked",),
     "marks": ("items", "decisions"),
     "evaluated": ("marks", "labels_out"),
-    "hashes": ("items",),
+    "shots": ("items",),
+    "hashes": ("shots",),
 }
 
 

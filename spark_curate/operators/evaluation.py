@@ -408,39 +408,42 @@ def valid_labels(annotations: DataFrame, options: DataFrame) -> DataFrame:
     return given.join(allowed, ["category", "label"], "left_semi").select("image", "category", "label")
 
 
-def option_map(options: DataFrame, max_labels: int = 100_000) -> dict[str, list[str]]:
-    """Allowed labels per category from the (bounded) prompts table."""
-    rows = options.select("category", "label").distinct().limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"more than {max_labels} label options")
-    allowed: dict[str, list[str]] = {}
-    for row in sorted(rows):
-        allowed.setdefault(row["category"], []).append(row["label"])
-    return allowed
-
-
-def resolve_ground_truth(joined: DataFrame, allowed: dict[str, list[str]]) -> DataFrame:
-    """Resolve annotated rows (columns predicted, labels, is_target).
+SMALL_OPTIONS = 100_000
 
-    A valid user label overrides a valid prediction. Adds ``ground_truth`` and
-    ``missing`` (categories left without a label; such a row is refused). A row
-    not marked as target loses its ground truth.
-    """
 
-    def resolved(category: str) -> Column:
-        ok = allowed[category]
-        given = F.trim(C.lookup(F.col("labels"), category))
-        guess = F.trim(C.lookup(F.col("predicted"), category))
-        return F.coalesce(F.when(given.isin(*ok), given), F.when(guess.isin(*ok), guess))
+def label_options(options: DataFrame, small_rows: int = SMALL_OPTIONS) -> DataFrame:
+    """Distinct (category, label) pairs, sent to the rows if there are few, else joined."""
+    allowed = options.select("category", "label").where("category is not null and label is not null").distinct()
+    return F.broadcast(allowed) if allowed.limit(small_rows + 1).count() <= small_rows else allowed
+
+
+def resolve_ground_truth(joined: DataFrame, options: DataFrame, small_rows: int = SMALL_OPTIONS) -> DataFrame:
+    """Resolve annotated rows (columns predicted, labels, is_target).
 
+    A valid user label overrides a valid prediction; which labels are valid comes from
+    joins with ``options``, whatever its size. Adds ``ground_truth`` and ``missing``
+    (categories left without a label; such a row is refused). A row not marked as
+    target loses its ground truth.
+    """
+    categories = [r[0] for r in options.select("category").where("category is not null").distinct().sort("category").collect()]
+    allowed = label_options(options, small_rows)
+    judged = joined
+    for k, category in enumerate(categories):
+        for column, source in ((f"_given{k}", "labels"), (f"_guess{k}", "predicted")):
+            valid = allowed.where(F.col("category") == category).select(F.col("label").alias(column))
+            judged = judged.withColumn("_said", F.trim(C.lookup(F.col(source), category)))
+            judged = judged.join(valid, F.col("_said") == F.col(column), "left").drop("_said")
+    resolved = [F.coalesce(f"_given{k}", f"_guess{k}") for k in range(len(categories))]
     hit = F.col("is_target").eqNullSafe(True)
-    full = C.map_from_columns((c, resolved(c)) for c in allowed)
+    none = F.array().cast("array<string>")
     lacking = F.array_compact(
-        F.array(*[F.when(resolved(c).isNull(), F.lit(c)) for c in allowed])
+        F.array(*[F.when(r.isNull(), F.lit(c)) for c, r in zip(categories, resolved)]).cast("array<string>")
     )
-    none = F.array().cast("array<string>")
-    return joined.withColumn("missing", F.when(hit, lacking).otherwise(none)).withColumn(
-        "ground_truth", F.when(hit & (F.size("missing") == 0), full)
+    full = C.map_from_columns((c, r) for c, r in zip(categories, resolved))
+    return (
+        judged.withColumn("missing", F.when(hit, lacking).otherwise(none))
+        .withColumn("ground_truth", F.when(hit & (F.size("missing") == 0), full))
+        .select(*[c for c in joined.columns if c not in ("missing", "ground_truth")], "missing", "ground_truth")
     )
 
 
@@ -452,10 +455,9 @@ def apply_annotations(
     Returns (sample, refused). Refused events are those lacking a category or
     naming an unknown image; they change nothing.
     """
-    allowed = option_map(options)
     known = sample.select("image", "predicted", F.lit(True).alias("_known"))
     joined = annotations.join(known, "image", "left")
-    judged = resolve_ground_truth(joined, allowed)
+    judged = resolve_ground_truth(joined, options)
     ok = F.col("_known").isNotNull() & (F.size("missing") == 0)
     last = latest_events(
         judged.where(ok).select("image", "is_target", "ground_truth", "ts", "event_id"),

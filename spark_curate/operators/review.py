@@ -164,13 +164,22 @@ _SUGGESTION = (
 _VOTE = "struct<label:string,ratio:double,similarity:double,support:bigint>"
 
 
-def votes_from_neighbours(neighbours: DataFrame, seeds: DataFrame, voters: int) -> DataFrame:
+NO_VOTES = f"map<string,{_VOTE}>"
+
+
+def votes_from_neighbours(
+    neighbours: DataFrame, seeds: DataFrame, voters: int, categories: Sequence[str]
+) -> DataFrame:
     """(image, votes): per category the modal label of the given neighbours.
 
     Ratio is over all ``voters``, similarity the mean over the winner's seeds;
-    ties go to the label of the nearest seed.
+    ties go to the label of the nearest seed. Blank labels do not vote.
     """
-    truth = seeds.select(F.col("image").alias("seed"), F.explode("truth").alias("category", "label"))
+    truth = (
+        seeds.select(F.col("image").alias("seed"), F.explode("truth").alias("category", "label"))
+        .where(F.col("category").isin(*categories))
+        .where(F.col("label") != "")
+    )
     counted = (
         neighbours.join(truth, "seed")
         .groupBy("image", "category", "label")
@@ -205,17 +214,18 @@ def seed_votes(
     """(image, votes) from the k nearest seeds (columns image, embedding, truth).
 
     Seeds within ``max_bytes`` vote inside one Arrow pass without any shuffle;
-    more seeds go through :func:`nearest_seeds`.
+    more seeds go through :func:`nearest_seeds` and give the same votes. Only the given
+    categories vote; an item without votes has an empty map.
     """
     rows, _ = V.bounded_rows(seeds.select("image", "embedding", "truth"), "embedding", max_bytes)
     if rows == []:
-        empty = F.create_map().cast(f"map<string,{_VOTE}>")
-        return items.select("image", empty.alias("votes"))
+        return items.select("image", F.create_map().cast(NO_VOTES).alias("votes"))
     if rows is None:
         seeds = materialize(seeds)
         near = nearest_seeds(items, seeds, k, max_bytes)
-        found = votes_from_neighbours(near, seeds, min(k, seeds.count()))
-        return items.select("image").join(found, "image", "left")
+        found = votes_from_neighbours(near, seeds, min(k, seeds.count()), categories)
+        voted = F.coalesce("votes", F.create_map().cast(NO_VOTES))
+        return items.select("image").join(found, "image", "left").select("image", voted.alias("votes"))
     rows = sorted(rows, key=lambda r: r["image"])
     matrix = np.asarray([r["embedding"] for r in rows], dtype=np.float64)
     voters = min(k, len(rows))
@@ -228,8 +238,8 @@ def seed_votes(
     @F.arrow_udf(f"array<{_VOTE}>")
     def vote(column: pa.Array) -> pa.Array:
         valid, x = V.batch_matrix(column, matrix.shape[1])
-        similarity = x @ matrix.T
-        at = _nearest(np.round(similarity, TIE_DIGITS), voters)
+        similarity = np.round(x @ matrix.T, TIE_DIGITS)
+        at = _nearest(similarity, voters)
         near = np.take_along_axis(similarity, at, axis=1)
         labels, supports, means = [], [], []
         for word, code in zip(words, codes):
@@ -272,7 +282,8 @@ def seed_votes(
     votes = F.map_from_arrays(
         F.array(*[F.lit(c) for c in categories]), F.transform("_v", rounded)
     )
-    return raw.select("image", F.map_filter(votes, lambda _, v: v.isNotNull()).alias("votes"))
+    given = F.map_filter(votes, lambda _, v: v.isNotNull())
+    return raw.select("image", F.coalesce(given, F.create_map().cast(NO_VOTES)).alias("votes"))
 
 
 def votes_long(votes: DataFrame) -> DataFrame:

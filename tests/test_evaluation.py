@@ -92,6 +92,10 @@ def test_annotations(spark):
         "image string, is_target boolean, labels map<string,string>, ts string, event_id bigint",
     ).withColumn("ts", F.col("ts").cast("timestamp"))
     options = spark.createDataFrame(OPTIONS, "category string, label string")
+    joined = events.join(df.select("image", "predicted"), "image", "left")
+    sides = [ev.resolve_ground_truth(joined, options, small_rows=n) for n in (ev.SMALL_OPTIONS, 1)]
+    near, far = ({r["event_id"]: (r["ground_truth"], r["missing"]) for r in s.collect()} for s in sides)
+    assert near == far and len(near) == 8
     done, refused = ev.apply_annotations(df, events, options)
     got = {r["image"]: (r["is_target"], r["ground_truth"]) for r in done.collect()}
     assert got == {

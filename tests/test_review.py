@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spark_curate.functions import vectors as V
 from spark_curate.operators import clustering, review
 from spark_curate.plans import steps
 
@@ -70,6 +71,20 @@ def test_neighbours_in_blocks(items, seeds):
     assert own["i003"] == own["i007"] == "i003" and own["i005"] == "i005"
 
 
+def test_votes_of_given_categories_only(items, seeds):
+    """Other keys and blank labels do not vote, on either side of the size bound."""
+    more = F.map_concat("truth", F.create_map(F.lit("other"), F.lit("o"), F.lit("blank"), F.lit("")))
+    odd = seeds.withColumn("truth", more)
+    lone = items.withColumn("embedding", F.when(F.col("image") != "i004", F.col("embedding")))
+    named = [*CATS, "blank", "absent"]
+    found = []
+    for most in (V.MAX_BLOCK_BYTES, 8 * 8 * 9):
+        votes = review.seed_votes(lone, odd, named, 4, max_bytes=most)
+        assert votes.where("votes is null").count() == 0 and votes.where("size(votes) = 0").count() == 1
+        found.append({tuple(r) for r in review.votes_long(votes).collect()})
+    assert found[0] == found[1] and {r[1] for r in found[0]} == set(CATS)
+
+
 def test_votes_without_seeds(items, seeds):
     none = review.seed_votes(items, seeds.where("false"), CATS, 3)
     assert none.count() == 120 and review.votes_long(none).count() == 0
