@@ -251,13 +251,14 @@ def keep_one(
     """The rows of ``docs``, all columns, without all but one of each component.
 
     The row of the smallest id stays; of repeated ids the one read first, and a null id
-    only if the component has no other. Rows are told apart by their place of reading,
-    so ``docs`` has to be read alike twice, as a table is.
+    only if the component has no other. Rows are told apart by a number, and the numbered
+    table is written once before anything is read from it: numbers given anew on a later
+    reading would follow how the files are split then, which changes with the executors.
     """
     mark = "_row"
     while mark in docs.columns:
         mark += "_"
-    numbered = docs.withColumn(mark, F.monotonically_increasing_id())
+    numbered = materialize(docs.withColumn(mark, F.monotonically_increasing_id()))
     slim = numbered.select(
         F.col(mark).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("body")
     )

@@ -92,6 +92,35 @@ def test_keeping_one_of_each(make, awkward):
     assert Counter(ids) == Counter(want)
 
 
+def test_rows_keep_their_numbers_when_the_split_changes(spark, make, tmp_path, monkeypatch):
+    """The files are split otherwise while the stage runs, as when an executor is lost."""
+    pairs = near_copies()
+    make(pairs).repartition(8, "doc_id").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    setting = "spark.sql.files.minPartitionNum"
+    monkeypatch.setattr(simhash, "materialize", _then(simhash.materialize, lambda: spark.conf.set(setting, "37")))
+    try:
+        spark.conf.set(setting, "1")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        kept = rows(simhash.keep_one(docs))
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    roots = plain_components([plain_fingerprint(t) for _, t in pairs], 4)
+    assert Counter(r["doc_id"] for r in kept) == Counter(
+        min(i for (i, _), r in zip(pairs, roots, strict=True) if r == root) for root in set(roots)
+    )
+
+
+def _then(call, after):
+    def both(df):
+        made = call(df)
+        after()
+        return made
+
+    return both
+
+
 def clusters(n, seed, flips):
     rng = np.random.default_rng(seed)
     centres = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
