@@ -446,7 +446,40 @@ def kmeans_assignments(spark, sf_dir):
 
 @register("select_k")
 def select_k(spark, sf_dir):
-    return best_k(spark, sf_dir)[3]
+    return best_k(spark, sf_dir)[3].drop("cost")
+
+
+@register(
+    "cluster_search",
+    I.sql(
+        """SELECT count(*) AS items, count(*) AS at_nearest, least(40, count(*) - 1) - 17 AS candidates,
+        true AS best_is_top, true AS cost_is_theirs, true AS all_filled FROM items""",
+        "items",
+    ),
+)
+def cluster_search(spark, sf_dir):
+    """What holds for any right search: who is nearest to what, which k wins, what it costs."""
+    features, k, model, table = best_k(spark, sf_dir)
+    placed = materialize(clustering.assign(features, model))
+    centres = F.array(*(F.array(*(F.lit(float(v)) for v in c)) for c in model.centres))
+    apart = F.transform(centres, lambda c: V.euclidean(F.col("features"), c))
+    seen = placed.join(features, "image").withColumn("_least", F.array_min(apart))
+    top = table.agg(F.min_by("k", F.struct(-F.col("objective"), F.col("k"))).alias("k"), F.count("*").alias("n")).first()
+    best = table.where(F.col("k") == k).first()["cost"]
+    totals = seen.agg(
+        F.count("*").alias("items"),
+        F.count_if(F.abs(F.col("distance") - F.col("_least")) < 1e-9).alias("at_nearest"),
+        F.sum(F.col("_least") * F.col("_least")).alias("_cost"),
+        F.count_distinct("cluster_id").alias("_filled"),
+    )
+    return totals.select(
+        "items",
+        "at_nearest",
+        F.lit(top["n"]).alias("candidates"),
+        F.lit(top["k"] == k).alias("best_is_top"),
+        (F.abs(F.col("_cost") - F.lit(best)) < 1e-6 * F.lit(best)).alias("cost_is_theirs"),
+        (F.col("_filled") == k).alias("all_filled"),
+    )
 
 
 @register(

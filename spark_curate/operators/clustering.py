@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from spark_curate.functions import vectors as V
 from spark_curate.functions.session import materialize
+from spark_curate.operators import kmeans
+from spark_curate.operators.kmeans import Model
 
 # Weights of the two signals.
 SILHOUETTE_WEIGHT, DISPERSION_WEIGHT = 0.7, 0.3
-#: Cluster counts tried at once; the many short jobs of a fit leave most cores idle.
-AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -61,30 +59,31 @@ def reduce_dimensions(embeddings: DataFrame, settings: ClusterSettings) -> DataF
     width = embeddings.select(F.size("embedding")).first()[0]
     dim = max(2, min(settings.pca_dim, embeddings.count(), width))
     model = PCA(k=dim, inputCol="_v", outputCol="features").fit(vectors)
-    return materialize(model.transform(vectors).select("image", "features"))
-
-
-def best_kmeans(features: DataFrame, k: int, settings: ClusterSettings) -> KMeansModel:
-    """Fit with several seeds and keep the lowest cost."""
-    fits = [
-        KMeans(
-            k=k, seed=settings.seed + i, maxIter=settings.max_iter, predictionCol="cluster_id"
-        ).fit(features)
-        for i in range(settings.restarts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def assign(features: DataFrame, model: KMeansModel) -> DataFrame:
-    """image, cluster_id and distance to the own centre."""
-    placed = model.transform(features)
-    return placed.select(
-        "image",
-        "cluster_id",
-        V.distance_to(
-            vector_to_array("features"), F.col("cluster_id"), model.clusterCenters()
-        ).alias("distance"),
-    )
+    return materialize(model.transform(vectors).select("image", vector_to_array("features").alias("features")))
+
+
+def best_kmeans(features: DataFrame, k: int, settings: ClusterSettings) -> Model:
+    """The model of lowest cost of several restarts, which share their passes."""
+    fits = kmeans.fit_all(kmeans.arrays(features), [k], settings.restarts, settings.max_iter, settings.seed)
+    return min(fits, key=lambda m: m.cost)
+
+
+def assign(features: DataFrame, model: Model) -> DataFrame:
+    """image, cluster_id and distance to the own centre, the nearest (ties: the first)."""
+    centres = model.centres
+
+    @F.arrow_udf("struct<cluster_id:int,distance:double>")
+    def nearest(column: pa.Array) -> pa.Array:
+        valid, x = V.batch_matrix(column, centres.shape[1])
+        at = kmeans._squares(x, centres).argmin(axis=1)
+        place, distance = np.zeros(len(column), np.int32), np.zeros(len(column))
+        place[valid], distance[valid] = at, np.linalg.norm(x - centres[at], axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(place), pa.array(distance)], names=["cluster_id", "distance"], mask=pa.array(~valid)
+        )
+
+    placed = kmeans.arrays(features).select("image", nearest("features").alias("_at"))
+    return placed.select("image", "_at.cluster_id", "_at.distance")
 
 
 def silhouette(assigned: DataFrame) -> float:
@@ -122,41 +121,40 @@ def dispersion_ratio(assigned: DataFrame) -> float:
     return float(between / (len(rows) - 1) / (within / (n.sum() - len(rows))))
 
 
-def select_best_k(features: DataFrame, settings: ClusterSettings) -> tuple[int, KMeansModel, DataFrame]:
+def search_range(n: int, settings: ClusterSettings) -> tuple[list[int], bool]:
+    """The cluster counts to try for ``n`` rows, and whether only a fallback is left."""
+    low, high = max(2, settings.k_min), min(settings.k_max, n - 1)
+    if low > high:
+        return [max(2, min(n - 1, settings.k_min, settings.k_max))], True
+    return list(range(low, high + 1, settings.k_step)), False
+
+
+def select_best_k(features: DataFrame, settings: ClusterSettings) -> tuple[int, Model, DataFrame]:
     """Best k by silhouette and dispersion: (k, its model, candidates table).
 
     The objective is .7 of the normalised silhouette plus .3 of the dispersion
     relative to its maximum; ties go to the smaller k. The range is clamped to
-    [2, n - 1]; if nothing is left a single fallback k is used.
+    [2, n - 1]; if nothing is left a single fallback k is used. All models of all k are
+    fitted in the same passes and judged in two more.
     """
+    features = kmeans.arrays(features)
     n = features.count()
     if n < 3:
         raise ValueError("need at least 3 rows to choose a cluster count")
-    low, high = max(2, settings.k_min), min(settings.k_max, n - 1)
-    fallback = low > high
-    ks = [max(2, min(n - 1, settings.k_min, settings.k_max))] if fallback else list(
-        range(low, high + 1, settings.k_step)
-    )
-
-    def measure(k: int) -> tuple[int, float, float, KMeansModel]:
-        model = best_kmeans(features, k, settings)
-        placed = model.transform(features).select(
-            "image", vector_to_array("features").alias("features"), "cluster_id"
-        )
-        return k, silhouette(placed), dispersion_ratio(placed), model
-
-    with ThreadPool(min(AT_ONCE, len(ks))) as pool:
-        measured = pool.map(inheritable_thread_target(features.sparkSession)(measure), ks, chunksize=1)
-    top = max(m[2] for m in measured)
+    ks, fallback = search_range(n, settings)
+    fits = kmeans.fit_all(features, ks, settings.restarts, settings.max_iter, settings.seed)
+    models = [min((m for m in fits if m.k == k), key=lambda m: m.cost) for k in ks]
+    measured = kmeans.quality_all(features, models)
+    top = max(ratio for _, ratio in measured)
     top = top if top > 0 else 1.0
     rows, best = [], None
-    for k, sil, ratio, model in measured:
+    for model, (sil, ratio) in zip(models, measured, strict=True):
         norm = (sil + 1.0) / 2.0
         objective = norm if fallback else SILHOUETTE_WEIGHT * norm + DISPERSION_WEIGHT * ratio / top
-        rows.append((k, round(float(sil), 6), round(float(ratio), 4), round(float(objective), 6)))
+        rows.append((model.k, round(sil, 6), round(ratio, 4), round(float(objective), 6), float(model.cost)))
         if best is None or objective > best[0] + 1e-9:
-            best = (objective, k, model)
+            best = (objective, model)
     table = features.sparkSession.createDataFrame(
-        rows, "k int, silhouette double, calinski_harabasz double, objective double"
+        rows, "k int, silhouette double, calinski_harabasz double, objective double, cost double"
     )
-    return best[1], best[2], table
+    return best[1].k, best[1], table

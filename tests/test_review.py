@@ -5,10 +5,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from spark_curate.functions import vectors as V
-from spark_curate.operators import clustering, review
+from spark_curate.operators import clustering, kmeans, review
 from spark_curate.plans import steps
 
 CATS = ("c", "d")
@@ -250,33 +252,65 @@ def test_select_k_finds_clear_groups(spark):
     features = clustering.reduce_dimensions(df, settings)
     k, model, table = clustering.select_best_k(features, settings)
     assert k == 4 and [r["k"] for r in table.orderBy("k").collect()] == [2, 3, 4, 5, 6]
-    costs = [clustering.KMeans(k=5, seed=42 + i, maxIter=20).fit(features).summary.trainingCost for i in range(2)]
-    assert clustering.best_kmeans(features, 5, settings).summary.trainingCost == pytest.approx(min(costs))
+    vectors = features.select(array_to_vector("features").alias("features"))
+    spark_cost = KMeans(k=4, seed=1, initSteps=5, maxIter=20).fit(vectors).summary.trainingCost
+    assert model.cost == pytest.approx(spark_cost)
+    placed = clustering.assign(features, model)
+    assert placed.agg(F.sum(F.col("distance") ** 2)).first()[0] == pytest.approx(model.cost)
     fallback = clustering.ClusterSettings(k_min=300, k_max=400, pca_dim=3, restarts=1, max_iter=5)
     assert clustering.select_best_k(features.limit(5), fallback)[0] == 4
 
 
-def test_cluster_queries_search_the_whole_range(spark, monkeypatch):
-    """The fits themselves are shortened here; what is asked of them is not."""
-    from dataclasses import replace
-
+def plain_lloyd(x, centres, passes):
+    for _ in range(passes):
+        at = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([x[at == c].mean(axis=0) if (at == c).any() else centres[c] for c in range(len(centres))])
+        if np.sqrt(((moved - centres) ** 2).sum(axis=1)).max() <= kmeans.TOLERANCE:
+            return moved
+        centres = moved
+    return centres
+
+
+def test_models_side_by_side_are_fitted_like_alone(spark):
+    x = unit_rows(21, 400, 6)
+    df = spark.createDataFrame([(f"{i}", v.tolist()) for i, v in enumerate(x)], "image string, features array<double>").repartition(20)
+    tasks = kmeans.task_count(df)
+    assert tasks > kmeans.FAN  # sums of tasks are added in groups first
+    points, weights = kmeans.candidates(df, tasks, 12, 5)
+    assert weights.sum() == 400 and len(points) == 48 and len(np.unique(points, axis=0)) == 48
+    fits = kmeans.fit_all(df, [2, 5, 6], 3, 40, 5)
+    points, weights = kmeans.candidates(df, tasks, 12, 5)
+    assert [(m.k, m.restart) for m in fits] == [(k, r) for k in (2, 5, 6) for r in range(3)]
+    for m in fits:
+        start = kmeans.seeded(points, weights, m.k, np.random.default_rng([5, m.k, m.restart]))
+        want = plain_lloyd(x, start, 40)
+        assert np.allclose(m.centres, want)
+        squares = ((x[:, None, :] - want[None]) ** 2).sum(axis=2)
+        assert m.cost == pytest.approx(squares.min(axis=1).sum()) and m.counts.sum() == 400
+    best = [min((m for m in fits if m.k == k), key=lambda m: m.cost) for k in (2, 5, 6)]
+    for m, (sil, ratio) in zip(best, kmeans.quality_all(df, best)):
+        placed = df.join(clustering.assign(df, m), "image")
+        assert sil == pytest.approx(clustering.silhouette(placed)) and ratio == pytest.approx(clustering.dispersion_ratio(placed))
+
+
+def test_equal_rows_and_tiny_tables(spark):
+    same = spark.createDataFrame([(f"{i}", [1.0, 2.0]) for i in range(9)], "image string, features array<double>")
+    models = kmeans.fit_all(same, [2, 3], 2, 5, 1)
+    assert all(m.cost == pytest.approx(0) and m.counts.sum() == 9 for m in models)
+    assert kmeans.quality_all(same, models) == [(-1.0, 0.0)] * 4
+    k, model, _ = clustering.select_best_k(same, clustering.ClusterSettings(k_min=2, k_max=3, restarts=1))
+    assert k == 2 and clustering.assign(same, model).where("distance > 1e-9").count() == 0
+
+
+def test_cluster_queries_search_the_whole_range(spark):
     import __spark_entry__ as entry
 
-    asked, fit = [], clustering.best_kmeans
-
-    def short(features, k, settings):
-        asked.append((k, settings))
-        return fit(features, k, replace(settings, restarts=1, max_iter=3))
-
-    monkeypatch.setattr(clustering, "best_kmeans", short)
     folder = entry.SMALL.replace("sf0.001", "sf0.01")
     table = entry.queries()["select_k"](spark, folder).collect()
     assert sorted(r["k"] for r in table) == list(range(18, 41))
     best = max(table, key=lambda r: (r["objective"], -r["k"]))["k"]
     placed = entry.queries()["kmeans_assignments"](spark, folder)
     assert placed.agg(F.max("cluster_id")).first()[0] == best - 1
-    assert sorted(k for k, _ in asked) == sorted(2 * [*range(18, 41)])
-    assert {s for _, s in asked} == {clustering.ClusterSettings()}
 
 
 def test_cluster_review_run(spark, tmp_path):
