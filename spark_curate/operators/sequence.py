@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,91 +51,183 @@ def page_info(df: DataFrame, number: int, size: int, clamp: bool = False) -> Dat
     )
 
 
+#: Buckets a bracket is cut into by a counting pass.
+BUCKETS = 256
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probabilities: dict[str, float],
-    accuracy: int = 10000,
+    bounded: int = 10000,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key, however large a key is.
 
-    A mergeable sketch brackets each quantile first. Rows below a bracket are only
-    counted; the few inside it are collapsed to (value, count) and ranked, so no
-    key is ever gathered in one task. Returns the keys, ``n`` and one column per
-    named probability.
+    A key of up to ``bounded`` rows is sorted as one list. In a larger one each asked rank
+    is selected: a mergeable sketch gives a first bracket of values around it, and passes
+    that only count narrow the bracket until it holds at most ``bounded`` rows or one
+    value. A pass counts rows by ``BUCKETS`` parts of each bracket, combined map-side, so no
+    key is gathered or ordered anywhere. Returns the keys, ``n`` and one column per named
+    probability; keys without any value are left out.
     """
-    # The sketch is off by at most n / accuracy ranks; keys of up to ``accuracy``
-    # rows are taken whole.
-    margin = 4.0 / accuracy
     asked = list(probabilities.items())
-    bounds = sorted(
-        {min(1.0, max(0.0, p + side)) for _, p in asked for side in (-margin, margin)}
-    )
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    sketch = present.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", bounds, F.lit(accuracy)).alias("_q"),
+    # the sketch is off by about n / 10,000 ranks; a bracket that misses its rank is mended
+    margin = 4.0 / 10000
+    bounds = sorted({min(1.0, max(0.0, p + side)) for _, p in asked for side in (-margin, margin)})
+    sketch = materialize(
+        present.groupBy(*keys).agg(
+            F.count("*").alias("n"),
+            F.min("_v").alias("_min"),
+            F.max("_v").alias("_max"),
+            F.percentile_approx("_v", bounds, F.lit(10000)).alias("_q"),
+        )
     )
+    large = F.col("n") > bounded
+
+    def rank(p: float) -> Column:
+        return F.col("n").cast("double") * p - p
+
+    few = present
+    many = sketch.where(large).limit(1).count() > 0
+    if many:
+        small_keys = sketch.where(~large).select(*keys, "n")
+        few = join_unique(present, small_keys.withColumn("_rows", F.col("n")), list(keys), "_rows").drop("n")
+    # at most ``bounded`` rows to a list
+    lists = few.groupBy(*keys).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias("_all"))
+
+    def at(place: Column) -> Column:
+        return F.element_at("_all", (place + 1).cast("int"))
+
+    picked = [
+        (at(F.floor(rank(p))) + (at(F.ceil(rank(p))) - at(F.floor(rank(p)))) * (rank(p) - F.floor(rank(p)))).alias(name)
+        for name, p in asked
+    ]
+    answer = lists.select(*keys, "n", *picked)
+    if not many:
+        return answer
+
+    targets = []
+    for i, (_, p) in enumerate(asked):
+        lo = F.col("_q")[bounds.index(p - margin)] if p > margin else F.col("_min")
+        hi = F.col("_q")[bounds.index(p + margin)] if p < 1 - margin else F.col("_max")
+        for k, place in enumerate((F.floor(rank(p)), F.ceil(rank(p)))):
+            targets.append(
+                F.struct(F.lit(2 * i + k).alias("j"), place.cast("bigint").alias("rank"), lo.alias("lo"), hi.alias("hi"))
+            )
+    wanted = sketch.where(large).select(*keys, "n", "_min", "_max", F.inline(F.array(*targets)))
+    chosen = _select(present, materialize(wanted), list(keys), bounded)
+    ends = chosen.groupBy(*keys).agg(
+        F.max("n").alias("n"), *[F.max(F.when(F.col("j") == j, F.col("_v"))).alias(f"_e{j}") for j in range(2 * len(asked))]
+    )
+    between = [
+        (F.col(f"_e{2 * i}") + (F.col(f"_e{2 * i + 1}") - F.col(f"_e{2 * i}")) * (rank(p) - F.floor(rank(p)))).alias(name)
+        for i, (name, p) in enumerate(asked)
+    ]
+    return answer.unionByName(ends.select(*keys, "n", *between))
+
 
-    def bound(p: float, side: float) -> Column:
-        at, end = p + side, F.col("_min") if side < 0 else F.col("_max")
-        if not 0 < at < 1:
-            return end
-        return F.when(F.col("n") <= accuracy, end).otherwise(F.col("_q")[bounds.index(at)])
+def _select(rows: DataFrame, wanted: DataFrame, keys: list[str], bounded: int) -> DataFrame:
+    """The value at each wanted rank: keys, n, j, _v. ``wanted``: keys, n, _min, _max, j, rank, lo, hi.
 
-    edges = sketch.select(
+    A bracket is [lo, hi] and its rank counts from the first value in it.
+    """
+    per_key = wanted.groupBy(*keys).agg(
+        F.max("n").alias("_rows"), F.collect_list(F.struct("j", "lo", "hi")).alias("_t")
+    )
+    spread = join_unique(rows, per_key, keys, "_rows").select(*keys, "_v", F.inline("_t"))
+    v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
+    counts = spread.groupBy(*keys, "j").agg(
+        F.count_if(v < lo).alias("_lo"),
+        F.count_if(v <= lo).alias("_upto_lo"),
+        F.count_if(v < hi).alias("_hi"),
+        F.count_if(v <= hi).alias("_upto_hi"),
+    )
+    # should the sketch have missed a rank, the bracket is all that lies on its side
+    before, after = F.col("rank") < F.col("_lo"), F.col("rank") >= F.col("_upto_hi")
+    state = wanted.join(counts, [*keys, "j"]).select(
         *keys,
         "n",
-        *[
-            F.struct(bound(p, -margin).alias("lo"), bound(p, margin).alias("hi")).alias(f"_b{i}")
-            for i, (_, p) in enumerate(asked)
-        ],
+        "j",
+        (F.col("rank") - F.when(before, 0).when(after, F.col("_hi")).otherwise(F.col("_lo"))).alias("rank"),
+        F.when(before, F.col("_min")).when(after, hi).otherwise(lo).alias("lo"),
+        F.when(before, lo).when(after, F.col("_max")).otherwise(hi).alias("hi"),
+        F.when(before, F.col("_upto_lo"))
+        .when(after, F.col("n") - F.col("_hi"))
+        .otherwise(F.col("_upto_hi") - F.col("_lo"))
+        .alias("inside"),
+    )
+    names, fields = [*keys, "j"], ["j", "n", "rank", "lo", "hi", "inside"]
+    wide = (F.col("inside") > bounded) & (lo < hi)
+    state = materialize(state)
+    brackets = state.where(lo < hi).groupBy(*keys).agg(
+        F.max("n").alias("_rows"), F.collect_list(F.struct(*fields)).alias("_t")
     )
-    # the rows of hot keys stay where they are; the brackets, one row per key, come to them
-    placed = join_unique(present, edges.withColumn("_rows", F.col("n")), list(keys), "_rows")
-    inside = [F.col("_v").between(F.col(f"_b{i}.lo"), F.col(f"_b{i}.hi")) for i in range(len(asked))]
-    # Values outside all brackets collapse to one row per key and gap.
-    gap = sum(
-        ((F.col("_v") > F.col(f"_b{i}.hi")).cast("int") for i in range(len(asked))), F.lit(0)
+    left = join_unique(rows, brackets, keys, "_rows").select(*keys, "_v", F.inline("_t"))
+    done: list[DataFrame] = []
+    while True:
+        done.append(state.where(lo >= hi).select(*names, "n", lo.alias("_v")))
+        left = materialize(left.where(v.between(lo, hi)))
+        small = left.where(~wide).groupBy(*names, "n", "rank", "_v").agg(F.count("*").alias("_c"))
+        listed = small.groupBy(*names, "n", "rank").agg(F.sort_array(F.collect_list(F.struct("_v", "_c"))).alias("_all"))
+        done.append(listed.select(*names, "n", _nth(F.col("_all"), F.col("rank")).alias("_v")))
+        left = left.where(wide)
+        if not left.limit(1).count():
+            return reduce(DataFrame.unionByName, done)
+        state = materialize(_narrowed(left, names))
+        fresh = state.where(lo < hi).withColumn("_rows", F.col("inside"))
+        left = join_unique(left.select(*names, "_v"), fresh, names, "_rows")
+
+
+def _nth(listed: Column, rank: Column) -> Column:
+    """The value at a rank (from 0) of sorted (_v, _c) pairs."""
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("double").alias("hit"))
+
+    def step(acc: Column, x: Column) -> Column:
+        here = acc["hit"].isNull() & (rank < acc["seen"] + x["_c"])
+        return F.struct((acc["seen"] + x["_c"]).alias("seen"), F.when(here, x["_v"]).otherwise(acc["hit"]).alias("hit"))
+
+    return F.aggregate(listed, start, step)["hit"]
+
+
+def _narrowed(left: DataFrame, names: list[str]) -> DataFrame:
+    """Each bracket cut down to the part that holds its rank, by counts of its parts.
+
+    The parts are of equal width and the two ends are parts of their own, so every pass
+    drops something; a part's own least and largest value are the new ends.
+    """
+    v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
+    endless = F.isnan(hi) | (F.abs(hi) == float("inf")) | (F.abs(lo) == float("inf"))
+    place = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BUCKETS)
+    part = (
+        F.when(v <= lo, 0)
+        .when(v >= hi, BUCKETS + 1)
+        .when(endless, 1)
+        .otherwise(F.least(F.lit(BUCKETS), F.greatest(F.lit(1), place.cast("int") + 1)))
     )
-    any_inside = inside[0]
-    for other in inside[1:]:
-        any_inside = any_inside | other
-    collapsed = (
-        placed.withColumn("_kept", F.when(any_inside, F.col("_v")))
-        .withColumn("_gap", F.when(any_inside, F.lit(-1)).otherwise(gap))
-        .groupBy(*keys, "_kept", "_gap")
-        .agg(F.count("*").alias("_c"), F.min("_v").alias("_at"), F.first("n").alias("n"))
+    counted = left.groupBy(*names, "n", "rank", part.alias("_p")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_a"), F.max("_v").alias("_z")
     )
-    running = F.sum("_c").over(
-        Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    parts = counted.groupBy(*names, "n", "rank").agg(
+        F.sort_array(F.collect_list(F.struct("_p", "_c", "_a", "_z"))).alias("_parts")  # BUCKETS + 2 at most
+    )
+    rank = F.col("rank")
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        zero.alias("seen"), zero.alias("rank"), F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"), zero.alias("inside")
     )
-    ranked = collapsed.withColumn("_last", running).withColumn("_first", F.col("_last") - F.col("_c"))
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_first")) & (rank < F.col("_last")), F.col("_kept")))
 
-    picked = []
-    for i, (_, p) in enumerate(asked):
-        rank = F.col("n").cast("double") * p - p
-        low = F.floor(rank)
-        picked += [
-            value_at(low).alias(f"_lo{i}"),
-            value_at(F.ceil(rank)).alias(f"_hi{i}"),
-            F.max(rank - low).alias(f"_f{i}"),
-        ]
-    return (
-        ranked.groupBy(*keys)
-        .agg(F.max("n").alias("n"), *picked)
-        .select(
-            *keys,
-            "n",
-            *[
-                (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
-                for i, (name, _) in enumerate(asked)
-            ],
+    def step(acc: Column, x: Column) -> Column:
+        here = (acc["inside"] == 0) & (rank < acc["seen"] + x["_c"])
+        pick = lambda new, name: F.when(here, new).otherwise(acc[name]).alias(name)
+        return F.struct(
+            (acc["seen"] + x["_c"]).alias("seen"),
+            pick(rank - acc["seen"], "rank"),
+            pick(x["_a"], "lo"),
+            pick(x["_z"], "hi"),
+            pick(x["_c"], "inside"),
         )
-    )
+
+    found = F.aggregate("_parts", start, step)
+    return parts.select(*names, "n", found.alias("_f")).select(*names, "n", "_f.rank", "_f.lo", "_f.hi", "_f.inside")
