@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 BITS = 64
 MAX_PROBES = 256
+#: Most probes of a row and band on one side of a cost-chosen plan.
+MAX_SIDE_PROBES = 6_000
+#: A probe row is made, shuffled and sorted; a candidate only compared.
+PROBE_COST = 8
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -22,12 +26,15 @@ class BandPlan:
     """Split of the hash into bands.
 
     Two hashes within ``threshold`` agree on some band up to ``radius`` flipped
-    bits, since the flips cannot exceed ``radius`` in every band.
+    bits, since the flips cannot exceed ``radius`` in every band. ``flips`` of them are
+    made by one side and the rest by the other: the sides meet half way, which takes
+    far fewer probes than flipping all on one side.
     """
 
     threshold: int
     bands: tuple[tuple[int, int], ...]  # (shift, width)
     radius: int
+    flips: int = 0
 
     @staticmethod
     def masks(width: int, flips: int) -> list[int]:
@@ -39,19 +46,62 @@ class BandPlan:
         ]
 
 
-def band_plan(threshold: int) -> BandPlan:
-    """Fewest bands whose probes per band stay within ``MAX_PROBES``."""
+def _plan(threshold: int, count: int, flips: int = 0) -> BandPlan:
+    widths = [BITS // count + (1 if i < BITS % count else 0) for i in range(count)]
+    shifts = [sum(widths[:i]) for i in range(count)]
+    return BandPlan(threshold, tuple(zip(shifts, widths)), threshold // count, flips)
+
+
+def _checked(threshold: int) -> None:
     if not 0 <= threshold < BITS:
         raise ValueError(f"threshold must be in [0, {BITS})")
+
+
+def band_plan(threshold: int) -> BandPlan:
+    """Fewest bands whose probes per band stay within ``MAX_PROBES``."""
+    _checked(threshold)
     for count in range(1, BITS + 1):
-        widths = [BITS // count + (1 if i < BITS % count else 0) for i in range(count)]
-        shifts = [sum(widths[:i]) for i in range(count)]
-        plan = BandPlan(threshold, tuple(zip(shifts, widths)), threshold // count)
-        if _probe_count(max(widths), plan.radius) <= MAX_PROBES:
+        plan = _plan(threshold, count)
+        if _probe_count(max(w for _, w in plan.bands), plan.radius) <= MAX_PROBES:
             return plan
     raise ValueError("no band plan")
 
 
+def band_plans(threshold: int) -> list[BandPlan]:
+    """The plans worth weighing: each number of bands that lowers the radius, each split of it."""
+    _checked(threshold)
+    counts = sorted({min(c for c in range(1, threshold + 2) if threshold // c == r) for r in {threshold // c for c in range(1, threshold + 2)}})
+    plans = [_plan(threshold, c, flips) for c in counts for flips in range(threshold // c + 1)]
+    return [p for p in plans if max(side_probes(p, max(w for _, w in p.bands))) <= MAX_SIDE_PROBES] or [band_plan(threshold)]
+
+
+def side_probes(plan: BandPlan, width: int) -> tuple[int, int]:
+    """Probes of a row in a band of this width: on the side of the rest, on that of ``flips``."""
+    return _probe_count(width, plan.radius - plan.flips), _probe_count(width, plan.flips)
+
+
+def plan_cost(plan: BandPlan, few: int, many: int, rates: dict[tuple[int, int], float] | None = None) -> float:
+    """Probe rows and expected candidates, in comparisons.
+
+    ``rates`` holds for a band (shift, width) how often two rows share its value; bits
+    that say little make it larger than the even share 2^-width.
+    """
+    probes = candidates = 0.0
+    for band in plan.bands:
+        ours, theirs = side_probes(plan, band[1])
+        probes += few * ours + many * theirs
+        rate = max(2.0 ** -band[1], (rates or {}).get(band, 0.0))
+        candidates += few * many * min(1.0, ours * theirs * rate)
+    return PROBE_COST * probes + candidates
+
+
+def cheapest_plan(
+    threshold: int, few: int, many: int, rates: dict[tuple[int, int], float] | None = None
+) -> BandPlan:
+    """The plan of least cost for sides of so many rows: wider bands as tables grow."""
+    return min(band_plans(threshold), key=lambda p: plan_cost(p, few, many, rates))
+
+
 def _probe_count(width: int, radius: int) -> int:
     total, term = 0, 1
     for flips in range(radius + 1):
@@ -94,14 +144,18 @@ def _signed(bits: int) -> int:
     return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def canonical_meeting(a_own: Column, b_own: Column, value: Column) -> Column:
+def canonical_meeting(a_own: Column, b_own: Column, value: Column, flips: int = 1) -> Column:
     """True at one of the values at which two hashes meet within a band.
 
-    With one flip allowed on b's side that is b with the lowest differing bit
-    flipped, or b itself where the bands are equal.
+    With ``flips`` allowed on b's side that is b with its lowest differing bits
+    flipped, as many as there are up to that number.
     """
-    differing = a_own.bitwiseXOR(b_own)
-    return value == b_own.bitwiseXOR(differing.bitwiseAND(-differing))
+    left = a_own.bitwiseXOR(b_own)
+    met = b_own
+    for _ in range(flips):
+        lowest = left.bitwiseAND(-left)
+        met, left = met.bitwiseXOR(lowest), left.bitwiseXOR(lowest)
+    return value == met
 
 
 def first_band(a: Column, b: Column, plan: BandPlan) -> Column:

@@ -32,7 +32,8 @@ MAX_CANDIDATES = 20_000_000_000
 MAX_DENSE_PAIRS = 500_000
 CROWDED = 16
 TAIL_EDGES = 200_000
-EVEN_SIDES = 8
+#: Rows by which the plans are weighed.
+RATE_ROWS = 100_000
 
 
 def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
@@ -52,45 +53,64 @@ def _band_counts(ranked: DataFrame, plan: H.BandPlan) -> DataFrame:
     )
 
 
-def near(
-    few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool, same: bool = False
-) -> DataFrame:
-    """Pairs (a from ``few``, b from ``many``) within the threshold, each once.
+def collision_rates(hashes: DataFrame, threshold: int, rows: int) -> dict[tuple[int, int], float]:
+    """For each band of the plans, how often two different rows share its value.
 
-    Both sides have columns rank and phash. ``few`` is probed with the radius of
-    the plan and ``many`` keeps one row per band; sides of about the ``same`` size
-    share the radius, which makes fewer rows in all. ``spread`` salts crowded bands.
-
-    A pair counts in its lowest matching band only, so no distinct is needed.
+    Measured in one aggregation over a share of about ``RATE_ROWS`` rows (chosen by a
+    hash): the rates pick a plan, results do not hang on them.
     """
-    flips = 1 if same and plan.radius > 0 else 0
+    bands = sorted({band for plan in H.band_plans(threshold) for band in plan.bands})
+    step = max(1, rows // RATE_ROWS)
+    part = hashes.where(F.pmod(F.xxhash64("phash"), F.lit(step)) == 0)
+    values = F.array(
+        *(
+            F.struct(F.lit(k).alias("band"), H.band_value(F.col("phash"), shift, width).alias("value"))
+            for k, (shift, width) in enumerate(bands)
+        )
+    )
+    counted = part.select(F.inline(values)).groupBy("band", "value").agg(F.count("*").cast("double").alias("n"))
+    sums = counted.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("same"))
+    return {bands[r["band"]]: r["same"] / (r["n"] * (r["n"] - 1)) for r in sums.collect() if r["n"] > 1}
+
+
+def candidates(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
+    """Pairs of rows that meet in a band (a, ha, b, hb, band and, where both flip, oa, ob, value)."""
     left = H.probes(
-        many.select(F.col("rank").alias("b"), F.col("phash").alias("hb")), "hb", plan, flips, "ob"
+        many.select(F.col("rank").alias("b"), F.col("phash").alias("hb")), "hb", plan, plan.flips, "ob"
     )
     right = H.probes(
         few.select(F.col("rank").alias("a"), F.col("phash").alias("ha")),
         "ha",
         plan,
-        plan.radius - flips,
+        plan.radius - plan.flips,
         "oa",
     )
     keys = ["band", "value"]
-    if not flips:  # the meeting value is b's own band: one per band already
+    if not plan.flips:  # the meeting value is b's own band: one per band already
         left, right = left.drop("ob"), right.drop("oa")
     if spread:
-        met = salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
-    else:
-        met = left.join(right, keys)
+        return salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
+    return left.join(right, keys)
+
+
+def near(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
+    """Pairs (a from ``few``, b from ``many``) within the threshold, each once.
+
+    Both sides have columns rank and phash. The plan says how many bits each side flips.
+    ``spread`` salts crowded bands. A pair counts in its lowest matching band only, and
+    there at one meeting value, so no distinct is needed.
+    """
+    met = candidates(few, many, plan, spread)
     distance = H.hamming(F.col("ha"), F.col("hb"))
     close = distance <= plan.threshold
-    if flips:
-        close = close & H.canonical_meeting(F.col("oa"), F.col("ob"), F.col("value"))
+    if plan.flips:
+        close = close & H.canonical_meeting(F.col("oa"), F.col("ob"), F.col("value"), plan.flips)
     once = H.first_band(F.col("ha"), F.col("hb"), plan) == F.col("band")
     return met.where(close & once).select("a", "b", distance.alias("distance"))
 
 
 def _self_pairs(ranked: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
-    return near(ranked, ranked, plan, spread, same=True).where(F.col("a") < F.col("b"))
+    return near(ranked, ranked, plan, spread).where(F.col("a") < F.col("b"))
 
 
 def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") -> DataFrame:
@@ -99,7 +119,9 @@ def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") ->
     Each distinct hash is stood for by its first item.
     """
     ranked = global_sequence(representatives(hashes, order), ["at", "image"], "rank")
-    pairs = _self_pairs(ranked, H.band_plan(threshold), spread=ranked.count() > SMALLEST_BATCH)
+    rows = ranked.count()
+    plan = H.cheapest_plan(threshold, rows, rows, collision_rates(ranked, threshold, rows))
+    pairs = _self_pairs(ranked, plan, spread=rows > SMALLEST_BATCH)
     return (
         pairs.join(ranked.select(F.col("rank").alias("a"), F.col("image").alias("image_a")), "a")
         .join(ranked.select(F.col("rank").alias("b"), F.col("image").alias("image_b")), "b")
@@ -114,7 +136,8 @@ def _affordable(batch: DataFrame, rows: int, plan: H.BandPlan, most: int) -> boo
     pairs inside crowded bands, where most candidates are true pairs.
     """
     width = max(width for _, width in plan.bands)
-    probes = len(plan.masks(width, plan.radius))
+    ours, theirs = H.side_probes(plan, width)
+    probes = ours * theirs
     squares = F.col("n").cast("double") * F.col("n")
     crowded = F.col("n") > CROWDED * (1 + rows / 2.0**width)
     load = _band_counts(batch, plan).agg(
@@ -124,11 +147,12 @@ def _affordable(batch: DataFrame, rows: int, plan: H.BandPlan, most: int) -> boo
 
 
 def _prefix(
-    todo: DataFrame, rows: int, size: int, plan: H.BandPlan, most: int
-) -> tuple[DataFrame, int | None, int]:
+    todo: DataFrame, rows: int, size: int, threshold: int, rates: dict, most: int
+) -> tuple[DataFrame, int | None, int, H.BandPlan]:
     """Earliest items whose candidate count is affordable.
 
-    Returns the batch, its boundary rank (None if it is everything) and its size.
+    Returns the batch, its boundary rank (None if it is everything), its size and the
+    plan for its pairs.
     """
     while True:
         if rows <= size:
@@ -138,10 +162,9 @@ def _prefix(
             limit = todo.agg(share).first()[0]
             batch = todo.where(F.col("rank") <= limit)
         size = min(rows, size)
-        if size <= SMALLEST_BATCH:
-            return batch, limit, size
-        if _affordable(batch, size, plan, most):
-            return batch, limit, size
+        plan = H.cheapest_plan(threshold, size, size, rates)
+        if size <= SMALLEST_BATCH or _affordable(batch, size, plan, most):
+            return batch, limit, size, plan
         size = max(SMALLEST_BATCH, size // GROWTH)
 
 
@@ -196,12 +219,14 @@ def greedy(
 
     ``ranked`` holds rank and phash with distinct hashes.
     """
-    plan = H.band_plan(threshold)
     todo, size = ranked.select("rank", "phash"), first_batch
     found: list[DataFrame] = []
+    rates: dict | None = None
     while True:
         rows = todo.count()
-        batch, limit, taken = _prefix(todo, rows, size, plan, max_candidates)
+        if rates is None:
+            rates = collision_rates(todo, threshold, rows)
+        batch, limit, taken, plan = _prefix(todo, rows, size, threshold, rates, max_candidates)
         pairs = materialize(_self_pairs(batch, plan, taken > SMALLEST_BATCH).select("a", "b"))
         removed = materialize(_settle(pairs, tail_edges))
         sources = removed.select(F.col("b").alias("a"))
@@ -211,11 +236,8 @@ def greedy(
             return reduce(DataFrame.unionByName, found)
         kept = materialize(batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti"))
         rest = todo.where(F.col("rank") > limit)
-        # Probing only the kept side costs more rows once it is no longer small.
-        even = kept.count() * EVEN_SIDES > rows - taken
-        struck = materialize(
-            near(kept, rest, plan, spread=True, same=even).groupBy("b").agg(F.min("a").alias("keeper"))
-        )
+        across = H.cheapest_plan(threshold, kept.count(), rows - taken, rates)
+        struck = materialize(near(kept, rest, across, spread=True).groupBy("b").agg(F.min("a").alias("keeper")))
         found.append(struck)
         todo = materialize(rest.join(struck.select(F.col("b").alias("rank")), "rank", "left_anti"))
         size *= GROWTH

@@ -60,6 +60,50 @@ def test_band_plan_misses_nothing(threshold):
     assert (plan.radius + 1) * len(plan.bands) > threshold
 
 
+@pytest.mark.parametrize("threshold", [0, 3, 10, 20])
+def test_every_plan_finds_the_same_pairs(spark, threshold):
+    rows = list({v: (n, v) for n, v in crowd(threshold + 1, 90, 6, threshold + 2)}.values())
+    ranked = spark.createDataFrame(list(enumerate(v for _, v in rows)), "rank bigint, phash bigint").cache()
+    want = sorted((a, b) for a, (_, x) in enumerate(rows) for b, (_, y) in enumerate(rows) if a < b and distance(x, y) <= threshold)
+    plans = H.band_plans(threshold)
+    assert all((p.radius + 1) * len(p.bands) > threshold for p in plans) and len(plans) > (threshold > 0)
+    for plan in plans[::3] if threshold > 3 else plans:
+        if sum(map(sum, (H.side_probes(plan, w) for _, w in plan.bands))) < 1500:
+            found = dedup.near(ranked, ranked, plan, spread=False).where("a < b").collect()
+            assert sorted((r["a"], r["b"]) for r in found) == want, plan
+
+
+def test_costs_grow_far_slower_than_pairs():
+    """Ten times the rows: bands widen with the table, so neither probes nor candidates take all pairs."""
+    costs = [H.plan_cost(H.cheapest_plan(10, n, n), n, n) for n in (10**4, 10**5, 10**6, 10**7, 10**8)]
+    growth = [b / a for a, b in zip(costs, costs[1:])]
+    assert max(growth) < 50, growth  # 100 for all pairs
+    assert len({len(H.cheapest_plan(10, n, n).bands) for n in (10**3, 10**5, 10**7)}) > 1
+
+
+def test_candidates_are_what_the_cost_says(spark):
+    rng = random.Random(9)
+    sizes, found = (1000, 4000), []
+    for n in sizes:
+        ranked = spark.createDataFrame([(i, signed(rng.getrandbits(64))) for i in range(n)], "rank bigint, phash bigint")
+        rates = dedup.collision_rates(ranked, 10, n)
+        plan = H.cheapest_plan(10, n, n, rates)
+        met = dedup.candidates(ranked, ranked, plan, spread=False).count()
+        probes = sum(n * sum(H.side_probes(plan, w)) for _, w in plan.bands)
+        assert met < 2 * (H.plan_cost(plan, n, n, rates) - H.PROBE_COST * probes)
+        found.append(met + H.PROBE_COST * probes)
+    assert found[1] / found[0] < 12  # 16 for all pairs
+
+
+def test_poor_bits_turn_the_plan(spark):
+    """Bands that hold the same few values count as the crowds they are."""
+    flat = spark.createDataFrame([(i, (i % 5) << 40 | i) for i in range(3000)], "rank bigint, phash bigint")
+    rates = dedup.collision_rates(flat, 10, 3000)
+    assert max(rates.values()) == 1.0 and min(rates.values()) < 0.01
+    some = H.cheapest_plan(10, 3000, 3000)
+    assert H.plan_cost(some, 3000, 3000, rates) > H.plan_cost(some, 3000, 3000)
+
+
 @pytest.mark.parametrize("threshold,flips", [(0, 2), (3, 3), (10, 12), (20, 20)])
 def test_matches_sequential_rule(spark, threshold, flips):
     rows = crowd(threshold, 300, 12, flips)
