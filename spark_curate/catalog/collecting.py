@@ -134,11 +134,18 @@ def resolution_resume(spark, sf_dir):
     "name_collisions",
     I.sql(
         """SELECT name, count(*) AS n, min(path) AS first_path FROM named GROUP BY name HAVING count(*) > 1""",
-        extra=NAMES,
+        extra={
+            **NAMES,
+            "raw": rf"""SELECT path, k FROM ({RAW}) UNION ALL
+              SELECT regexp_replace(path, '\.[^.]+$', '.jpeg') AS path, k FROM ({RAW}) WHERE k % 10 = 0""",
+        },
     ),
 )
 def name_collisions(spark, sf_dir):
-    return resolution.name_collisions(raw_files(spark, sf_dir))
+    """Every tenth file has a twin of another suffix in its folder."""
+    raw = raw_files(spark, sf_dir).select("path", "k")
+    twin = F.regexp_replace("path", r"\.[^.]+$", ".jpeg").alias("path")
+    return resolution.name_collisions(raw.unionByName(raw.where("k % 10 = 0").select(twin, "k")))
 
 
 @register(

@@ -89,22 +89,23 @@ def score_shares(spark, sf_dir):
 @register(
     "label_resume",
     I.sql(
-        """SELECT l.image, category, assigned, CASE WHEN kept THEN 'existing' ELSE 'new' END AS origin
+        """SELECT l.image, category, CASE WHEN kept THEN 'earlier ' ELSE '' END || assigned AS assigned
         FROM labels_out l JOIN decisions d ON l.image = d.image""",
         "labels_out",
         "decisions",
     ),
 )
 def label_resume(spark, sf_dir):
+    """A resumed run: labels of an earlier one stay as they are, only the rest is labelled."""
     kept = I.decisions(spark, sf_dir).where("kept").select("image")
     everything = I.items(spark, sf_dir)
     prompts = I.label_prompts(spark, sf_dir)
-    existing = labeling.label_records(labeling.keep_only(everything, kept), prompts)
-    fresh = labeling.label_records(labeling.missing_labels(everything, existing), prompts)
-    both = labeling.labels_long(existing).withColumn("origin", F.lit("existing")).unionByName(
-        labeling.labels_long(fresh).withColumn("origin", F.lit("new"))
+    before = labeling.label_records(labeling.keep_only(everything, kept), prompts)
+    marked = F.transform_values("predicted", lambda _, v: F.concat(F.lit("earlier "), v))
+    existing = before.withColumn("predicted", marked)
+    return labeling.predicted_long(labeling.resume_labels(everything, prompts, existing)).select(
+        "image", "category", F.col("label").alias("assigned")
     )
-    return both.select("image", "category", "assigned", "origin")
 
 
 # Evaluation

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spark_curate.catalog import collecting
+from spark_curate.catalog import collecting, filtering
 from spark_curate.catalog import inputs as I
 from spark_curate.catalog.deduping import greedy_sql
 from spark_curate.functions import columns as C
 from spark_curate.functions import names as N
 from spark_curate.functions import vectors as V
+from spark_curate.functions.session import materialize
 from spark_curate.operators import evaluation, export, labeling, manifest, resolution, scoring
 from spark_curate.plans import steps
 from spark_curate.sources import readers, writers
@@ -82,12 +83,24 @@ def rejected_stems(spark, sf_dir):
 
 @register(
     "listing",
-    I.sql("SELECT image FROM decisions WHERE kept", "decisions"),
+    I.sql(
+        """SELECT 'stored' AS step, image FROM items UNION ALL SELECT 'filter', image FROM decisions WHERE kept
+        UNION ALL SELECT DISTINCT 'label', image FROM labels_out""",
+        "items", "decisions", "labels_out",
+    ),
 )
 def listing(spark, sf_dir):
-    """A filter step that stored no files lists the kept names of its log."""
-    decided = I.decisions(spark, sf_dir)
-    return readers.listing(decided.where(F.lit(False)), log=decided)
+    """Steps that stored files list those; others the kept names of their log or their labels."""
+    everything, decided = I.items(spark, sf_dir), I.decisions(spark, sf_dir)
+    none = everything.where(F.lit(False))
+    padded = I.records(spark, sf_dir).withColumn("image", F.concat(F.lit(" "), F.col("image"), F.lit(" ")))
+    steps = {
+        "stored": readers.listing(everything, log=decided),
+        "filter": readers.listing(none, log=decided),
+        "label": readers.listing(none, labels=padded),
+    }
+    named = [names.select(F.lit(step).alias("step"), "image") for step, names in steps.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @register(
@@ -280,17 +293,60 @@ def first_locations(spark, sf_dir):
 @register(
     "manifest_upsert",
     I.sql(
-        """SELECT d.image, true AS dedup_kept, NULL::VARCHAR AS duplicate_of, d.kept AS filter_kept, d.reason, positive, negative,
-        CASE WHEN d.kept THEN true END AS labeled, CASE WHEN d.kept THEN l.assigned END AS hue
-        FROM decisions d JOIN labels_out l ON l.image = d.image AND l.category='hue'""",
-        "decisions", "labels_out",
+        """SELECT coalesce(r.image, p.image) AS image,
+          coalesce(r.image IS NULL OR i.vec_id % 4 <> 3 OR b.image IS NULL, true) AS dedup_kept,
+          CASE WHEN r.image IS NULL THEN 'older.jpg' WHEN i.vec_id % 4 = 3 THEN b.image END AS duplicate_of,
+          CASE WHEN r.image IS NULL THEN p.filter_kept ELSE r.kept END AS filter_kept,
+          CASE WHEN r.image IS NULL THEN 'before' ELSE r.reason END AS reason,
+          CASE WHEN r.image IS NULL OR r.reason IN ('resume_existing', 'load_error') THEN p.positive ELSE r.positive END AS positive,
+          CASE WHEN r.image IS NULL OR r.reason IN ('resume_existing', 'load_error') THEN p.negative ELSE r.negative END AS negative,
+          CASE WHEN r.kept OR p.image IS NOT NULL THEN true END AS labeled,
+          CASE WHEN r.kept THEN l.assigned ELSE p.hue END AS hue
+        FROM resumed_log r JOIN items i ON i.image = r.image JOIN labels_out l ON l.image = r.image AND l.category = 'hue'
+        LEFT JOIN items b ON b.vec_id = i.vec_id - 1
+        FULL JOIN earlier p ON p.image = r.image""",
+        "scores", "labels_out",
+        extra={
+            **filtering.RESUMED,
+            "earlier": """SELECT CASE WHEN vec_id % 4 = 0 THEN 'gone_' || image ELSE image END AS image, false AS filter_kept,
+              0.5::DOUBLE AS positive, 0.25::DOUBLE AS negative, 'old' AS hue FROM items WHERE vec_id % 2 = 0""",
+        },
     ),
 )
 def manifest_upsert(spark, sf_dir):
-    everything, decided = I.items(spark, sf_dir), I.decisions(spark, sf_dir)
+    """Three steps merged onto the manifest of an earlier run, itself half of all items.
+
+    Some of its images are gone since. Explicit nulls (no longer a duplicate) overwrite;
+    keys that a resumed or unreadable item lacks leave the older scores.
+    """
+    everything, decided = I.items(spark, sf_dir), materialize(filtering.resumed_decisions(spark, sf_dir))
+    even = everything.where("vec_id % 2 = 0")
+    name = F.when(F.col("vec_id") % 4 == 0, F.concat(F.lit("gone_"), F.col("image"))).otherwise(F.col("image"))
+    earlier = even.select(name.alias("image"))
     none = spark.createDataFrame([], S.MANIFEST)
-    dups = everything.where(F.lit(False)).select("image", F.col("image").alias("duplicate_of"))
-    state = manifest.upsert(none, "dedup", manifest.dedup_updates(everything, dups))
+    state = manifest.upsert(
+        none,
+        "dedup",
+        earlier.select("image", F.lit(True).alias("kept"), F.lit("older.jpg").alias("duplicate_of")),
+    )
+    state = manifest.upsert(
+        state,
+        "filter",
+        earlier.select(
+            "image",
+            F.lit(False).alias("kept"),
+            F.lit("before").alias("reason"),
+            F.lit(0.5).alias("positive_score"),
+            F.lit(0.25).alias("negative_score"),
+        ),
+    )
+    old = F.create_map(F.lit("hue"), F.lit("old"))
+    state = materialize(
+        manifest.upsert(state, "label", earlier.select("image", F.lit(True).alias("labeled"), old.alias("categories")))
+    )
+    first = everything.select((F.col("vec_id") + 1).alias("vec_id"), F.col("image").alias("duplicate_of"))
+    dups = everything.where("vec_id % 4 = 3").join(first, "vec_id").select("image", "duplicate_of")
+    state = manifest.upsert(state, "dedup", manifest.dedup_updates(everything, dups))
     state = manifest.upsert(state, "filter", manifest.filter_updates(decided))
     labelled = labeling.keep_only(I.records(spark, sf_dir), decided.where("kept"))
     state = manifest.upsert(state, "label", manifest.label_updates(labelled))

@@ -35,6 +35,36 @@ def filter_decisions(spark, sf_dir):
     return I.decisions(spark, sf_dir)
 
 
+#: A second run: every eleventh item was kept by the first, every thirteenth cannot be read.
+RESUMED = {
+    "again": """SELECT s.image, i.vec_id % 11 = 3 AS done, i.vec_id % 13 = 5 AS broken,
+      CASE WHEN i.vec_id % 13 <> 5 THEN positive END AS positive, CASE WHEN i.vec_id % 13 <> 5 THEN negative END AS negative,
+      CASE WHEN i.vec_id % 13 <> 5 THEN overlay END AS overlay, CASE WHEN i.vec_id % 13 <> 5 THEN clean END AS clean
+      FROM scores s JOIN items i ON i.image = s.image""",
+    "resumed": """SELECT *, coalesce(overlay - clean > 0.01, false) AS flagged,
+      CASE WHEN coalesce(overlay - clean > 0.01, false) THEN 'overlay' WHEN done THEN 'resume_existing'
+           WHEN positive IS NULL THEN 'load_error'
+           WHEN positive >= 0.0025 AND positive > negative THEN 'passed' ELSE 'low_score' END AS reason FROM again""",
+    "resumed_log": """SELECT image, CASE WHEN NOT flagged AND NOT done THEN positive END AS positive,
+      CASE WHEN NOT flagged AND NOT done THEN negative END AS negative, overlay, clean, flagged,
+      reason IN ('passed', 'resume_existing') AS kept, reason FROM resumed""",
+}
+
+
+def resumed_decisions(spark, sf_dir):
+    scored = I.scores(spark, sf_dir).join(I.items(spark, sf_dir).select("image", "vec_id"), "image")
+    readable = F.col("vec_id") % 13 != 5
+    scores = [F.when(readable, F.col(g)).alias(g) for g in scoring.GROUPS]
+    first_run = scored.where("vec_id % 11 = 3").select("image")
+    return scoring.filter_decisions(scored.select("image", *scores), I.THRESHOLDS, existing=first_run)
+
+
+@register("filter_resume", I.sql("SELECT * FROM resumed_log", "scores", extra=RESUMED))
+def filter_resume(spark, sf_dir):
+    """Decisions of a resumed run, where all five reasons occur."""
+    return resumed_decisions(spark, sf_dir)
+
+
 @register(
     "decision_counts",
     I.sql(

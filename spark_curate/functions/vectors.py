@@ -65,12 +65,13 @@ def bounded_rows(
     """(rows, dimension) of a small vector table.
 
     Rows are None when there are more than ``MAX_BLOCK_ROWS`` or their vectors take
-    more than ``max_bytes``. At most ``MAX_BLOCK_ROWS`` + 1 rows are fetched.
+    more than ``max_bytes``; then none but the first is fetched.
     """
-    rows = df.limit(MAX_BLOCK_ROWS + 1).collect()
-    dim = len(rows[0][vector]) if rows else 0
-    fits = len(rows) <= min(MAX_BLOCK_ROWS, max_bytes // (8 * max(dim, 1)))
-    return (rows if fits else None), dim
+    first = df.select(F.size(vector)).first()
+    dim = first[0] if first else 0
+    most = min(MAX_BLOCK_ROWS, max_bytes // (8 * max(dim, 1)))
+    fits = df.limit(most + 1).count() <= most
+    return (df.collect() if fits else None), dim
 
 
 def batch_matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spark_curate.functions import columns as C
 from spark_curate.functions import vectors as V
+from spark_curate.functions.session import materialize
 from spark_curate.operators.scoring import group_vectors, vector_blocks
 
 LABEL_KEYS = ("category", "label", "label_ord")
@@ -38,9 +39,13 @@ def label_scores(
     """
     present = items.where(F.col(embedding).isNotNull())
     blocks = vector_blocks(label_vectors(prompts), "vector", ("category", "label_ord", "label"), max_bytes)
-    parts = [_block_scores(present, block, embedding) for block in blocks if block]
-    if not parts:
+    first = next(blocks)
+    if not first:
         raise ValueError("no label prompts")
+    parts = [_block_scores(present, first, embedding)]
+    for block in blocks:  # what a block gives is written before the next is fetched
+        parts[-1] = materialize(parts[-1])
+        parts.append(_block_scores(present, block, embedding))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -39,6 +39,8 @@ TOP_SHARE, TOP_LEAST, TARGET_FACTOR = 0.10, 10, 1.5
 MIN_SEEDS, EXEMPLARS = 10, 5
 
 TIE_DIGITS = 9
+#: Seeds that serve as pivots, and the room left for rounding in their bounds.
+PIVOTS, REACH_SLACK = 64, 1e-7
 SMALL_TABLE_ROWS = 100_000
 
 
@@ -102,18 +104,66 @@ def _nearest(similarity: np.ndarray, k: int) -> np.ndarray:
     return nearest
 
 
-def _block_neighbours(items: DataFrame, block: Sequence, k: int) -> DataFrame:
+@dataclass(frozen=True)
+class Reach:
+    """What lies between pivots and the seeds of a block.
+
+    ``near`` and ``far`` are the least and the largest distance of a seed of the block
+    to each pivot, ``longest`` the largest length of one. Pivots are seeds themselves.
+    """
+
+    pivots: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    longest: float
+
+    def may_enter(self, x: np.ndarray, k: int) -> np.ndarray:
+        """Which rows a seed of the block can be among the ``k`` nearest of.
+
+        The k-th best pivot is a bar that the k-th best seed reaches. By the triangle
+        inequality a seed is at least as far from a row as the row's distance to a
+        pivot lies outside the block's distances to it; so its product is bounded.
+        """
+        if len(self.pivots) < k:
+            return np.ones(len(x), bool)
+        products = x @ self.pivots.T
+        length = (x * x).sum(axis=1)
+        bar = np.partition(products, -k, axis=1)[:, -k]
+        squares = length[:, None] + (self.pivots**2).sum(axis=1) - 2 * products
+        apart = np.sqrt(np.maximum(squares, 0))
+        gap = np.maximum(0, np.maximum(self.near - apart, apart - self.far)).max(axis=1)
+        most = np.minimum((length + self.longest**2 - gap**2) / 2, np.sqrt(length) * self.longest)
+        return most >= bar - REACH_SLACK * (1 + np.abs(bar))
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    squares = (x * x).sum(axis=1)[:, None] + (pivots**2).sum(axis=1) - 2 * x @ pivots.T
+    return np.sqrt(np.maximum(squares, 0))
+
+
+def reach_of(matrix: np.ndarray, pivots: np.ndarray) -> Reach:
+    """The reach of a block of seeds."""
+    apart = _distances(matrix, pivots)
+    return Reach(pivots, apart.min(axis=0), apart.max(axis=0), float(np.sqrt((matrix**2).sum(axis=1)).max()))
+
+
+def _block_neighbours(items: DataFrame, block: Sequence, k: int, pivots: np.ndarray | None = None) -> DataFrame:
+    block = sorted(block, key=lambda r: r["image"])
     names = np.asarray([r["image"] for r in block], dtype=object)
     matrix = np.asarray([r["embedding"] for r in block], dtype=np.float64)
+    reach = None if pivots is None else reach_of(matrix, pivots)
 
     @F.arrow_udf("array<struct<seed:string,similarity:double>>")
     def top(column: pa.Array) -> pa.Array:
         valid, x = V.batch_matrix(column, matrix.shape[1])
-        similarity = np.round(x @ matrix.T, TIE_DIGITS)
+        asked = np.ones(len(x), bool) if reach is None else reach.may_enter(x, k)
+        similarity = np.round(x[asked] @ matrix.T, TIE_DIGITS)
         at = _nearest(similarity, k)
         values = np.take_along_axis(similarity, at, axis=1)
         width = at.shape[1]
-        offsets = np.concatenate([[0], np.cumsum(np.where(valid, width, 0))]).astype(np.int32)
+        sizes = np.zeros(len(column), np.int64)
+        sizes[valid] = np.where(asked, width, 0)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         entries = pa.StructArray.from_arrays(
             [pa.array(names[at.reshape(-1)], pa.string()), pa.array(values.reshape(-1))],
             names=["seed", "similarity"],
@@ -129,17 +179,34 @@ def nearest_seeds(
     """k nearest seeds by dot product: image, seed, similarity, rank.
 
     Similarities are rounded to ``TIE_DIGITS``, beyond which they are noise; ties go
-    to the seed with the smaller name. An item that is a seed may be its own neighbour. Seeds are compared block by block; with more than one block
-    only each block's best k per item are shuffled.
+    to the seed with the smaller name. An item that is a seed may be its own neighbour.
+
+    Seeds beyond a block are ordered by the nearest of ``PIVOTS`` of them, so that a
+    block holds seeds that lie together, and taken block by block; the driver holds one
+    block. Items that no seed of a block can matter to skip it (:class:`Reach`), and
+    only each block's best k of the others are shuffled.
     """
-    blocks = vector_blocks(seeds.select("image", "embedding"), "embedding", ("image",), max_bytes)
-    parts = [_block_neighbours(items, block, k) for block in blocks if block]
-    if not parts:
+    slim = seeds.select("image", "embedding")
+    whole, _ = V.bounded_rows(slim, "embedding", max_bytes)
+    if whole == []:
         raise ValueError("no seeds")
-    if len(parts) == 1:
-        best = parts[0]
+    if whole is not None:
+        best = _block_neighbours(items, whole, k)
     else:
-        united = reduce(DataFrame.unionByName, [materialize(p) for p in parts])
+        slim = materialize(slim)
+        chosen = slim.orderBy(F.xxhash64("image"), "image").limit(PIVOTS).collect()
+        pivots = np.asarray([r["embedding"] for r in chosen], dtype=np.float64)
+
+        @F.arrow_udf("int")
+        def cell(column: pa.Array) -> pa.Array:
+            _, x = V.batch_matrix(column, pivots.shape[1])
+            return pa.array(_distances(x, pivots).argmin(axis=1).astype(np.int32))
+
+        placed = slim.select("image", "embedding", cell("embedding").alias("_cell"))
+        parts = []
+        for block in vector_blocks(placed, "embedding", ("_cell", "image"), max_bytes):
+            parts.append(materialize(_block_neighbours(items, block, k, pivots)))
+        united = reduce(DataFrame.unionByName, parts)
         entry = F.struct((-F.col("e.similarity")).alias("key"), F.col("e.seed").alias("seed"))
         best = (
             united.select("image", F.explode("near").alias("e"))

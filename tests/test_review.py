@@ -87,6 +87,36 @@ def test_votes_of_given_categories_only(items, seeds):
     assert found[0] == found[1] and {r[1] for r in found[0]} == set(CATS)
 
 
+def test_bounds_skip_blocks_but_never_a_neighbour():
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(6, 8)) * 5
+    seeds = np.concatenate([c + rng.normal(size=(40, 8)) for c in centres])
+    x = np.concatenate([c + rng.normal(size=(30, 8)) for c in centres[:4]] + [rng.normal(size=(30, 8))])
+    pivots = seeds[::7]
+    skipped = 0
+    for k in (1, 5):
+        wanted = np.argsort(-(x @ seeds.T), axis=1)[:, :k]
+        for start in range(0, 240, 40):
+            asked = review.reach_of(seeds[start : start + 40], pivots).may_enter(x, k)
+            needs = ((wanted >= start) & (wanted < start + 40)).any(axis=1)
+            assert not (needs & ~asked).any()
+            skipped += (~asked).sum()
+    assert skipped > 0.3 * 12 * len(x)
+    assert review.reach_of(seeds, pivots[:3]).may_enter(x, 5).all()  # fewer pivots than neighbours: no bar
+
+
+def test_many_blocks_of_seeds_leave_nothing_out(spark, monkeypatch):
+    monkeypatch.setattr(review, "PIVOTS", 9)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, 4)) * 3
+    point = lambda i: (centres[i % 5] + rng.normal(size=4) * 0.3).tolist()
+    seeds = spark.createDataFrame([(f"s{i:03d}", point(i)) for i in range(90)], "image string, embedding array<float>")
+    items = spark.createDataFrame([(f"i{i:03d}", point(i)) for i in range(60)] + [("none", None)], "image string, embedding array<float>")
+    whole = {tuple(r) for r in review.nearest_seeds(items, seeds, 4).collect()}
+    blocks = {tuple(r) for r in review.nearest_seeds(items, seeds, 4, max_bytes=8 * 4 * 11).collect()}
+    assert whole == blocks and len(whole) == 240
+
+
 def test_votes_without_seeds(items, seeds):
     none = review.seed_votes(items, seeds.where("false"), CATS, 3)
     assert none.count() == 120 and review.votes_long(none).count() == 0
