@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from bisect import bisect_left
@@ -12,6 +13,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,26 +23,48 @@ from tokenizers import Tokenizer
 
 from spark_curate.functions.session import materialize
 from spark_curate.llm.bpe import byte_letters
-from spark_curate.llm.packing import PLAIN, WORDS
+from spark_curate.llm.packing import PLAIN
 
-#: Words kept by a worker and tokenizer; a full cache starts afresh, so memory is bounded.
-CACHE_WORDS = 400_000
-#: Longer stretches of text are encoded each time and never kept.
-KEPT_CHARS = 64
 #: Every so manieth end is sought by itself; those between start from its place.
-STRIDE = 32
+STRIDE = 64
 #: A block is closed at this many distinct pairs of documents.
 BLOCK_PAIRS = 2_000_000
 
 MARK = "▁"
 #: A piece that stands for a byte (a fixed form of the vocabulary).
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-SEGMENTS = re.compile(r" +[^ \n]*|\n+[^ \n]*")
+#: The word pattern of the byte-level vocabulary (a fixed value of its pre-tokenizer).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Tokens whose bytes are compared with the text at once.
+SPELLED = 1 << 20
 
 EMPTY = np.empty(0, np.int64)
 
 
-class ByteLevel:
+class Spelling:
+    """The bytes of every token of a vocabulary, and whether tokens spell a text."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.all = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spells(self, ids: np.ndarray, ends: np.ndarray, raw: bytes) -> bool:
+        if not len(ids) or int(ends[-1]) != len(raw):
+            return False
+        text = np.frombuffer(raw, np.uint8)
+        for k in range(0, len(ids), SPELLED):
+            part, upto = ids[k : k + SPELLED], ends[k : k + SPELLED]
+            first, last = int(upto[0] - self.sizes[part[0]]), int(upto[-1])
+            shift = self.starts[part] - (upto - self.sizes[part])
+            at = np.repeat(shift, self.sizes[part]) + np.arange(first, last)
+            if not np.array_equal(self.all[at], text[first:last]):
+                return False
+        return True
+
+
+class ByteLevel(Spelling):
     """Texts to ids of a byte-level vocabulary; strings of special tokens are plain text."""
 
     def __init__(self, path: str):
@@ -51,69 +75,41 @@ class ByteLevel:
         self.tokenizer.encode_special_tokens = True
         byte = {letter: b for b, letter in enumerate(byte_letters())}
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.bytes = [b""] * self.tokenizer.get_vocab_size()
+        tokens = [b""] * self.tokenizer.get_vocab_size()
         for piece, i in self.tokenizer.get_vocab().items():
-            self.bytes[i] = special[i].encode() if i in special else bytes(byte[c] for c in piece)
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+            tokens[i] = special[i].encode() if i in special else bytes(byte[c] for c in piece)
+        super().__init__(tokens)
+        # ids in the order of the merges are ranks: the same tokens by a quicker library
+        self.ranked = None
+        model = json.loads(self.tokenizer.to_str())["model"]
+        made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if made == sorted(set(made)):
+            ranks = {t: i for i, t in enumerate(tokens) if i not in special}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        """Ids of one text, by its words where the word pattern is plain."""
+        """Ids of one text; those of rare characters by the vocabulary's own library."""
         spaced = " " + text
-        if PLAIN.match(spaced):
-            return _by_words(self.known, WORDS.findall(spaced), self._whole)
-        return np.frombuffer(self._whole([spaced])[0], "<u4")
+        if self.ranked and PLAIN.match(spaced):
+            return np.array(self.ranked.encode_ordinary(spaced), np.int64)
+        return np.array(self.tokenizer.encode(spaced, add_special_tokens=False).ids, np.int64)
 
 
-class Pieces:
+class Pieces(Spelling):
     """Texts to ids of a sentencepiece vocabulary, which adds a space in front."""
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [
-            bytes([int(BYTE_PIECE.fullmatch(p)[1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
-        # no merge crosses from a word to a later space, or to or from a line's end
-        self.by_words = not any("\n" in p or MARK in p.lstrip(MARK) for p in pieces)
-        self.lone_mark = self.model.piece_to_id(MARK)
-        self.known: dict[str, bytes] = {}
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        # the library adds one space: it is the word's own, or comes off again before a line's end
-        found = self.model.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        cut = [0 if w[0] == " " else 1 for w in words]
-        if any(k and f[0] != self.lone_mark for k, f in zip(cut, found, strict=True)):
-            raise RuntimeError("the vocabulary joins a space to a line's end")
-        rows = [np.array(f[k:], "<u4").tobytes() for k, f in zip(cut, found, strict=True)]
-        for n, w in enumerate(words):
-            if w == " ":  # nothing is left to encode, but the space itself is a token
-                rows[n] = np.array([self.lone_mark], "<u4").tobytes()
-        return rows
+        super().__init__(
+            [
+                bytes([int(BYTE_PIECE.fullmatch(p)[1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode()
+                for i, p in enumerate(pieces)
+            ]
+        )
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.by_words and MARK not in text and PLAIN.match(text):
-            return _by_words(self.known, SEGMENTS.findall(" " + text), self._words)
-        return np.array(self.model.encode(text, num_threads=1), "<u4")
-
-
-def _by_words(known: dict[str, bytes], words: list[str], encode) -> np.ndarray:
-    """The ids of a text's words in order; words not known yet are encoded together."""
-    try:
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-    except KeyError:
-        new = {w for w in words if w not in known}
-    made = dict(zip(new, encode(list(new)), strict=True))
-    short = {w: ids for w, ids in made.items() if len(w) <= KEPT_CHARS}
-    if len(known) + len(short) > CACHE_WORDS:
-        made.update((w, known[w]) for w in words if w in known)
-        known.clear()
-    known.update(short)
-    return np.frombuffer(b"".join([made[w] if w in made else known[w] for w in words]), "<u4")
+        return np.array(self.model.encode(text, num_threads=1), np.int64)
 
 
 def gallop(driver: np.ndarray, longer: np.ndarray) -> np.ndarray:
@@ -182,8 +178,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.sizes = [np.array([len(t) for t in x.bytes], np.int64) for x in (self.a, self.b)]
-        ids = range(max(len(self.a.bytes), len(self.b.bytes)))
+        ids = range(max(len(self.a.tokens), len(self.b.tokens)))
         self.written = [f"{i}{after}".encode() for i in ids for after in ",|;"]
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -192,12 +187,12 @@ class Aligner:
             return None
         raw = b" " + text.encode()
         made = []
-        for side, sizes in ((self.a, self.sizes[0]), (self.b, self.sizes[1])):
+        for side in (self.a, self.b):
             ids = side(text)
-            if b"".join(map(side.bytes.__getitem__, ids.tolist())) != raw:
+            ends = np.cumsum(side.sizes[ids])
+            if not side.spells(ids, ends, raw):
                 return None
-            ids = ids.astype(np.int64)
-            made += [ids, np.cumsum(sizes[ids])]
+            made += [ids, ends]
         return made[0], made[2], made[1], made[3]
 
     def digest(self, ids_a: np.ndarray, ids_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> str:

@@ -157,14 +157,29 @@ def test_alignments_hold_the_groups(make, texts):
             assert pairs == (len(ids_a) + len(ids_b) - len(groups))
 
 
-def test_full_caches_start_afresh(texts, monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE_WORDS", 40)
-    small = alignment.Aligner(PATH_A, PATH_B)
-    for _, text in texts[:3] + texts[-20:] + texts[-20:]:
-        for side in (small.a, small.b):
-            ids = side(text or "")
-            assert len(side.known) <= 200
-            assert text is None or b"".join(side.bytes[i] for i in ids) == b" " + text.encode() or "▁" in text or not text
+LATIN = st.text(st.sampled_from("aeinorstlhdcumpgbfwyvkxqjz AEST'.,0159-\n\t\r#$éüßñçÀ£½«º"), max_size=80)
+
+
+@given(LATIN)
+@settings(deadline=None, max_examples=400)
+def test_both_libraries_give_the_same_ids(text):
+    maker = alignment.aligner_of(PATH_A, PATH_B)
+    tokenizer, _, _ = libraries()
+    assert alignment.PLAIN.match(text) and maker.a.ranked
+    assert maker.a(text).tolist() == tokenizer.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_spelling_is_compared_in_parts(monkeypatch):
+    monkeypatch.setattr(alignment, "SPELLED", 7)
+    maker = alignment.aligner_of(PATH_A, PATH_B)
+    text = prose(77, 90)
+    ids = maker.a(text)
+    ends = np.cumsum(maker.a.sizes[ids])
+    raw = (" " + text).encode()
+    assert maker.a.spells(ids, ends, raw) and len(ids) > 50
+    for at in (0, 30, len(raw) - 1):
+        assert not maker.a.spells(ids, ends, raw[:at] + b"~" + raw[at + 1 :])
+    assert not maker.a.spells(ids[:-1], ends[:-1], raw) and not maker.a.spells(ids[:0], ends[:0], b" ")
 
 
 def test_no_documents(spark, make):
