@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 STR, BOOL, INT, LONG = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType()
 REAL, TIME = T.DoubleType(), T.TimestampType()
 VECTOR = T.ArrayType(T.FloatType())
+ARRAY = T.ArrayType(STR)
 
 
 def struct(**fields: T.DataType) -> T.StructType:
