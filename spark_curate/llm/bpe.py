@@ -123,6 +123,7 @@ class WordEncoder:
         # only tokens that merging really reaches may be proposed; -1 marks a mere beginning
         reached = {t: i for t, i in self.vocabulary.items() if self._reached(t, i)}
         self.final = {t.removesuffix(self.end): i for t, i in reached.items() if t.endswith(self.end)}
+        self.longest_final = max(map(len, self.final))
         inside = {t: i for t, i in reached.items() if not (self.end and t.endswith(self.end))}
         self.inner = {t[:k]: -1 for t in inside for k in range(1, len(t))} | inside
         self.tested: dict[int, bool] = {}
@@ -187,9 +188,13 @@ class WordEncoder:
         return [x for x in symbols if x]
 
     def propose(self, word: str) -> list[int]:
-        """Greedy longest match over a spelled word; its last token carries the word's end."""
+        """Greedy longest match over a spelled word; its last token carries the word's end.
+
+        The rest of the word is looked up only once it is no longer than the longest such
+        token, so the work is linear in the word.
+        """
         inner, final, made, at, length = self.inner.get, self.final.get, [], 0, len(word)
-        while (number := final(word[at:])) is None:
+        while length - at > self.longest_final or (number := final(word[at:])) is None:
             stop = at + 1
             while stop < length and (number := inner(word[at:stop])) is not None:
                 if number >= 0:

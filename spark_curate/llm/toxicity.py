@@ -15,10 +15,13 @@ from spark_curate.llm.common import map_texts, remainder
 from spark_curate.llm.simhash import fingerprint
 
 #: The classifier is fitted on at most so many labelled documents of each class, picked
-#: by a hash of their ids; longer texts are left out of the sample, not cut.
+#: by a hash, and on so many bytes of their whole texts: what no longer fits is passed over
+#: for the next of the draw.
 SAMPLE_TOXIC = 1500
 SAMPLE_ORDINARY = 3500
-SAMPLE_BYTES = 16_000
+SAMPLE_BYTES = 24_000_000
+#: Slim rows of the draw for each place in the sample, so that there is a next one.
+SPARE = 2
 #: Share of the sample that the dictionaries are made from; the rest calibrates.
 TRAIN_SHARE = 0.7
 #: Near copies within a sample (fingerprints this close) count once.
@@ -235,34 +238,38 @@ def fit(
 ) -> Model | float:
     """Fit on a bounded sample of the labelled documents for which ``sampled`` holds.
 
-    The sample is what a hash of the id picks, at most ``SAMPLE_TOXIC`` and
-    ``SAMPLE_ORDINARY`` rows, wherever they stand. Ids with several labels count as
-    toxic if one of them says so; null labels, ids and texts are left out.
+    The draw is over the labelled texts that exist, of any length: one slim row per id
+    and text, so an id on a third of all rows is one row, ordered by a hash. The first of
+    each class, at most ``SAMPLE_TOXIC`` and ``SAMPLE_ORDINARY`` and ``SAMPLE_BYTES`` of
+    text, are fetched whole, one text each. Ids with several labels count as toxic if
+    one of them says so; null labels, ids and texts are left out.
     """
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .where(sampled(F.col(id_col)))
         .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.max(label_col).alias("_toxic"))
-        .withColumn("_draw", F.xxhash64("_id").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
+        .agg((F.max(label_col) > 0).alias("_toxic"))
     )
-    sizes = dict(known.groupBy(F.col("_toxic") > 0).count().collect())
-    wanted = {True: SAMPLE_TOXIC, False: SAMPLE_ORDINARY}
-    share = {c: min(1.0, wanted[c] / max(1, sizes.get(c, 0))) for c in wanted}
-    picked = known.where(
-        F.col("_draw") <= F.when(F.col("_toxic") > 0, share[True]).otherwise(share[False])
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(
+        "_id is not null and _text is not null"
     )
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .where(F.octet_length("_text") <= SAMPLE_BYTES)
-        .join(F.broadcast(picked), "_id")
-        .select("_draw", "_toxic", "_text")
-        .collect()
-    )
-    rows.sort(key=lambda r: (r._draw, r._text))
-    toxic = [r._text for r in rows if r._toxic > 0][:SAMPLE_TOXIC]
-    ordinary = [r._text for r in rows if not r._toxic > 0][:SAMPLE_ORDINARY]
-    return fit_texts(toxic, ordinary)
+    marked = texts.withColumn("_mark", F.xxhash64("_text"))
+    slim = marked.groupBy("_id", "_mark").agg(F.max(F.octet_length("_text")).alias("_size"))
+    drawn = slim.join(known, "_id").withColumn("_draw", F.xxhash64("_id", "_mark", F.lit(1)))
+    spark = docs.sparkSession
+    chosen: dict[tuple, bool] = {}
+    for toxic, most in ((True, SAMPLE_TOXIC), (False, SAMPLE_ORDINARY)):
+        left, taken = SAMPLE_BYTES, 0
+        part = drawn.where(F.col("_toxic") if toxic else ~F.col("_toxic"))
+        for row in part.orderBy("_draw", "_id", "_mark").limit(SPARE * most).collect():
+            if taken < most and row["_size"] <= left:
+                chosen[row["_id"], row["_mark"]] = toxic
+                left, taken = left - row["_size"], taken + 1
+    picked = spark.createDataFrame([k for k in chosen], drawn.select("_id", "_mark").schema)
+    found = marked.join(F.broadcast(picked), ["_id", "_mark"]).groupBy("_id", "_mark").agg(F.min("_text").alias("_text"))
+    fetched = {(r["_id"], r["_mark"]): r["_text"] for r in found.collect()}
+    ordered = [(fetched[k], toxic) for k, toxic in chosen.items()]
+    return fit_texts([t for t, toxic in ordered if toxic], [t for t, toxic in ordered if not toxic])
 
 
 def score(

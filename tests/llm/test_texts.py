@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -342,6 +343,19 @@ def test_cached_ids_as_the_library(texts):
     assert ids.of(texts) == ids.whole(texts)
 
 
+def test_long_words_are_linear():
+    """A word of a million letters is proposed, tested and merged like any other."""
+    import time
+
+    coder = bpe.encoder_of(WORD_BPE)
+    word = "".join(random.Random(5).choices("etaoinshrdlu", k=20_000))
+    assert coder.encode([word])[0][0] == " ".join(map(str, coder.tokenizer.encode(word, add_special_tokens=False).ids))
+    spelled = "".join(random.Random(6).choices("etaoinshrdlu", k=1_000_000))
+    began = time.perf_counter()
+    proposed = coder.propose(spelled)
+    assert time.perf_counter() - began < 15 and "".join(coder.names[i] for i in proposed).removesuffix(coder.end) == spelled
+
+
 # toxicity
 
 BAD = ["idiot", "moron", "scum", "loweich"]
@@ -374,6 +388,50 @@ def test_toxicity_on_held_out_documents(spark, make, awkward):
     assert len(empty) == 1 and empty.pop() < 0.5
 
 
+def test_sample_of_one_hot_id_and_of_long_texts(spark, make, monkeypatch):
+    """An id on most rows is one text of the sample; long texts are drawn like others."""
+    docs, labels = labelled(200)
+    long_ones = [(k, t + " " + prose(9000 + k, 4000)) if k % 4 == 0 else (k, t) for k, t in docs]
+    hot = [(2, docs[2][1])] * 600
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    asked = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda toxic, ordinary: asked.append((toxic, ordinary)) or 0.0)
+    toxicity.fit(make(long_ones + hot), marks)
+    toxic, ordinary = asked[-1]
+    seen = lambda k: zlib.crc32(str(k).encode()) % 5 != 0
+    assert Counter(toxic) == Counter(t for k, t in long_ones if k % 4 == 0 and seen(k))
+    assert Counter(ordinary) == Counter(t for k, t in long_ones if k % 4 and seen(k))
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 10)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 200_000)
+    toxicity.fit(make(long_ones + hot), marks)
+    toxic, ordinary = asked[-1]
+    assert 5 <= len(toxic) <= 10 and sum(len(t.encode()) for t in toxic) <= 200_000
+    assert sum(len(t.encode()) for t in ordinary) <= 200_000 and len(ordinary) > 50
+
+
+def test_window_lengths_and_scores_by_plain_rules(spark, make):
+    """One model's windows compressed one by one, and its scores from their lengths."""
+    docs, labels = labelled(300)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    frame = make(docs)
+    model = toxicity.fit(frame, marks)
+    sides = [toxicity.compressor(c) for c in (model.toxic, model.ordinary)]
+    want = {}
+    for doc, text in docs[:60]:
+        raw = b" " + b" ".join(text.lower().encode().split()) + b" "
+        starts = range(0, max(1, len(raw) - toxicity.GRAM - 2), toxicity.STEP)
+        spans = [toxicity.LEAD + raw[k : k + toxicity.WINDOW] for k in starts]
+        saved = np.array([sides[1](w) - sides[0](w) for w in spans])
+        found = np.asarray(toxicity.differences(text, *(toxicity.compressor(c) for c in (model.toxic, model.ordinary))))
+        assert found.tolist() == saved.tolist()
+        row = (np.array(toxicity.features(saved, np.array(model.ratios))) - model.centre) / np.array(model.spread)
+        value = model.weights[0] + sum(w * v for w, v in zip(model.weights[1:], row, strict=True))
+        want[doc] = (1 / (1 + np.exp(-np.clip(value, -30, 30))), len(spans), int((saved > toxicity.MARGIN).sum()))
+    got = {r["doc_id"]: (r["score"], r["n_windows"], r["n_toxic_windows"]) for r in rows(toxicity.score(make(docs[:60]), model))}
+    assert {k: v[1:] for k, v in got.items()} == {k: v[1:] for k, v in want.items()}
+    assert all(got[k][0] == pytest.approx(want[k][0], abs=1e-12) for k in want)
+
+
 def test_toxicity_without_both_classes(spark, make):
     docs, labels = labelled(40)
     frame = make(docs)
