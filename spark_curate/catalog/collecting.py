@@ -665,11 +665,11 @@ def admitted_responses(spark, sf_dir):
     I.sql(
         r"""SELECT DISTINCT query, trim(regexp_replace(regexp_replace(trim(lower(query)), '[^\w\s-]', '', 'g'), '[\s_]+', '_', 'g'), '_') AS slug,
         replace(query, ' ', ',') AS tags, replace(url_encode(query), '%20', '+') AS encoded
-        FROM (SELECT p_name || ' ' || p_brand || '  ' || p_type AS query FROM part)""",
+        FROM (SELECT p_name || ' ~' || p_brand || '*  ' || p_type AS query FROM part)""",
     ),
 )
 def query_texts(spark, sf_dir):
-    query = F.concat("p_name", F.lit(" "), "p_brand", F.lit("  "), "p_type")
+    query = F.concat("p_name", F.lit(" ~"), "p_brand", F.lit("*  "), "p_type")
     return I.table(spark, sf_dir, "part").select(query.alias("query")).distinct().select(
         "query",
         N.slugify(F.col("query")).alias("slug"),

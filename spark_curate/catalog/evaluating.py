@@ -86,6 +86,29 @@ def score_shares(spark, sf_dir):
     return rounded(labeling.score_shares(I.records(spark, sf_dir)), "share")
 
 
+@register(
+    "score_list",
+    I.sql(
+        """SELECT image, category, string_agg(label, '>' ORDER BY s DESC, label) AS labels, round(max(s), 4) AS best,
+        round(min(s) / max(s), 6) AS least_share
+        FROM (SELECT image, category, label, round(score, 4) + 0.0 AS s FROM label_scores) GROUP BY image, category HAVING max(s) > 0""",
+        "label_scores",
+    ),
+)
+def score_list(spark, sf_dir):
+    """The score bars of every item: labels from the best to the worst."""
+    listed = labeling.score_list(I.records(spark, sf_dir))
+    entries = F.col("entries")
+    last = F.element_at(entries, -1)
+    return listed.where(entries[0]["score"] > 0).select(
+        "image",
+        "category",
+        F.array_join(F.transform(entries, lambda e: e["label"]), ">").alias("labels"),
+        F.round(entries[0]["score"], 4).alias("best"),
+        F.round(last["share"], 6).alias("least_share"),
+    )
+
+
 @register(
     "label_resume",
     I.sql(

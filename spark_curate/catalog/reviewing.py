@@ -375,9 +375,9 @@ def run_counts(spark, sf_dir):
 @register(
     "cluster_stats",
     I.sql(
-        """SELECT 'counted' AS run, count(*) AS count, count(DISTINCT cluster_id) AS clusters, count(*) AS review_queue_count,
+        """SELECT 'counted' AS run, NULL AS run_id, '' AS review_only, NULL::DOUBLE AS concentration_factor, count(*) AS count, count(DISTINCT cluster_id) AS clusters, count(*) AS review_queue_count,
         count(*) FILTER (slots > 0) AS suggestion_count, sum(slots)::BIGINT AS suggested_slots FROM queue
-        UNION ALL SELECT 'summarised', 2 * count(*), count(DISTINCT cluster_id), 7, count(*) FILTER (slots > 0), 9 FROM queue""",
+        UNION ALL SELECT 'summarised', 'r7', 'grain,hue', 1.5, 2 * count(*), count(DISTINCT cluster_id), 7, count(*) FILTER (slots > 0), 9 FROM queue""",
         *NEEDED,
         extra=QUEUE,
     ),
@@ -394,10 +394,16 @@ def cluster_stats(spark, sf_dir):
         F.lit(7).cast("bigint").alias("review_queue_items"),
         F.lit(None).cast("bigint").alias("suggestion_items"),
         F.lit(9).cast("bigint").alias("suggested_category_slots"),
+        F.lit("r7").alias("run_id"),
+        F.array(F.lit("grain"), F.lit("hue")).alias("review_only_categories"),
+        F.lit(1.5).alias("concentration_factor"),
     )
     runs = {"counted": none, "summarised": partly}
     rows = [
-        monitor.cluster_stats(given, items, profiled, found).select(F.lit(run).alias("run"), "*")
+        monitor.cluster_stats(given, items, profiled, found)
+        .withColumn("review_only", F.array_join("review_only_categories", ","))
+        .select(F.lit(run).alias("run"), "*")
+        .drop("generated_at", "review_only_categories")
         for run, given in runs.items()
     ]
     return rows[0].unionByName(rows[1])

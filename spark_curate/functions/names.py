@@ -101,7 +101,8 @@ def tag_list(query: Column) -> Column:
 
 
 def encoded_query(query: Column) -> Column:
-    return F.url_encode(query)
+    """A query as url text: blanks as plus signs, ``~`` as it is, ``*`` escaped."""
+    return F.replace(F.replace(F.url_encode(query), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
 
 
 def url_host(url: Column) -> Column:

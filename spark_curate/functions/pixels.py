@@ -29,6 +29,15 @@ def resize(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
     return np.clip(np.rint(across), 0, 255).astype(np.uint8)
 
 
+def three_channels(pixels: np.ndarray) -> np.ndarray:
+    """Blue, green and red of any decoded image: grey is repeated, alpha is dropped."""
+    if pixels.shape[2] == 1:
+        return np.repeat(pixels, 3, axis=2)
+    if pixels.shape[2] == 2:  # grey with alpha
+        return np.repeat(pixels[:, :, :1], 3, axis=2)
+    return np.ascontiguousarray(pixels[:, :, :3])
+
+
 def grey(pixels: np.ndarray) -> np.ndarray:
     if pixels.shape[2] == 1:
         return pixels[:, :, 0].astype(np.float64)

@@ -156,6 +156,15 @@ def search_until(pages: DataFrame, target: int) -> DataFrame:
     return taken.withColumn("_r", rank).where(F.col("_r") <= target).drop("_r")
 
 
+def searched_links(feeds: DataFrame, search_pages: DataFrame, target: int) -> DataFrame:
+    """Urls of a search whose page 0 is a feed: query, page, ord, url."""
+    first = feed_links(feeds).groupBy("query").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", "url"))), lambda e: e["url"]).alias("urls")
+    )
+    later = search_pages.select("query", "page", F.array_distinct(static_host_links(F.col("body"))).alias("urls"))
+    return search_until(first.select("query", F.lit(0).alias("page"), "urls").unionByName(later), target)
+
+
 def file_extension(content_type: Column) -> Column:
     return (
         F.when(F.contains(content_type, F.lit("png")), ".png")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,44 @@ def perceptual_hashes(images: DataFrame, key: str = "image") -> DataFrame:
     return flat.mapInPandas(hashed, f"`{key}` string, phash bigint")
 
 
+#: Mode of a three-channel byte image in Spark's image struct (a fixed value).
+BGR_MODE = 16
+
+
+def to_rgb(images: DataFrame) -> DataFrame:
+    """Decoded images with three colour channels, whatever the file held.
+
+    Grey images, palettes and images with alpha are turned; the pixels of those that have
+    three channels already do not leave the JVM.
+    """
+
+    @F.arrow_udf("binary")
+    def colours(data: pa.Array, height: pa.Array, width: pa.Array, channels: pa.Array) -> pa.Array:
+        shapes = zip(height.to_pylist(), width.to_pylist(), channels.to_pylist())
+        return pa.array(
+            [
+                None if raw is None else P.three_channels(P.from_bytes(raw, h, w, c)).tobytes()
+                for raw, (h, w, c) in zip(data.to_pylist(), shapes)
+            ],
+            pa.binary(),
+        )
+
+    other = F.col("pixels.nChannels") != 3
+    turned = colours(F.when(other, F.col("pixels.data")), "pixels.height", "pixels.width", "pixels.nChannels")
+    image = F.struct(
+        F.col("pixels.origin").alias("origin"),
+        F.col("pixels.height").alias("height"),
+        F.col("pixels.width").alias("width"),
+        F.lit(3).alias("nChannels"),
+        F.lit(BGR_MODE).alias("mode"),
+        F.coalesce("_turned", F.col("pixels.data")).alias("data"),
+    )
+    rest = [c for c in images.columns if c != "pixels"]
+    return images.withColumn("_turned", turned).select(
+        *rest, F.when(F.col("pixels").isNotNull(), image).alias("pixels")
+    ).select(*images.columns)
+
+
 def resized_images(
     images: DataFrame,
     least: int = resolution.MIN_SHORTEST,

@@ -224,6 +224,30 @@ def score_shares(records: DataFrame) -> DataFrame:
     )
 
 
+def score_list(records: DataFrame) -> DataFrame:
+    """All scores of each item and category, best first: image, category, entries.
+
+    ``entries`` holds label, score and the share of the best score; equal scores come in
+    the order of their labels. Sorted inside the row.
+    """
+    ranked = lambda m: F.array_sort(
+        F.transform(F.map_entries(m), lambda e: F.struct((-e["value"]).alias("key"), e["key"].alias("label")))
+    )
+    best = lambda entries: F.greatest(-F.try_element_at(entries, F.lit(1))["key"], F.lit(0.0))
+    listed = C.unnest(records, ["image"], F.col("scores"), "category", "_s").select(
+        "image", "category", ranked(F.col("_s.all_scores")).alias("_e")
+    )
+    entries = F.transform(
+        "_e",
+        lambda e: F.struct(
+            e["label"].alias("label"),
+            (-e["key"]).alias("score"),
+            F.coalesce(F.try_divide(-e["key"], best(F.col("_e"))), F.lit(0.0)).alias("share"),
+        ),
+    )
+    return listed.select("image", "category", entries.alias("entries"))
+
+
 def predicted_long(records: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """(image, category, label) rows; missing categories read ``unknown``."""
     if categories is None:

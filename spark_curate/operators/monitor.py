@@ -114,8 +114,15 @@ def cluster_stats(summary: DataFrame, review: DataFrame, clusters: DataFrame, su
     """Counters of a run from its summary, else counted from its tables.
 
     ``summary`` holds at most one row of accepted_images, clusters,
-    review_queue_items, suggestion_items and suggested_category_slots.
+    review_queue_items, suggestion_items and suggested_category_slots, and maybe run_id,
+    generated_at, review_only_categories and concentration_factor.
     """
+    told = {
+        "run_id": F.lit(None).cast("string"),
+        "generated_at": F.lit(None).cast("timestamp"),
+        "review_only_categories": F.array().cast("array<string>"),
+        "concentration_factor": F.lit(None).cast("double"),
+    }
     counted = reduce(
         lambda a, b: a.join(b, "_one"),
         [
@@ -133,9 +140,14 @@ def cluster_stats(summary: DataFrame, review: DataFrame, clusters: DataFrame, su
         "review_queue_items",
         "suggestion_items",
         "suggested_category_slots",
+        *[(F.col(c) if c in summary.columns else none).alias(c) for c, none in told.items()],
     )
     both = counted.join(known, "_one", "left")
     return both.select(
+        "run_id",
+        "generated_at",
+        F.coalesce("review_only_categories", told["review_only_categories"]).alias("review_only_categories"),
+        "concentration_factor",
         F.coalesce("accepted_images", "_review").alias("count"),
         F.coalesce("_known_clusters", "_clusters").alias("clusters"),
         F.coalesce("review_queue_items", "_review").alias("review_queue_count"),

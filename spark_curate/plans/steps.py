@@ -39,10 +39,17 @@ def harvest_step(
     pages: DataFrame,
     limit: int,
     rules: harvest.LinkRules = harvest.LinkRules(),
+    feeds: DataFrame | None = None,
+    search_pages: DataFrame | None = None,
+    responses: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Work left to fetch and the candidate urls for it.
 
-    ``pages`` holds fetched result pages: page_id, query, url, html.
+    ``pages`` holds fetched result pages: page_id, query, url, html. ``feeds`` (query,
+    body) are public feeds, page 0 of a search, and ``search_pages`` (query, page, body)
+    the pages after it; their static-host photos are gathered until 1.4 times the limit.
+    ``responses`` (query, ord, url, content_type, content) are what was fetched; the
+    first usable ones up to the limit are admitted under the name of their source.
     """
     existing = harvest.existing_counts(stored_paths)
     work = harvest.pending_work(queries, sources, existing, limit)
@@ -51,11 +58,20 @@ def harvest_step(
         "query", F.struct("page_id", "ord").alias("ord"), "url"
     )
     wanted = harvest.first_seen(by_query).join(work.select("query").distinct(), "query", "left_semi")
-    return {
+    outcome = {
         "work": work,
         "links": harvest.quota(wanted, int(limit * harvest.OVERFETCH_PAGES)),
         "totals": harvest.download_totals(existing, "n"),
     }
+    if feeds is not None and search_pages is not None:
+        outcome["search_links"] = harvest.searched_links(
+            feeds.join(work.select("query").distinct(), "query", "left_semi"),
+            search_pages.join(work.select("query").distinct(), "query", "left_semi"),
+            int(limit * harvest.OVERFETCH_SEARCH),
+        )
+    if responses is not None:
+        outcome["admitted"] = harvest.admitted_responses(responses, sources[0], limit)
+    return outcome
 
 
 def resize_step(
@@ -68,7 +84,7 @@ def resize_step(
     return {
         "status": step,
         "counts": resolution.resolution_counts(step),
-        "pixels": images.resized_images(decoded, **sizes),
+        "pixels": images.resized_images(images.to_rgb(decoded), **sizes),
         "collisions": resolution.name_collisions(decoded),
     }
 

@@ -48,6 +48,7 @@ def test_slugs_and_hashes(spark):
     assert one(spark, N.slugify(q), q="_a-b_") == "a-b"
     assert one(spark, N.tag_list(q), q="a b") == "a,b"
     assert one(spark, N.encoded_query(q), q="a b&c") == "a+b%26c"
+    assert one(spark, N.encoded_query(q), q="~a*b é/_.-") == "~a%2Ab+%C3%A9%2F_.-"
     for text, want in (("ff", 255), ("ffffffffffffffff", -1), ("8000000000000000", -(2**63)), ("xyz", None), ("", None), ("1" * 17, None)):
         assert one(spark, N.hash_from_hex(q), q=text) == want
 
@@ -204,6 +205,28 @@ def test_paging_over_gaps_in_the_numbers(spark):
     assert got == [("q", 0, "u0"), ("q", 10, "u10"), ("q", 20, "u20"), ("r", 0, "same")]
 
 
+def test_harvest_of_both_kinds_of_search(spark):
+    """Result pages fill a threefold quota; feeds and paged searches stop at 1.4 times it."""
+    queries = spark.createDataFrame([("red",), ("blue",)], "query string")
+    paths = spark.createDataFrame([(f"flickr/blue/x_{i}.jpg",) for i in range(5)], "path string")
+    image = lambda i: f'"https://a.example/{i}.jpg"'
+    pages = spark.createDataFrame([(1, "red", "http://s", " ".join(map(image, range(40))))], "page_id long, query string, url string, html string")
+    feed = '{"items": [{"media": {"m": "https://live.example/f1_m.jpg"}}, {"media": {"m": "https://live.example/f2_m.jpg"}}]}'
+    feeds = spark.createDataFrame([("red", feed), ("blue", feed)], "query string, body string")
+    photo = lambda n: f"live.staticflickr.com/{n}_z.jpg"
+    found = [("red", 1, f"{photo('a')} {photo('b')} {photo('a')}"), ("red", 2, f"{photo('c')} {photo('d')}"), ("red", 3, photo("e")), ("red", 4, photo("g")), ("blue", 1, photo("a"))]
+    search = spark.createDataFrame(found, "query string, page int, body string")
+    responses = spark.createDataFrame(
+        [("red", 0, "u0", "image/png", b"x" * 2000), ("red", 1, "u1", "text/html", b"x" * 2000), ("red", 2, "u2", "image/jpeg", b"x")],
+        "query string, ord int, url string, content_type string, content binary",
+    )
+    out = steps.harvest_step(queries, ["flickr"], paths, pages, 5, feeds=feeds, search_pages=search, responses=responses)
+    assert out["links"].where("query = 'red'").count() == 15
+    got = sorted((r["page"], r["ord"], r["url"]) for r in out["search_links"].collect())
+    assert [u.split("/")[-1] for _, _, u in got] == ["f1_b.jpg", "f2_b.jpg", "a_b.jpg", "b_b.jpg", "c_b.jpg", "d_b.jpg", "e_b.jpg"]
+    assert [r["url"] for r in out["admitted"].collect()] == ["u0"] and {r["query"] for r in out["search_links"].collect()} == {"red"}
+
+
 def test_harvest_totals_count_files(spark):
     paths = spark.createDataFrame([(f"google/red/google_{i}.jpg",) for i in range(5)], "path string")
     queries = spark.createDataFrame([("red",)], "query string")

@@ -95,6 +95,22 @@ def test_decode_hash_and_resize(spark, folder):
     assert not any("c.png" in pair for pair in kinds)
 
 
+def test_every_image_gets_three_channels(spark):
+    kind = "origin string, height int, width int, nChannels int, mode int, data binary"
+    rng = np.random.default_rng(1)
+    shapes = [(2, 3, 1), (2, 2, 3), (1, 4, 4), (1, 2, 2)]
+    pixels = [rng.integers(0, 256, s).astype(np.uint8) for s in shapes]
+    rows = [(f"p{i}", (f"file:{i}", p.shape[0], p.shape[1], p.shape[2], 0, p.tobytes())) for i, p in enumerate(pixels)]
+    df = spark.createDataFrame([*rows, ("bad", None)], f"path string, pixels struct<{', '.join(f.replace(' ', ':') for f in kind.split(', '))}>")
+    got = {r["path"]: r["pixels"] for r in images.to_rgb(df).collect()}
+    assert got.pop("bad") is None and images.to_rgb(df).columns == df.columns
+    for i, p in enumerate(pixels):
+        found = got[f"p{i}"]
+        want = np.repeat(p[:, :, :1], 3, axis=2) if p.shape[2] < 3 else p[:, :, :3]
+        assert (found["nChannels"], found["mode"]) == (3, images.BGR_MODE)
+        assert (P.from_bytes(found["data"], p.shape[0], p.shape[1], 3) == want).all()
+
+
 def test_lanczos_keeps_flat_images():
     flat = np.full((50, 70, 3), 93, dtype=np.uint8)
     assert (P.resize(flat, 20, 31) == 93).all()
