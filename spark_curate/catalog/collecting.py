@@ -292,18 +292,20 @@ COUNTS = {
 
 
 def steps(spark, sf_dir):
-    kept = I.decisions(spark, sf_dir).where("kept")
-    texts = I.table(spark, sf_dir, "documents").select(F.md5("text").alias("h")).distinct()
-    return monitor.step_counts(
-        {
-            "download": raw_files(spark, sf_dir),
-            "resize": resolution.resolution_step(raw_files(spark, sf_dir)).where(
-                F.col("new_width").isNotNull()
-            ),
-            "dedup": texts,
-            "filter": kept,
-            "label": kept,
-        }
+    """Counts of all steps, each source read once; written, since a few rows are read often."""
+    decided = I.decisions(spark, sf_dir)
+    raw = resolution.resolution_step(raw_files(spark, sf_dir))
+    texts = I.table(spark, sf_dir, "documents").select(F.md5("text").alias("h"))
+    return materialize(
+        monitor.step_counts(
+            {
+                "download": raw,
+                "resize": (raw, F.count("new_width")),
+                "dedup": (texts, F.count_distinct("h")),
+                "filter": (decided, F.count_if("kept")),
+                "label": (decided, F.count_if("kept")),
+            }
+        )
     )
 
 
@@ -336,18 +338,8 @@ def funnel(spark, sf_dir):
     ),
 )
 def anomalies(spark, sf_dir):
-    outcome = I.decisions(spark, sf_dir).agg(
-        F.lit("filter").alias("step"),
-        F.count_if("kept").alias("kept"),
-        F.count_if(~F.col("kept")).alias("removed"),
-    )
-    copies = I.table(spark, sf_dir, "documents").groupBy(F.md5("text")).agg(F.count("*").alias("n"))
-    removal = copies.agg(
-        F.lit("dedup").alias("step"),
-        F.count("*").alias("kept"),
-        (F.sum("n") - F.count("*")).alias("removed"),
-    )
-    alarms = monitor.anomalies(monitor.funnel(steps(spark, sf_dir)), outcome.unionByName(removal))
+    counts = steps(spark, sf_dir)
+    alarms = monitor.anomalies(monitor.funnel(counts), monitor.step_rates(counts))
     return alarms.withColumn("rate", F.round("rate", 6))
 
 

@@ -21,17 +21,36 @@ MAX_REMOVAL = 45.0
 TOP_REVIEW, TOP_CLUSTERS, TOP_SUGGESTIONS = 150, 20, 120
 
 
-def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
-    """step, step_ord, n: one aggregate row per given step."""
-    parts = [
-        df.agg(F.count("*").alias("n")).select(
-            F.lit(step).alias("step"), F.lit(i).alias("step_ord"), "n"
-        )
-        for i, (step, df) in enumerate(steps.items())
-    ]
+def step_counts(steps: Mapping[str, DataFrame | tuple[DataFrame, Column]]) -> DataFrame:
+    """step, step_ord, n and of (all rows of the step's table): one row per given step.
+
+    A step is a table, whose rows are counted, or a table and an aggregate over it.
+    Steps given by the same table are counted in one scan of it.
+    """
+    tables: dict[int, tuple[DataFrame, list]] = {}
+    for i, (step, given) in enumerate(steps.items()):
+        df, counted = given if isinstance(given, tuple) else (given, F.count(F.lit(1)))
+        tables.setdefault(id(df), (df, []))[1].append((i, step, counted))
+    parts = []
+    for df, asked in tables.values():
+        row = df.agg(F.count(F.lit(1)).alias("_of"), *[c.cast("bigint").alias(f"_n{i}") for i, _, c in asked])
+        each = [
+            F.struct(
+                F.lit(step).alias("step"), F.lit(i).alias("step_ord"), F.col(f"_n{i}").alias("n"), F.col("_of").alias("of")
+            )
+            for i, step, _ in asked
+        ]
+        parts.append(row.select(F.inline(F.array(*each))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def step_rates(counts: DataFrame, steps: Sequence[str] = ("filter", "dedup")) -> DataFrame:
+    """step, kept, removed of :func:`step_counts`, as :func:`anomalies` takes them."""
+    return counts.where(F.col("step").isin(*steps)).select(
+        "step", F.col("n").alias("kept"), (F.col("of") - F.col("n")).alias("removed")
+    )
+
+
 def first_input(counts: DataFrame, candidates: Sequence[str]) -> DataFrame:
     """First non-empty candidate step and its count; no row if all are empty."""
     order = F.array_position(F.array(*[F.lit(c) for c in candidates]), F.col("step"))
