@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -245,26 +246,45 @@ def near_duplicates(
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _numbered(docs: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """``docs`` with two columns that name each row, the same at every reading.
+
+    A row of a Parquet table is named by its file and its place in it, however the files
+    are split among tasks. Rows of any other source are numbered and written once.
+    """
+    try:
+        return docs.select(
+            "*", F.col("_metadata.file_path").alias(names[0]), F.col("_metadata.row_index").alias(names[1])
+        )
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        return materialize(docs.select("*", F.lit("").alias(names[0]), number.alias(names[1])))
+
+
 def keep_one(
     docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, all columns, without all but one of each component.
 
-    The row of the smallest id stays; of repeated ids the one read first, and a null id
-    only if the component has no other. Rows are told apart by a number, and the numbered
-    table is written once before anything is read from it: numbers given anew on a later
-    reading would follow how the files are split then, which changes with the executors.
+    The row of the smallest id stays; of repeated ids the one that stands first, and a null
+    id only if the component has no other. ``docs`` is read twice, with jobs between, so
+    rows are told apart by where they stand in their files (or by a number that is written
+    once), never by a number given anew: that would follow how the files are split, which
+    changes with the executors.
     """
-    mark = "_row"
-    while mark in docs.columns:
-        mark += "_"
-    numbered = materialize(docs.withColumn(mark, F.monotonically_increasing_id()))
+    names = ("_file", "_place")
+    while set(names) & set(docs.columns):
+        names = (names[0] + "_", names[1] + "_")
+    numbered = _numbered(docs, names)
     slim = numbered.select(
-        F.col(mark).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("body")
+        *(F.col(n).alias(a) for n, a in zip(names, ("file", "place"), strict=True)),
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("body"),
     )
-    marked = materialize(fingerprints(slim, width, "body", ("row", "id")))
+    marked = materialize(fingerprints(slim, width, "body", ("file", "place", "id")))
     found = marked.join(class_components(marked, radius, "id").select("fp", "root"), "fp")
-    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
-    stay = materialize(found.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(mark)))
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("file"), F.col("place")))
+    chosen = found.groupBy("root").agg(first.alias("first"))
+    stay = materialize(chosen.select(F.col("first.file").alias(names[0]), F.col("first.place").alias(names[1])))
     # never a broadcast: what stays grows with the documents, and the plan is to be one at every size
-    return numbered.join(stay.hint("merge"), mark, "left_semi").drop(mark)
+    return numbered.join(stay.hint("merge"), list(names), "left_semi").drop(*names)
