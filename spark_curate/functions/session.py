@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # grouping a union of joins must not rely on partitionings that change at run time
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_curate.functions import names as N
+from spark_curate.functions.session import materialize
 
 # Patterns of image links in a result page, in order of use.
 IMAGE_PATTERNS = (
@@ -117,7 +118,7 @@ def quota(links: DataFrame, per_query: int, ord_: str = "ord") -> DataFrame:
     return links.withColumn("_r", rank).where(F.col("_r") <= per_query).drop("_r")
 
 
-def search_until(pages: DataFrame, target: int) -> DataFrame:
+def search_until(pages: DataFrame, target: int, parts: int | None = None) -> DataFrame:
     """Urls gathered by paging through search results: query, page, ord, url.
 
     ``pages`` holds query, page (feed results are page 0) and urls in order. Paging
@@ -125,35 +126,85 @@ def search_until(pages: DataFrame, target: int) -> DataFrame:
     ``target`` urls are there; the result is cut at ``target``.
 
     Page numbers may have gaps: successive pages are those that follow each other in
-    the table. Only one row per page enters the windows of a query.
+    the table. The pages, a slim row each, are range-partitioned by query and page into
+    ``parts`` (by default as the session says); each part works out its own stretch of a
+    query, and what a stretch must know of the stretches before it is a few numbers per
+    part. So a query of any number of pages is spread like the rest.
     """
     each = pages.select("query", "page", F.posexplode("urls").alias("ord", "url"))
     first = each.groupBy("query", "url").agg(F.min(F.struct("page", "ord")).alias("_f"))
     new = first.select("query", "_f.page", "_f.ord", "url")
-    fresh = (
-        pages.select("query", "page", F.lit(0).alias("_n"))
-        .unionByName(new.select("query", "page", F.lit(1).alias("_n")))
-        .groupBy("query", "page")
-        .agg(F.sum("_n").alias("new"))
-    )
-    by_page = Window.partitionBy("query").orderBy("page")
-    earlier = by_page.rowsBetween(Window.unboundedPreceding, -1)
-    counted = fresh.select(
+    order = ["query", "page"]
+    # a join, since a union whose sides look alike may be grouped without an exchange
+    found = new.groupBy(*order).agg(F.count("*").alias("_n"))
+    fresh = pages.select(*order).distinct().join(found, order, "left").select(*order, F.coalesce("_n", F.lit(0)).alias("new"))
+    ranged = fresh.repartitionByRange(parts, *order) if parts else fresh.repartitionByRange(*order)
+    placed = materialize(ranged.withColumn("_part", F.spark_partition_id()))
+    stretch = Window.partitionBy("_part", "query").orderBy("page")
+    earlier = stretch.rowsBetween(Window.unboundedPreceding, -1)
+    last_page, last_new = F.lag("page").over(stretch), F.lag("new").over(stretch)
+    counted = placed.select(
+        "_part",
         "query",
         "page",
+        "new",
+        last_page.isNull().alias("_first"),
         F.coalesce(F.sum("new").over(earlier), F.lit(0)).alias("_before"),
-        (
-            (F.lag("page").over(by_page) >= 1)
-            & (F.col("new") == 0)
-            & (F.lag("new").over(by_page) == 0)
-        ).alias("_ends"),
+        F.coalesce((last_page >= 1) & (F.col("new") == 0) & (last_new == 0), F.lit(False)).alias("_ends"),
     ).withColumn("_ended", F.coalesce(F.max("_ends").over(earlier), F.lit(False)))
-    read = counted.where(
-        (F.col("page") == 0) | ((F.col("_before") < target) & ~F.col("_ended"))
-    ).select("query", "page")
-    taken = new.join(read, ["query", "page"], "left_semi")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy("page", "ord"))
-    return taken.withColumn("_r", rank).where(F.col("_r") <= target).drop("_r")
+    carried = F.broadcast(_carried(placed, counted))  # a row per part at most
+    boundary = F.coalesce((F.col("_page0") >= 1) & (F.col("_new0") == 0) & (F.col("_start") == 0), F.lit(False))
+    known = counted.join(carried, ["_part", "query"], "left").select(
+        "query",
+        "page",
+        (F.col("_before") + F.coalesce("_before0", F.lit(0))).alias("_before"),
+        (
+            F.col("_ended")
+            | F.coalesce("_ended0", F.lit(False))
+            | (~F.col("_first") & boundary)
+        ).alias("_ended"),
+    )
+    read = known.where((F.col("page") == 0) | ((F.col("_before") < target) & ~F.col("_ended")))
+    taken = new.join(read.select("query", "page", "_before"), order)
+    in_page = F.row_number().over(Window.partitionBy(*order).orderBy("ord"))  # one page's urls
+    return taken.withColumn("_r", F.col("_before") + in_page).where(F.col("_r") <= target).drop("_r", "_before")
+
+
+def _carried(placed: DataFrame, counted: DataFrame) -> DataFrame:
+    """What the first query of each part brings along from the parts before it.
+
+    Only a part's first and last query can go on beyond it, so two summaries a part
+    reach the driver: sum of new urls, whether paging ended inside, first and last page.
+    """
+    edge = F.broadcast(placed.groupBy("_part").agg(F.min("query").alias("_q0"), F.max("query").alias("_q1")))
+    summaries = (
+        counted.join(edge, "_part")
+        .where((F.col("query") == F.col("_q0")) | (F.col("query") == F.col("_q1")))
+        .groupBy("_part", "query", "_q0")
+        .agg(
+            F.sum("new").alias("sum"),
+            F.max("_ends").alias("ends"),
+            F.min_by("new", "page").alias("start"),
+            F.max("page").alias("page"),
+            F.max_by("new", "page").alias("new"),
+        )
+        .collect()
+    )
+    carried, state = [], None  # state of the query that the last part ended with
+    for row in sorted(summaries, key=lambda r: (r["_part"], r["query"])):
+        going_on = state is not None and state["query"] == row["query"]
+        before, ended, ends = 0, False, bool(row["ends"])
+        if going_on:
+            before, ended = state["sum"], state["ended"]
+            carried.append((row["_part"], row["query"], before, ended, state["page"], state["new"], row["start"]))
+            ends = ends or (state["page"] >= 1 and state["new"] == 0 and row["start"] == 0)
+        state = {"query": row["query"], "sum": before + row["sum"], "ended": ended or ends, "page": row["page"], "new": row["new"]}
+    kind = placed.schema
+    fields = (
+        f"_part int, query {kind['query'].dataType.simpleString()}, _before0 bigint, _ended0 boolean, "
+        "_page0 bigint, _new0 bigint, _start bigint"
+    )
+    return placed.sparkSession.createDataFrame(carried, fields)
 
 
 def searched_links(feeds: DataFrame, search_pages: DataFrame, target: int) -> DataFrame:

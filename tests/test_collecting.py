@@ -1,6 +1,8 @@
 """Names, harvest, resolution lookups, monitoring and browsing."""
 
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +207,39 @@ def test_paging_over_gaps_in_the_numbers(spark):
     assert got == [("q", 0, "u0"), ("q", 10, "u10"), ("q", 20, "u20"), ("r", 0, "same")]
 
 
+def searched_plainly(pages, target):
+    out = []
+    for query in {q for q, _, _ in pages}:
+        seen, before, ended, last = set(), 0, False, None
+        for page, urls in sorted((p, u) for q, p, u in pages if q == query):
+            new = [u for k, u in enumerate(urls) if u not in seen and u not in urls[:k]]
+            seen.update(urls)
+            if page == 0 or (before < target and not ended):
+                out += [(query, page, urls.index(u), u) for k, u in enumerate(new) if before + k < target]
+            ended = ended or (last is not None and last[0] >= 1 and not new and last[1] == 0)
+            before, last = before + len(new), (page, len(new))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_over_parts_is_the_plain_rule(spark, seed):
+    """One query of most pages over many parts, empty runs across their borders."""
+    rng = random.Random(seed)
+    pages = []
+    for query, n in (("hot", 60), ("a", 5), ("b", 3), ("zz", 12)):
+        numbers = sorted(rng.sample(range(0, 3 * n), n))
+        for page in numbers:
+            urls = [f"u{rng.randrange(40 if seed % 2 else 400)}" for _ in range(rng.choice((0, 0, 1, 3)))]
+            pages.append((query, page, urls))
+    df = spark.createDataFrame(pages, "query string, page int, urls array<string>")
+    for target in (7, 25, 1000):
+        for parts in (None, 9, 40):
+            found = harvest.search_until(df, target, parts)
+            assert sorted((r["query"], r["page"], r["ord"], r["url"]) for r in found.collect()) == searched_plainly(pages, target)
+    plan = harvest.search_until(df, 25)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(query#\d+, \d", plan), "no exchange by the query alone"
+
+
 def test_harvest_of_both_kinds_of_search(spark):
     """Result pages fill a threefold quota; feeds and paged searches stop at 1.4 times it."""
     queries = spark.createDataFrame([("red",), ("blue",)], "query string")
