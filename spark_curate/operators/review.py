@@ -184,12 +184,17 @@ def nearest_seeds(
     Seeds beyond a block are ordered by the nearest of ``PIVOTS`` of them, so that a
     block holds seeds that lie together, and taken block by block; the driver holds one
     block. Items that no seed of a block can matter to skip it (:class:`Reach`), and
-    only each block's best k of the others are shuffled.
+    only each block's best k of the others are shuffled. Without seeds there are no rows.
     """
     slim = seeds.select("image", "embedding")
     whole, _ = V.bounded_rows(slim, "embedding", max_bytes)
     if whole == []:
-        raise ValueError("no seeds")
+        return items.where(F.lit(False)).select(
+            "image",
+            F.lit(None).cast("string").alias("seed"),
+            F.lit(None).cast("double").alias("similarity"),
+            F.lit(None).cast("int").alias("rank"),
+        )
     if whole is not None:
         best = _block_neighbours(items, whole, k)
     else:
