@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -15,6 +16,8 @@ MAX_PROBES = 256
 MAX_SIDE_PROBES = 6_000
 #: A probe row is made, shuffled and sorted; a candidate only compared.
 PROBE_COST = 8
+#: Most masks of a cut, and what a row's copy under a mask costs in comparisons by numpy.
+MAX_MASKS, COPY_COST = 300, 500
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -102,6 +105,40 @@ def cheapest_plan(
     return min(band_plans(threshold), key=lambda p: plan_cost(p, few, many, rates))
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Masks of which two hashes within ``threshold`` agree under one at least.
+
+    Of ``threshold + r`` blocks of bits, so many differing bits leave ``r`` untouched; the
+    masks are all choices of ``r`` blocks.
+    """
+
+    threshold: int
+    masks: tuple[int, ...]
+
+    @property
+    def share(self) -> float:
+        """Share of the pairs of even hashes that meet, summed over the masks."""
+        return sum(2.0 ** -mask.bit_count() for mask in self.masks)
+
+
+def cuts(threshold: int) -> list[Cut]:
+    """The cuts worth weighing, from few wide groups of rows to many narrow ones."""
+    _checked(threshold)
+    found = []
+    for agreed in range(1, BITS - threshold + 1):
+        if math.comb(threshold + agreed, agreed) > MAX_MASKS:
+            break
+        blocks = [((1 << width) - 1) << shift for shift, width in _plan(threshold, threshold + agreed).bands]
+        found.append(Cut(threshold, tuple(sum(chosen) for chosen in combinations(blocks, agreed))))
+    return found
+
+
+def cheapest_cut(threshold: int, few: int, many: int) -> Cut:
+    """The cut of least cost for sides of so many rows: more masks as tables grow."""
+    return min(cuts(threshold), key=lambda c: COPY_COST * len(c.masks) * (few + many) + few * many * c.share)
+
+
 def _probe_count(width: int, radius: int) -> int:
     total, term = 0, 1
     for flips in range(radius + 1):

@@ -12,9 +12,11 @@ Norouzi, Punjani and Fleet, CVPR 2012.)
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ CROWDED = 16
 TAIL_EDGES = 200_000
 #: Rows by which the plans are weighed.
 RATE_ROWS = 100_000
+#: Most pairs that one group compares in a task, and the unit of a group compared with itself.
+UNIT_PAIRS, WITHIN = 250_000_000, -1
+#: Rows of both sides that are compared at once.
+TILE = (64, 2048)
 
 
 def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
@@ -90,7 +96,8 @@ def candidates(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool)
         left, right = left.drop("ob"), right.drop("oa")
     if spread:
         return salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
-    return left.join(right, keys)
+    # A table of probes is hundreds of times its rows, which the planner cannot see: never broadcast it.
+    return left.join(right.hint("merge"), keys)
 
 
 def near(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
@@ -109,8 +116,119 @@ def near(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> Dat
     return met.where(close & once).select("a", "b", distance.alias("distance"))
 
 
-def _self_pairs(ranked: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
-    return near(ranked, ranked, plan, spread).where(F.col("a") < F.col("b"))
+def _copies(rows: DataFrame, cut: H.Cut, second: bool) -> DataFrame:
+    """Each row under every mask: cut (its number), value (the hash under it), second, rank, phash."""
+    masks = json.dumps([{"cut": i, "mask": H._signed(mask)} for i, mask in enumerate(cut.masks)])
+    table = F.from_json(F.lit(masks), "array<struct<cut:int,mask:bigint>>")
+    return rows.select("rank", "phash", F.explode(table).alias("_k")).select(
+        F.col("_k.cut").alias("cut"),
+        F.col("phash").bitwiseAND(F.col("_k.mask")).alias("value"),
+        F.lit(second).alias("second"),
+        "rank",
+        "phash",
+    )
+
+
+def close_pairs(few: DataFrame, many: DataFrame | None, cut: H.Cut) -> DataFrame:
+    """Pairs (a, b, distance) within the threshold of the cut, each once.
+
+    Both sides have columns rank and phash. With ``many``, a is of ``few`` and b of
+    ``many``; without, both are of ``few`` and a < b. Rows that agree under a mask are
+    sorted together and compared in tiles, so a task holds one group at a time and no
+    candidate becomes a row. A group of more than ``UNIT_PAIRS`` pairs is dealt to several
+    units by its second side. A pair counts under the first mask it agrees under.
+    """
+    first = _copies(few, cut, False)
+    every = first if many is None else first.unionByName(_copies(many, cut, True))
+    n, m = F.count_if(~F.col("second")), F.count_if("second")
+    pairs = (n.cast("double") * n if many is None else n.cast("double") * m).alias("pairs")
+    big = materialize(
+        every.groupBy("cut", "value").agg(pairs).where(F.col("pairs") > UNIT_PAIRS)
+        .select("cut", "value", F.ceil(F.col("pairs") / UNIT_PAIRS).cast("int").alias("_units"))
+    )
+    alone = F.lit(0 if many is not None else WITHIN)
+    if big.isEmpty():
+        units = every.withColumn("unit", alone)
+    else:
+        marked = every.join(F.broadcast(big), ["cut", "value"], "left")
+        seconds = marked.where("second") if many is not None else (
+            marked.where(F.col("_units").isNotNull()).withColumn("second", F.lit(True))
+        )
+        own = F.pmod(F.xxhash64("rank"), F.col("_units")).cast("int")
+        every_unit = F.when(F.col("_units").isNull(), F.array(alone)).otherwise(F.sequence(F.lit(0), F.col("_units") - 1))
+        units = (
+            marked.where(~F.col("second")).withColumn("unit", F.explode(every_unit))
+            .unionByName(seconds.withColumn("unit", F.coalesce(own, F.lit(0))))
+            .drop("_units")
+        )
+    sorted_units = units.repartition("cut", "value", "unit").sortWithinPartitions("cut", "value", "unit", "second")
+    masks, threshold, one_side = np.array(cut.masks, dtype=np.uint64), cut.threshold, many is None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            for a, b, distance in _compared(group, masks, threshold, one_side):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(distance)], names=["a", "b", "distance"]
+                )
+
+    columns = sorted_units.select("cut", "value", "unit", "second", "rank", "phash")
+    return columns.mapInArrow(run, "a bigint, b bigint, distance int")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(cut, unit, second, rank, phash) of every run of rows of one cut, value and unit."""
+    key, held = None, []
+
+    def whole() -> tuple:
+        return (key[0], key[2], *(np.concatenate(part) for part in zip(*held)))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cut, value, unit, second, rank, phash = (
+            batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)
+        )
+        turns = (np.diff(cut) != 0) | (np.diff(value) != 0) | (np.diff(unit) != 0)
+        edges = [0, *(np.flatnonzero(turns) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            here = (int(cut[lo]), int(value[lo]), int(unit[lo]))
+            if key is not None and here != key:
+                yield whole()
+                held = []
+            key = here
+            held.append((second[lo:hi], rank[lo:hi], phash[lo:hi]))
+    if held:
+        yield whole()
+
+
+def _compared(
+    group: tuple, masks: np.ndarray, threshold: int, one_side: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (a, b, distance) of a group, tile by tile."""
+    cut, unit, second, rank, phash = group
+    hashes = phash.view(np.uint64)
+    within = unit == WITHIN
+    left, right = (slice(None), slice(None)) if within else (~second, second)
+    ra, ha, rb, hb = rank[left], hashes[left], rank[right], hashes[right]
+    for j in range(0, len(hb), TILE[1]):
+        across = hb[j : j + TILE[1]]
+        for i in range(0, min(len(ha), j + TILE[1]) if within else len(ha), TILE[0]):
+            apart = np.bitwise_count(ha[i : i + TILE[0], None] ^ across)
+            p, q = np.nonzero(apart <= threshold)
+            p, q, distance = p + i, q + j, apart[p, q]
+            keep = p < q if within else ra[p] < rb[q] if one_side else np.ones(len(p), bool)
+            p, q, distance = p[keep], q[keep], distance[keep]
+            differing = ha[p] ^ hb[q]
+            for mask in masks[:cut]:
+                if not len(p):
+                    break
+                keep = (differing & mask) != 0
+                p, q, distance, differing = p[keep], q[keep], distance[keep], differing[keep]
+            if len(p):
+                a, b = ra[p], rb[q]
+                if within:
+                    a, b = np.minimum(a, b), np.maximum(a, b)
+                yield a, b, distance.astype(np.int32)
 
 
 def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") -> DataFrame:
@@ -120,8 +238,7 @@ def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") ->
     """
     ranked = global_sequence(representatives(hashes, order), ["at", "image"], "rank")
     rows = ranked.count()
-    plan = H.cheapest_plan(threshold, rows, rows, collision_rates(ranked, threshold, rows))
-    pairs = _self_pairs(ranked, plan, spread=rows > SMALLEST_BATCH)
+    pairs = materialize(close_pairs(ranked, None, H.cheapest_cut(threshold, rows, rows)))
     return (
         pairs.join(ranked.select(F.col("rank").alias("a"), F.col("image").alias("image_a")), "a")
         .join(ranked.select(F.col("rank").alias("b"), F.col("image").alias("image_b")), "b")
@@ -148,11 +265,10 @@ def _affordable(batch: DataFrame, rows: int, plan: H.BandPlan, most: int) -> boo
 
 def _prefix(
     todo: DataFrame, rows: int, size: int, threshold: int, rates: dict, most: int
-) -> tuple[DataFrame, int | None, int, H.BandPlan]:
+) -> tuple[DataFrame, int | None, int]:
     """Earliest items whose candidate count is affordable.
 
-    Returns the batch, its boundary rank (None if it is everything), its size and the
-    plan for its pairs.
+    Returns the batch, its boundary rank (None if it is everything) and its size.
     """
     while True:
         if rows <= size:
@@ -164,7 +280,7 @@ def _prefix(
         size = min(rows, size)
         plan = H.cheapest_plan(threshold, size, size, rates)
         if size <= SMALLEST_BATCH or _affordable(batch, size, plan, most):
-            return batch, limit, size, plan
+            return batch, limit, size
         size = max(SMALLEST_BATCH, size // GROWTH)
 
 
@@ -226,8 +342,8 @@ def greedy(
         rows = todo.count()
         if rates is None:
             rates = collision_rates(todo, threshold, rows)
-        batch, limit, taken, plan = _prefix(todo, rows, size, threshold, rates, max_candidates)
-        pairs = materialize(_self_pairs(batch, plan, taken > SMALLEST_BATCH).select("a", "b"))
+        batch, limit, taken = _prefix(todo, rows, size, threshold, rates, max_candidates)
+        pairs = materialize(close_pairs(batch, None, H.cheapest_cut(threshold, taken, taken)).select("a", "b"))
         removed = materialize(_settle(pairs, tail_edges))
         sources = removed.select(F.col("b").alias("a"))
         inside = pairs.join(sources, "a", "left_anti").join(removed, "b", "left_semi")
@@ -236,8 +352,8 @@ def greedy(
             return reduce(DataFrame.unionByName, found)
         kept = materialize(batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti"))
         rest = todo.where(F.col("rank") > limit)
-        across = H.cheapest_plan(threshold, kept.count(), rows - taken, rates)
-        struck = materialize(near(kept, rest, across, spread=True).groupBy("b").agg(F.min("a").alias("keeper")))
+        across = H.cheapest_cut(threshold, kept.count(), rows - taken)
+        struck = materialize(close_pairs(kept, rest, across).groupBy("b").agg(F.min("a").alias("keeper")))
         found.append(struck)
         todo = materialize(rest.join(struck.select(F.col("b").alias("rank")), "rank", "left_anti"))
         size *= GROWTH

@@ -177,3 +177,36 @@ def test_siblings(spark):
     got = [tuple(r) for r in dedup.siblings_of(dups, "h_bing_1").select("image", "duplicate_of", "source").collect()]
     assert got == [("h_google_2", "k", "google")]
     assert {r["image"] for r in dedup.duplicates_of(dups, "k").collect()} == {"h_bing_1", "h_google_2"}
+
+
+@pytest.mark.parametrize("threshold", [0, 1, 4, 10, 20, 40])
+def test_every_cut_finds_the_same_pairs(spark, monkeypatch, threshold):
+    rows = list({v: (n, v) for n, v in crowd(threshold + 1, 120, 6, threshold + 2)}.values())
+    ranked = spark.createDataFrame(list(enumerate(v for _, v in rows)), "rank bigint, phash bigint").cache()
+    want = sorted(
+        (a, b, distance(x, y))
+        for a, (_, x) in enumerate(rows) for b, (_, y) in enumerate(rows) if distance(x, y) <= threshold
+    )
+    for unit, tile in ((dedup.UNIT_PAIRS, dedup.TILE), (7, (3, 5))):  # small units: groups are dealt out
+        monkeypatch.setattr(dedup, "UNIT_PAIRS", unit)
+        monkeypatch.setattr(dedup, "TILE", tile)
+        for cut in H.cuts(threshold)[:2]:
+            own = [tuple(r) for r in dedup.close_pairs(ranked, None, cut).collect()]
+            assert sorted(own) == [w for w in want if w[0] < w[1]], (unit, len(cut.masks))
+            few, many = ranked.where("rank % 3 = 0"), ranked.where("rank % 3 > 0")
+            both = [tuple(r) for r in dedup.close_pairs(few, many, cut).collect()]
+            assert sorted(both) == [w for w in want if w[0] % 3 == 0 and w[1] % 3], (unit, len(cut.masks))
+
+
+def test_candidates_are_never_broadcast(spark, tmp_path):
+    """Sides that look small become hundreds of probes or copies a row."""
+    ranked = spark.range(20_000).select(F.col("id").alias("rank"), F.xxhash64("id").alias("phash"))
+    ranked.write.parquet(str(tmp_path / "ranked"))
+    ranked = spark.read.parquet(str(tmp_path / "ranked"))
+    for pairs in (
+        dedup.close_pairs(ranked, None, H.cheapest_cut(10, 20_000, 20_000)),
+        dedup.close_pairs(ranked, ranked, H.cheapest_cut(10, 20_000, 20_000)),
+        dedup.candidates(ranked, ranked, H.cheapest_plan(10, 20_000, 20_000), spread=False),
+    ):
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
