@@ -21,6 +21,9 @@ from spark_curate.operators.kmeans import Model
 # Weights of the two signals.
 SILHOUETTE_WEIGHT, DISPERSION_WEIGHT = 0.7, 0.3
 
+#: Rows that a task of a k-means pass takes at least, while there are cores for more tasks.
+TASK_ROWS = 1024
+
 
 @dataclass(frozen=True)
 class ClusterSettings:
@@ -54,12 +57,19 @@ def check_embeddings(records: DataFrame, embeddings: DataFrame) -> DataFrame:
 
 
 def reduce_dimensions(embeddings: DataFrame, settings: ClusterSettings) -> DataFrame:
-    """(image, features): embeddings projected to max(2, min(dim, n, d)) components."""
+    """(image, features): embeddings projected to max(2, min(dim, n, d)) components.
+
+    Hundreds of passes follow, so the rows are dealt evenly to the cores, however few
+    files or row groups the vectors came in.
+    """
     vectors = embeddings.select("image", array_to_vector(V.doubles(F.col("embedding"))).alias("_v"))
     width = embeddings.select(F.size("embedding")).first()[0]
-    dim = max(2, min(settings.pca_dim, embeddings.count(), width))
+    rows = embeddings.count()
+    dim = max(2, min(settings.pca_dim, rows, width))
     model = PCA(k=dim, inputCol="_v", outputCol="features").fit(vectors)
-    return materialize(model.transform(vectors).select("image", vector_to_array("features").alias("features")))
+    reduced = model.transform(vectors).select("image", vector_to_array("features").alias("features"))
+    cores = embeddings.sparkSession.sparkContext.defaultParallelism
+    return materialize(reduced.repartition(max(1, min(cores, rows // TASK_ROWS)), "image"))
 
 
 def best_kmeans(features: DataFrame, k: int, settings: ClusterSettings) -> Model:

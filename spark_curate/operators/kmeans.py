@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 #: Rows of a batch that meet all centres at once.
 ROWS = 512
+#: Rows of a tile of a pass, so that its table of distances stays in the caches.
+TILE = 128
 #: Sums of tasks are added in so many groups before they reach the driver.
 FAN = 16
 #: Candidates drawn for each cluster of the largest model, and rounds of drawing.
@@ -185,17 +187,25 @@ def one_pass(features: DataFrame, tasks: int, models: Sequence[Model]) -> list[t
     size, dim = centres.shape
     spans = list(zip(edges, edges[1:], strict=False))
 
+    # rows with a one behind them times this: the squared distances less the row's own length
+    lengths = np.einsum("ij,ij->i", centres, centres)
+    table = np.ascontiguousarray(np.concatenate([-2.0 * centres, lengths[:, None]], axis=1).T)
+
     def add(x: np.ndarray, total: np.ndarray) -> None:
-        squares = _squares(x, centres)
-        member = np.zeros((len(x), size))
-        row = np.arange(len(x))
-        costs = total[size * (dim + 1) :]
-        for m, (lo, hi) in enumerate(spans):
-            at = squares[:, lo:hi].argmin(axis=1)
-            member[row, lo + at] = 1.0
-            costs[m] += squares[row, lo + at].sum()
-        total[: size * dim] += (member.T @ x).reshape(-1)
-        total[size * dim : size * (dim + 1)] += member.sum(axis=0)
+        sums, counts, costs = np.split(total, [size * dim, size * (dim + 1)])  # views
+        sums = sums.reshape(size, dim)
+        for k in range(0, len(x), TILE):
+            part = x[k : k + TILE]
+            apart = np.concatenate([part, np.ones((len(part), 1))], axis=1) @ table
+            length = np.einsum("ij,ij->i", part, part)
+            member = np.zeros((len(part), size))
+            row = np.arange(len(part))
+            for m, (lo, hi) in enumerate(spans):
+                at = lo + apart[:, lo:hi].argmin(axis=1)
+                member[row, at] = 1.0
+                costs[m] += np.maximum(apart[row, at] + length, 0.0).sum()
+            sums += member.T @ part
+            counts += member.sum(axis=0)
 
     total = _summed(features, tasks, size * (dim + 1) + len(models), add)
     sums, counts, costs = np.split(total, [size * dim, size * (dim + 1)])

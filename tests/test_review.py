@@ -371,3 +371,16 @@ def test_cluster_review_run(spark, tmp_path):
             records, I.items(spark, folder).where("vec_id > 0"), sample,
             ev.label_accuracy(ev.comparisons(sample)), I.CATEGORIES,
         )
+
+
+def test_reduced_rows_are_dealt_to_the_cores(spark, tmp_path):
+    """Vectors of one file and row group are not one task of every k-means pass."""
+    vectors = spark.range(4 * clustering.TASK_ROWS).coalesce(1).select(
+        F.col("id").cast("string").alias("image"), F.array(*[F.rand(i) for i in range(4)]).alias("embedding")
+    )
+    vectors.write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    features = clustering.reduce_dimensions(one, clustering.ClusterSettings(pca_dim=4))
+    sizes = features.groupBy(F.input_file_name()).count().select("count").collect()
+    assert len(sizes) == 4 and max(r[0] for r in sizes) < 2 * clustering.TASK_ROWS
+    assert features.count() == 4 * clustering.TASK_ROWS
