@@ -101,9 +101,9 @@ def candidates(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool)
 
 
 def near(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
-    """Pairs (a from ``few``, b from ``many``) within the threshold, each once.
+    """Pairs (a from ``few``, b from ``many``) within the threshold, each once, by joins alone.
 
-    Both sides have columns rank and phash. The plan says how many bits each side flips.
+    The removal itself uses :func:`close_pairs`, which makes far fewer rows. Both sides have columns rank and phash. The plan says how many bits each side flips.
     ``spread`` salts crowded bands. A pair counts in its lowest matching band only, and
     there at one meeting value, so no distinct is needed.
     """
