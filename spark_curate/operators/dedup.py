@@ -42,6 +42,15 @@ UNIT_PAIRS, WITHIN = 250_000_000, -1
 TILE = (64, 2048)
 
 
+def by_sort(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is sorted, never broadcast.
+
+    For tables that grow with the input: a file of ranks or pairs takes a few bytes a row,
+    so the planner holds millions of rows for small enough to pass through the driver.
+    """
+    return df.hint("merge")
+
+
 def representatives(hashes: DataFrame, order: str = "image") -> DataFrame:
     """First item in order of every distinct hash, with the number of copies."""
     first = F.min(F.struct(F.col(order).alias("at"), F.col("image")))
@@ -97,7 +106,7 @@ def candidates(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool)
     if spread:
         return salted_join(left, right, keys, "b", hot_keys(_band_counts(many, plan), keys))
     # A table of probes is hundreds of times its rows, which the planner cannot see: never broadcast it.
-    return left.join(right.hint("merge"), keys)
+    return left.join(by_sort(right), keys)
 
 
 def near(few: DataFrame, many: DataFrame, plan: H.BandPlan, spread: bool) -> DataFrame:
@@ -295,13 +304,13 @@ def _settle(edges: DataFrame, tail_edges: int) -> DataFrame:
     left = edges.count()
     while left > tail_edges:
         roots = edges.select("a").distinct().join(
-            edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti"
+            by_sort(edges.select(F.col("b").alias("a")).distinct()), "a", "left_anti"
         )
-        gone = materialize(edges.join(roots, "a", "left_semi").select("b").distinct())
+        gone = materialize(edges.join(by_sort(roots), "a", "left_semi").select("b").distinct())
         removed.append(gone)
         edges = materialize(
-            edges.join(gone, "b", "left_anti").join(
-                gone.select(F.col("b").alias("a")), "a", "left_anti"
+            edges.join(by_sort(gone), "b", "left_anti").join(
+                by_sort(gone.select(F.col("b").alias("a"))), "a", "left_anti"
             ).select("a", "b")
         )
         left = edges.count()
@@ -346,16 +355,16 @@ def greedy(
         pairs = materialize(close_pairs(batch, None, H.cheapest_cut(threshold, taken, taken)).select("a", "b"))
         removed = materialize(_settle(pairs, tail_edges))
         sources = removed.select(F.col("b").alias("a"))
-        inside = pairs.join(sources, "a", "left_anti").join(removed, "b", "left_semi")
+        inside = pairs.join(by_sort(sources), "a", "left_anti").join(by_sort(removed), "b", "left_semi")
         found.append(inside.groupBy("b").agg(F.min("a").alias("keeper")))
         if limit is None:
             return reduce(DataFrame.unionByName, found)
-        kept = materialize(batch.join(removed.select(F.col("b").alias("rank")), "rank", "left_anti"))
+        kept = materialize(batch.join(by_sort(removed.select(F.col("b").alias("rank"))), "rank", "left_anti"))
         rest = todo.where(F.col("rank") > limit)
         across = H.cheapest_cut(threshold, kept.count(), rows - taken)
         struck = materialize(close_pairs(kept, rest, across).groupBy("b").agg(F.min("a").alias("keeper")))
         found.append(struck)
-        todo = materialize(rest.join(struck.select(F.col("b").alias("rank")), "rank", "left_anti"))
+        todo = materialize(rest.join(by_sort(struck.select(F.col("b").alias("rank"))), "rank", "left_anti"))
         size *= GROWTH
 
 
@@ -384,7 +393,7 @@ def find_duplicates(
 
 def survivors(items: DataFrame, dups: DataFrame) -> DataFrame:
     """Items left after removal."""
-    return items.join(dups.select("image"), "image", "left_anti")
+    return items.join(by_sort(dups.select("image")), "image", "left_anti")
 
 
 def dedup_counts(items: DataFrame, dups: DataFrame) -> DataFrame:

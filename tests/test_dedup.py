@@ -210,3 +210,20 @@ def test_candidates_are_never_broadcast(spark, tmp_path):
     ):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
+
+
+def _stored(spark, path, df):
+    df.write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_survivors_never_broadcast_the_removed(spark, tmp_path):
+    name = F.format_string("doc_%012d", "id").alias("image")
+    items = _stored(spark, tmp_path / "items", spark.range(5000).select(name))
+    dups = _stored(spark, tmp_path / "dups", spark.range(0, 5000, 5).select(name, F.lit("k").alias("duplicate_of")))
+    left = dedup.survivors(items, dups)
+    assert "Broadcast" not in _plan(left) and left.count() == 4000
