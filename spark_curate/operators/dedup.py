@@ -381,7 +381,7 @@ def find_duplicates(
     removed = greedy(ranked, threshold, **limits)
     names = ranked.select(F.col("rank").alias("keeper"), F.col("image").alias("_keeper"))
     decided = ranked.join(
-        removed.join(names, "keeper").select(F.col("b").alias("rank"), "_keeper"), "rank", "left"
+        by_sort(removed.join(by_sort(names), "keeper").select(F.col("b").alias("rank"), "_keeper")), "rank", "left"
     ).select("phash", "n", F.coalesce("_keeper", "image").alias("duplicate_of"))
     every = hashes.where(F.col("phash").isNotNull()).select("image", "phash")
     return (

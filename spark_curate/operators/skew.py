@@ -27,16 +27,18 @@ def join_unique(
 
     A side of up to ``SMALL_ROWS`` known ``rows`` is broadcast. Otherwise rows of
     hot keys meet a broadcast of at most ``HOT_KEYS`` rows and stay where they are;
-    only the others are shuffled.
+    only the others are shuffled. A side of more than ``SMALL_ROWS`` is sorted, never
+    broadcast: its file may be small enough for the planner and its rows not for the driver.
     """
     if rows is not None and rows <= SMALL_ROWS:
         return left.join(F.broadcast(right.drop(n)), key)
     right = materialize(right)
-    total = right.agg(F.sum(n)).first()[0] or 0
-    is_hot = F.col(n) * HOT_KEYS > total
+    total, keys = right.agg(F.sum(n), F.count("*")).first()
+    is_hot = F.col(n) * HOT_KEYS > (total or 0)
     hot = F.broadcast(right.where(is_hot).drop(n))
     cold = left.join(F.broadcast(right.where(is_hot).select(key)), key, "left_anti")
-    return left.join(hot, key).unionByName(cold.join(right.where(~is_hot).drop(n), key))
+    others = right.where(~is_hot).drop(n)
+    return left.join(hot, key).unionByName(cold.join(others.hint("merge") if keys > SMALL_ROWS else others, key))
 
 
 def salted_join(

@@ -227,3 +227,14 @@ def test_survivors_never_broadcast_the_removed(spark, tmp_path):
     dups = _stored(spark, tmp_path / "dups", spark.range(0, 5000, 5).select(name, F.lit("k").alias("duplicate_of")))
     left = dedup.survivors(items, dups)
     assert "Broadcast" not in _plan(left) and left.count() == 4000
+
+
+def test_removal_never_broadcasts_what_grows(spark, monkeypatch):
+    """Only hot hashes and one row per sort partition are shipped."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+    rows = crowd(11, 150, 4, 8)
+    dups = dedup.find_duplicates(spark.createDataFrame(rows, SCHEMA), 10)
+    plan = _plan(dups)
+    assert "BroadcastHashJoin [keeper" not in plan and "BroadcastHashJoin [rank" not in plan
+    assert "SortMergeJoin [phash" in plan
+    assert {tuple(r) for r in dups.collect()} == set(sequential(rows, 10).items())
