@@ -417,7 +417,7 @@ def duplicate_groups(dups: DataFrame, piece_rows: int = 10_000) -> DataFrame:
         "duplicate_of", F.ceil(F.col("n") / piece_rows).cast("bigint").alias("_pieces")
     )
     spread = F.pmod(F.conv(F.substring(F.md5("image"), 1, 8), 16, 10).cast("bigint"), F.col("_pieces"))
-    placed = dups.join(big, "duplicate_of", "left").withColumn(
+    placed = dups.join(by_sort(big), "duplicate_of", "left").withColumn(
         "piece", F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(spread)
     )
     return placed.groupBy("duplicate_of", "piece").agg(

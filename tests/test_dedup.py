@@ -238,3 +238,11 @@ def test_removal_never_broadcasts_what_grows(spark, monkeypatch):
     assert "BroadcastHashJoin [keeper" not in plan and "BroadcastHashJoin [rank" not in plan
     assert "SortMergeJoin [phash" in plan
     assert {tuple(r) for r in dups.collect()} == set(sequential(rows, 10).items())
+
+
+def test_sizes_of_groups_are_never_broadcast(spark, tmp_path):
+    rows = spark.range(3000).select(F.format_string("x%06d", "id").alias("image"), (F.col("id") % 500).cast("string").alias("duplicate_of"))
+    groups = dedup.duplicate_groups(_stored(spark, tmp_path / "dups", rows), piece_rows=2)
+    plan = _plan(groups)
+    assert "SortMergeJoin [duplicate_of" in plan and "BroadcastHashJoin" not in plan
+    assert groups.select(F.explode("removed")).distinct().count() == 3000
