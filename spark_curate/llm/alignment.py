@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import os
 import re
 from bisect import bisect_left
@@ -13,7 +12,6 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +21,7 @@ from tokenizers import Tokenizer
 
 from spark_curate.functions.session import materialize
 from spark_curate.llm.bpe import byte_letters
-from spark_curate.llm.packing import PLAIN
+from spark_curate.llm.packing import PLAIN, by_rank
 
 #: Every so manieth end is sought by itself; those between start from its place.
 STRIDE = 64
@@ -33,8 +31,6 @@ BLOCK_PAIRS = 2_000_000
 MARK = "▁"
 #: A piece that stands for a byte (a fixed form of the vocabulary).
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-#: The word pattern of the byte-level vocabulary (a fixed value of its pre-tokenizer).
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Tokens whose bytes are compared with the text at once.
 SPELLED = 1 << 20
 
@@ -80,12 +76,7 @@ class ByteLevel(Spelling):
             tokens[i] = special[i].encode() if i in special else bytes(byte[c] for c in piece)
         super().__init__(tokens)
         # ids in the order of the merges are ranks: the same tokens by a quicker library
-        self.ranked = None
-        model = json.loads(self.tokenizer.to_str())["model"]
-        made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-        if made == sorted(set(made)):
-            ranks = {t: i for i, t in enumerate(tokens) if i not in special}
-            self.ranked = tiktoken.Encoding("ranks", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranked = by_rank(self.tokenizer)
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of one text; those of rare characters by the vocabulary's own library."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -10,24 +11,25 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spark_curate.functions.session import materialize
+from spark_curate.llm.bpe import byte_letters
 from spark_curate.llm.common import map_texts
 
 #: Pieces packed together by a task; more pieces make more groups of this size.
 GROUP_PIECES = 100_000
 NEVER = 1 << 60
-#: Words kept by a worker; a full cache starts afresh, so memory is bounded.
-CACHE_WORDS = 600_000
-#: Characters of text whose words are looked up together.
-AT_ONCE = 1_000_000
-#: Texts of these characters are cut into words here, others by the library itself.
+#: The word pattern of the byte-level vocabulary (a fixed value of its pre-tokenizer).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters the quick library takes at once: a million blanks in a row are beyond its stack.
+LONG = 500_000
+#: Texts of these characters are encoded by the quick library, others by the tokenizer itself.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]*\Z")
-#: The word pattern of the byte-level vocabulary (a fixed value of its pre-tokenizer),
-#: with its letter and digit properties spelled out for plain characters.
+#: The word pattern with its letter and digit properties spelled out for plain characters.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 DIGITS = "0-9²³¹¼-¾"
 WORDS = re.compile(
@@ -35,12 +37,24 @@ WORDS = re.compile(
 )
 
 
-class Ids:
-    """Texts to the little-endian 32-bit ids of their tokens, by the tokenizer itself.
+def by_rank(tokenizer: Tokenizer) -> tiktoken.Encoding | None:
+    """A byte-level vocabulary by a quicker library, which merges by rank.
 
-    The words of the tokenizer's own splitting are encoded apart and kept, so that a
-    word costs one look-up from its second use on.
+    None if its ids are not in the order of its merges: only then are ids ranks, and the
+    tokens of both libraries the same. Strings of special tokens are plain text to it.
     """
+    model = json.loads(tokenizer.to_str())["model"]
+    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if made != sorted(set(made)):
+        return None
+    byte = {letter: b for b, letter in enumerate(byte_letters())}
+    special = tokenizer.get_added_tokens_decoder()
+    ranks = {bytes(byte[c] for c in t): i for t, i in tokenizer.get_vocab().items() if i not in special}
+    return tiktoken.Encoding("ranks", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class Ids:
+    """Texts to the little-endian 32-bit ids of their tokens, as the tokenizer gives them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark fills the cores
@@ -48,7 +62,7 @@ class Ids:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.ranked = by_rank(self.tokenizer)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -56,33 +70,17 @@ class Ids:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of every text."""
-        rows: list[bytes] = []
-        begin = 0
-        while begin < len(texts):
-            end, size = begin, 0
-            while end < len(texts) and (end == begin or size + len(texts[end]) <= AT_ONCE):
-                size += len(texts[end])
-                end += 1
-            rows += self._of(texts[begin:end])
-            begin = end
-        return rows
-
-    def _of(self, texts: list[str]) -> list[bytes]:
-        found = [
-            WORDS.findall(t) if PLAIN.match(t) and not any(s in t for s in self.special) else None
-            for t in texts
-        ]
-        seen = set().union(*(f for f in found if f))
-        new = [w for w in seen if w not in self.known]
-        if new and len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(seen)
-        self.known.update(zip(new, self.whole(new), strict=True))
-        of = self.known.__getitem__
-        return [
-            self.whole([t])[0] if f is None else b"".join(map(of, f))
-            for t, f in zip(texts, found, strict=True)
-        ]
+        return [self._of(t) for t in texts]
+
+    def _of(self, text: str) -> bytes:
+        if not self.ranked or not PLAIN.match(text) or any(s in text for s in self.special):
+            return self.whole([text])[0]
+        if len(text) <= LONG:
+            return self._quick(text)
+        return b"".join(self._quick(w) if len(w) <= LONG else self.whole([w])[0] for w in WORDS.findall(text))
+
+    def _quick(self, text: str) -> bytes:
+        return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
 
 
 @cache

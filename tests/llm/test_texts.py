@@ -343,6 +343,19 @@ def test_cached_ids_as_the_library(texts):
     assert ids.of(texts) == ids.whole(texts)
 
 
+def test_plain_texts_need_no_tokenizer(monkeypatch):
+    """New words cost no call of the tokenizer, and long runs of blanks are right."""
+    ids = packing.Ids(BYTE_BPE)
+    texts = [prose(k, 200) + " naïve\n\n  ça's 1²3 " for k in range(30)]
+    want = ids.whole(texts)
+    long_ones = [" " * 1_200_000 + "a", "ab é " * 120_000]
+    want_long = ids.whole(long_ones)
+    assert ids.of(long_ones) == want_long
+    ids = packing.Ids(BYTE_BPE)
+    monkeypatch.setattr(ids, "tokenizer", None)
+    assert ids.of(texts) == want
+
+
 def test_long_words_are_linear():
     """A word of a million letters is proposed, tested and merged like any other."""
     import time
