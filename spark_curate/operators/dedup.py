@@ -249,8 +249,8 @@ def near_pairs(hashes: DataFrame, threshold: int = 10, order: str = "image") ->
     rows = ranked.count()
     pairs = materialize(close_pairs(ranked, None, H.cheapest_cut(threshold, rows, rows)))
     return (
-        pairs.join(ranked.select(F.col("rank").alias("a"), F.col("image").alias("image_a")), "a")
-        .join(ranked.select(F.col("rank").alias("b"), F.col("image").alias("image_b")), "b")
+        pairs.join(by_sort(ranked.select(F.col("rank").alias("a"), F.col("image").alias("image_a"))), "a")
+        .join(by_sort(ranked.select(F.col("rank").alias("b"), F.col("image").alias("image_b"))), "b")
         .select("image_a", "image_b", "distance")
     )
 

@@ -246,3 +246,9 @@ def test_sizes_of_groups_are_never_broadcast(spark, tmp_path):
     plan = _plan(groups)
     assert "SortMergeJoin [duplicate_of" in plan and "BroadcastHashJoin" not in plan
     assert groups.select(F.explode("removed")).distinct().count() == 3000
+
+
+def test_pairs_and_names_meet_by_sort(spark):
+    plan = _plan(dedup.near_pairs(spark.createDataFrame(crowd(11, 150, 4, 8), SCHEMA), 10))
+    for side in "ab":
+        assert f"SortMergeJoin [{side}#" in plan and f"BroadcastHashJoin [{side}#" not in plan
