@@ -1,9 +1,13 @@
 """k-means of many models at once: every pass over the rows serves all of them.
 
 A search over cluster counts and restarts is hundreds of models. Fitted one after another
-each needs its own chain of passes; here the centres of all models stand side by side in
-one matrix, a batch of rows meets them in one matrix product, and a task leaves one row
-of sums per model. Models whose centres rest leave the passes.
+each needs its own chain of passes; here a tile of rows meets the centres of all models in
+matrix products, and a task leaves one row of sums per model. Models whose centres rest
+leave the passes.
+
+Nearest centres are found in single precision and settled in double precision where that
+leaves a doubt. The places of one pass are kept with the rows, so later passes only move
+those rows between the sums that have changed their place since.
 """
 
 from __future__ import annotations
@@ -20,8 +24,14 @@ from pyspark.sql import types as T
 
 #: Rows of a batch that meet all centres at once.
 ROWS = 512
-#: Rows of a tile of a pass, so that its table of distances stays in the caches.
-TILE = 128
+#: Rows of a tile of a pass, so that its tables of distances stay in the caches.
+TILE = 512
+#: Rows whose changes of place are added to the sums at once.
+CHUNK = 4096
+#: Places are kept anew once so many times all of them were moved between sums.
+RENEW = 0.4
+#: Numbers that settling doubtful rows holds at once.
+SETTLED = 1 << 20
 #: Sums of tasks are added in so many groups before they reach the driver.
 FAN = 16
 #: Candidates drawn for each cluster of the largest model, and rounds of drawing.
@@ -63,16 +73,103 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(found, 0.0, out=found)
 
 
+class Places:
+    """The nearest centre in each of several models, for rows (ties: the first).
+
+    One product gives the distances to the j-th centres of all models, in single precision
+    about the centres' mean. The lowest bits of a distance give way to j, so plain minima
+    leave each model's nearest centre and the distance of the next. Where these two differ by no
+    more than the rounding can, the distances are taken again in double precision, by a
+    rule that does not hang on the rows around: a row has one place wherever it is met.
+    """
+
+    def __init__(self, centres: Sequence[np.ndarray]) -> None:
+        self.order = sorted(range(len(centres)), key=lambda m: -len(centres[m]))
+        self.centres = [centres[m] for m in self.order]
+        sizes = np.array([len(c) for c in self.centres])
+        self.kind = np.min_scalar_type(sizes[0] - 1)
+        self.bits = int(sizes[0] - 1).bit_length()
+        self.middle = np.concatenate(centres).mean(axis=0)
+        self.reach = max(np.sqrt(((c - self.middle) ** 2).sum(axis=1).max()) for c in self.centres)
+        self.layers = []
+        for j in range(sizes[0]):
+            layer = np.array([c[j] for c in self.centres[: (sizes > j).sum()]]) - self.middle
+            lengths = np.einsum("ij,ij->i", layer, layer)
+            wide = np.concatenate([-2.0 * layer, lengths[:, None], np.ones((len(layer), 1))], axis=1)
+            self.layers.append(wide.astype(np.float32))
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """One line of places for each model."""
+        found = np.empty((len(self.centres), len(x)), self.kind)
+        doubtful = np.empty(found.shape, bool)
+        with np.errstate(all="ignore"):  # what single precision cannot hold is doubtful
+            for k in range(0, len(x), TILE):
+                found[:, k : k + TILE], doubtful[:, k : k + TILE] = self._tile(x[k : k + TILE] - self.middle)
+        for place, centres, unsure in zip(found, self.centres, doubtful, strict=True):
+            which, step = np.flatnonzero(unsure), max(1, SETTLED // centres.size)
+            for k in range(0, len(which), step):
+                some = which[k : k + step]
+                place[some] = ((x[some][:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        placed = np.empty_like(found)
+        placed[self.order] = found
+        return placed
+
+    def _tile(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and where they are doubtful."""
+        length = np.einsum("ij,ij->i", x, x)
+        # no distance is wrong by more; added to all of a row, so that none is below zero
+        slack = (x.shape[1] + 10) * 2.0**-23 * (np.sqrt(length) + self.reach) ** 2
+        wide = np.concatenate([x, np.ones((len(x), 1)), (length + slack)[:, None]], axis=1)
+        wide = np.ascontiguousarray(wide.T, np.float32)
+        shape = len(self.centres), len(x)
+        least, following = (np.full(shape, np.iinfo(np.int32).max, np.int32) for _ in range(2))
+        apart, larger = np.empty(shape, np.float32), np.empty(shape, np.int32)
+        low = (1 << self.bits) - 1
+        for j, layer in enumerate(self.layers):
+            m = len(layer)
+            value = np.matmul(layer, wide, out=apart[:m]).view(np.int32)  # ordered like the distances
+            value &= ~low
+            value |= j
+            np.maximum(least[:m], value, out=larger[:m])
+            np.minimum(following[:m], larger[:m], out=following[:m])
+            np.minimum(least[:m], value, out=least[:m])
+        found = least & low
+        least, following = ((v & ~low).view(np.float32) for v in (least, following))
+        return found, ~(following - least > 2.0 * slack + following * 2.0 ** (self.bits - 23))
+
+
+def _kept(column: pa.Array, kind: np.dtype) -> np.ndarray:
+    """Places as they were kept, one row for each row."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def placed(features: DataFrame, centres: Sequence[np.ndarray]) -> DataFrame:
+    """(features, places): the rows and their nearest centre in every model."""
+    places = Places(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            if len(column):
+                at = np.ascontiguousarray(places(_matrix(column, len(column[0]))).T)
+                cells = pa.array([line.tobytes() for line in at], pa.binary())
+                yield pa.RecordBatch.from_arrays([column, cells], names=["features", "places"])
+
+    return features.select("features").mapInArrow(run, "features array<double>, places binary")
+
+
 def task_count(features: DataFrame) -> int:
     """Tasks that a pass over the rows takes, as planned now."""
     return features.rdd.getNumPartitions()
 
 
 def _summed(
-    features: DataFrame, tasks: int, width: int, add: Callable[[np.ndarray, np.ndarray], None]
+    features: DataFrame, tasks: int, width: int, add: Callable[..., None], step: int = ROWS, kind: np.dtype | None = None
 ) -> np.ndarray:
     """A vector of ``width`` sums over all rows; ``add`` puts those of some rows into it.
 
+    With ``kind``, that of kept places, ``add`` gets the rows, their places and the vector.
+
     Each task leaves one vector. With many tasks they are added in ``FAN`` groups by tasks
     of their own, so the driver holds ``FAN`` vectors whatever the table.
     """
@@ -84,25 +181,27 @@ def _summed(
             if not len(column):
                 continue
             seen = True
-            x = _matrix(column, len(column[0]))
-            for k in range(0, len(x), ROWS):
-                add(x[k : k + ROWS], total)
+            given = [_matrix(column, len(column[0]))]
+            if kind is not None:
+                given.append(_kept(batch.column(1), kind))
+            for k in range(0, len(column), step):
+                add(*(part[k : k + step] for part in given), total)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     def together(table: pa.Table) -> pa.Table:
         total = np.zeros(width)
         for cell in table["sums"]:
-            total += np.frombuffer(cell.as_py())
+            total += np.frombuffer(cell.as_buffer())
         return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
 
-    partial = features.select("features").mapInArrow(run, "sums binary")
+    partial = features.select("features", *(["places"] if kind is not None else [])).mapInArrow(run, "sums binary")
     if tasks > FAN:
         grouped = partial.withColumn("_to", F.spark_partition_id() % FAN).groupBy("_to")
         partial = grouped.applyInArrow(lambda t: together(t.select(["sums"])), "sums binary")
     total = np.zeros(width)
-    for row in partial.collect():  # at most FAN rows, of a size that the models set
-        total += np.frombuffer(row["sums"])
+    for cell in partial.toArrow()["sums"]:  # at most FAN rows, of a size that the models set
+        total += np.frombuffer(cell.as_buffer())
     return total
 
 
@@ -180,37 +279,66 @@ def _edges(models: Sequence[Model]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([len(m.centres) for m in models])])
 
 
-def one_pass(features: DataFrame, tasks: int, models: Sequence[Model]) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """For each model the vector sums and row counts of its clusters, and its cost."""
+@dataclass
+class Kept:
+    """Rows with their places in some models, and what the models' clusters held by those places."""
+
+    rows: DataFrame
+    kind: np.dtype
+    column: dict[int, int]
+    sums: dict[int, np.ndarray]
+
+
+def one_pass(
+    features: DataFrame, tasks: int, centres: dict[int, np.ndarray], kept: Kept | None
+) -> tuple[dict[int, np.ndarray], float]:
+    """By model, the vector sum of each cluster with its row count behind; the share of places moved.
+
+    From kept places only the rows that have left theirs are added and taken away.
+    """
+    places = Places(list(centres.values()))
+    edges = np.concatenate([[0], np.cumsum([len(c) for c in centres.values()])])
+    spans = list(zip(edges, edges[1:], strict=False))
+    columns = [kept.column[m] for m in centres] if kept else []
+    size, dim = edges[-1], next(iter(centres.values())).shape[1]
+
+    def add(x: np.ndarray, *given: np.ndarray) -> None:
+        *before, total = given
+        sums = total[:-2].reshape(size, dim + 1)  # a view
+        wide = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        moved = 0
+        old = np.ascontiguousarray(before[0][:, columns].T) if before else None
+        for m, (at, (lo, hi)) in enumerate(zip(places(x), spans, strict=True)):
+            which = np.flatnonzero(at != old[m]) if before else np.arange(len(x))
+            if len(which):
+                member, row = np.zeros((hi - lo, len(which))), np.arange(len(which))
+                member[at[which], row] = 1.0
+                if before:
+                    member[old[m, which], row] = -1.0
+                sums[lo:hi] += member @ wide[which]
+                moved += len(which)
+        total[-2:] += moved, len(x) * len(spans)
+
+    rows, kind = (kept.rows, kept.kind) if kept else (features, None)
+    total = _summed(rows, tasks, size * (dim + 1) + 2, add, CHUNK, kind)
+    sums = total[:-2].reshape(size, dim + 1)
+    found = {m: sums[lo:hi] + (kept.sums[m] if kept else 0.0) for m, (lo, hi) in zip(centres, spans, strict=True)}
+    return found, float(total[-2] / max(total[-1], 1.0))
+
+
+def costs(features: DataFrame, tasks: int, models: Sequence[Model]) -> list[tuple[np.ndarray, float]]:
+    """For each model the row counts of its clusters, and the sum of squared distances."""
+    places = Places([m.centres for m in models])
     edges = _edges(models)
-    centres = np.concatenate([m.centres for m in models])
-    size, dim = centres.shape
     spans = list(zip(edges, edges[1:], strict=False))
 
-    # rows with a one behind them times this: the squared distances less the row's own length
-    lengths = np.einsum("ij,ij->i", centres, centres)
-    table = np.ascontiguousarray(np.concatenate([-2.0 * centres, lengths[:, None]], axis=1).T)
-
     def add(x: np.ndarray, total: np.ndarray) -> None:
-        sums, counts, costs = np.split(total, [size * dim, size * (dim + 1)])  # views
-        sums = sums.reshape(size, dim)
-        for k in range(0, len(x), TILE):
-            part = x[k : k + TILE]
-            apart = np.concatenate([part, np.ones((len(part), 1))], axis=1) @ table
-            length = np.einsum("ij,ij->i", part, part)
-            member = np.zeros((len(part), size))
-            row = np.arange(len(part))
-            for m, (lo, hi) in enumerate(spans):
-                at = lo + apart[:, lo:hi].argmin(axis=1)
-                member[row, at] = 1.0
-                costs[m] += np.maximum(apart[row, at] + length, 0.0).sum()
-            sums += member.T @ part
-            counts += member.sum(axis=0)
-
-    total = _summed(features, tasks, size * (dim + 1) + len(models), add)
-    sums, counts, costs = np.split(total, [size * dim, size * (dim + 1)])
-    sums = sums.reshape(size, dim)
-    return [(sums[lo:hi], counts[lo:hi], float(c)) for (lo, hi), c in zip(spans, costs, strict=True)]
+        for m, (at, (lo, hi)) in enumerate(zip(places(x), spans, strict=True)):
+            total[lo:hi] += np.bincount(at, minlength=hi - lo)
+            total[edges[-1] + m] += ((x - models[m].centres[at]) ** 2).sum()
+
+    total = _summed(features, tasks, edges[-1] + len(models), add)
+    return [(total[lo:hi], float(c)) for (lo, hi), c in zip(spans, total[edges[-1] :], strict=True)]
 
 
 def fit_all(
@@ -219,26 +347,43 @@ def fit_all(
     """Lloyd's rule for every k and restart, all in the same passes over (image, features).
 
     A cluster that no row is nearest to keeps its centre. The number of passes is that of
-    the slowest model; a pass costs as many products as centres still move.
+    the slowest model; a pass costs as many products as its models have centres. Places
+    are cached beside the rows and follow from one set of centres, so a lost part of the cache
+    costs a pass over that part.
     """
     tasks = task_count(features)
     points, weights = candidates(features, tasks, OVERSAMPLING * max(ks), seed)
     models = [
         Model(k, r, seeded(points, weights, k, np.random.default_rng([seed, k, r]))) for k in ks for r in range(restarts)
     ]
-    moving = models
-    for number in range(1, max_iter + 1):
-        still = []
-        for model, (sums, counts, _) in zip(moving, one_pass(features, tasks, moving), strict=True):
-            moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], model.centres)
-            step = np.sqrt(((moved - model.centres) ** 2).sum(axis=1).max())
-            model.centres, model.iterations = moved, number
-            if step > tolerance:
-                still.append(model)
-        moving = still
-        if not moving:
-            break
-    for model, (_, counts, cost) in zip(models, one_pass(features, tasks, models), strict=True):
+    centres = {m: model.centres for m, model in enumerate(models)}  # those of moving models
+    kept, spent = None, 0.0
+    try:
+        for number in range(1, max_iter + 1):
+            found, share = one_pass(features, tasks, centres, kept)
+            spent += share
+            still = {}
+            for m, sums in found.items():
+                counts, model = sums[:, -1:], models[m]
+                moved = np.where(counts > 0, sums[:, :-1] / np.maximum(counts, 1), model.centres)
+                step = np.sqrt(((moved - model.centres) ** 2).sum(axis=1).max())
+                model.centres, model.iterations = moved, number
+                if step > tolerance:
+                    still[m] = moved
+            if not still:
+                break
+            if spent > RENEW:
+                if kept:
+                    kept.rows.unpersist()
+                before = [centres[m] for m in still]
+                rows = placed(features, before).persist()
+                kept = Kept(rows, Places(before).kind, {m: i for i, m in enumerate(still)}, {m: found[m] for m in still})
+                spent = 0.0
+            centres = still
+    finally:
+        if kept:
+            kept.rows.unpersist()
+    for model, (counts, cost) in zip(models, costs(features, tasks, models), strict=True):
         model.counts, model.cost = counts, cost
     return models
 

@@ -384,3 +384,38 @@ def test_reduced_rows_are_dealt_to_the_cores(spark, tmp_path):
     sizes = features.groupBy(F.input_file_name()).count().select("count").collect()
     assert len(sizes) == 4 and max(r[0] for r in sizes) < 2 * clustering.TASK_ROWS
     assert features.count() == 4 * clustering.TASK_ROWS
+
+
+def test_places_are_those_of_double_precision():
+    """Single precision decides nothing it cannot: ties, near ties, far offsets, huge and equal rows."""
+    rng = np.random.default_rng(3)
+    x = unit_rows(31, 700, 6)
+    grid = np.array(np.meshgrid(*[np.arange(4.0)] * 3)).reshape(3, -1).T
+    line = np.concatenate([np.zeros(40), 1.0 + np.arange(40) * 1e-13])[:, None]
+    for rows in (x, x * 1e-6 + 1e4, x * 1e25, grid, grid + 1e8, line, np.ones((9, 2))):
+        models = [rows[rng.integers(len(rows), size=k)] for k in (1, 2, 5, 5, 70)]
+        models[2][:] = models[2].mean(axis=0)  # all centres equal: the first
+        found = kmeans.Places(models)(rows)
+        for at, centres in zip(found, models):
+            assert (at == ((rows[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)).all()
+
+
+def test_sums_from_kept_places(spark):
+    """Rows that moved since their places were kept are found, and nothing else is added."""
+    x = unit_rows(33, 300, 5)
+    df = spark.createDataFrame([(f"{i}", v.tolist()) for i, v in enumerate(x)], "image string, features array<double>").repartition(3)
+    before = {0: x[:4], 2: x[10:17], 5: x[20:22]}
+    found, share = kmeans.one_pass(df, 3, before, None)
+    assert share == 1.0
+    rows = kmeans.placed(df, list(before.values()))
+    kept = kmeans.Kept(rows, np.dtype("uint8"), {m: i for i, m in enumerate(before)}, found)
+    after = {5: before[5] + 0.05, 2: before[2][::-1].copy()}  # model 0 rests; all rows of model 2 move
+    again, share = kmeans.one_pass(df, 3, after, kept)
+    plain, _ = kmeans.one_pass(df, 3, after, None)
+    assert list(again) == [5, 2] and 0.0 < share < 1.0
+    for m, centres in after.items():
+        at = ((x[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        want = np.array([[*x[at == c].sum(axis=0), (at == c).sum()] for c in range(len(centres))])
+        assert np.allclose(again[m], want) and np.allclose(plain[m], want)
+    moved = np.mean([(((x[:, None] - before[m]) ** 2).sum(axis=2).argmin(axis=1) != ((x[:, None] - after[m]) ** 2).sum(axis=2).argmin(axis=1)) for m in after])
+    assert share == pytest.approx(moved)
