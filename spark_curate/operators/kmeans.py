@@ -13,10 +13,12 @@ those rows between the sums that have changed their place since.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +86,7 @@ class Places:
     """
 
     def __init__(self, centres: Sequence[np.ndarray]) -> None:
+        self.given = list(centres)
         self.order = sorted(range(len(centres)), key=lambda m: -len(centres[m]))
         self.centres = [centres[m] for m in self.order]
         sizes = np.array([len(c) for c in self.centres])
@@ -143,15 +146,28 @@ def _kept(column: pa.Array, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def placed(features: DataFrame, centres: Sequence[np.ndarray]) -> DataFrame:
+def _send(features: DataFrame, centres: Sequence[np.ndarray]) -> Broadcast:
+    return features.sparkSession.sparkContext.broadcast(Places(centres))
+
+
+@contextmanager
+def _sent(features: DataFrame, centres: Sequence[np.ndarray]) -> Iterator[Broadcast]:
+    """Places for the tasks of one pass. Hundreds of passes follow, so no node keeps them after it."""
+    places = _send(features, centres)
+    try:
+        yield places
+    finally:
+        places.destroy()
+
+
+def placed(features: DataFrame, places: Broadcast) -> DataFrame:
     """(features, places): the rows and their nearest centre in every model."""
-    places = Places(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0)
             if len(column):
-                at = np.ascontiguousarray(places(_matrix(column, len(column[0]))).T)
+                at = np.ascontiguousarray(places.value(_matrix(column, len(column[0]))).T)
                 cells = pa.array([line.tobytes() for line in at], pa.binary())
                 yield pa.RecordBatch.from_arrays([column, cells], names=["features", "places"])
 
@@ -287,6 +303,12 @@ class Kept:
     kind: np.dtype
     column: dict[int, int]
     sums: dict[int, np.ndarray]
+    places: Broadcast | None = None
+
+    def drop(self) -> None:
+        self.rows.unpersist()
+        if self.places:
+            self.places.destroy()
 
 
 def one_pass(
@@ -296,7 +318,6 @@ def one_pass(
 
     From kept places only the rows that have left theirs are added and taken away.
     """
-    places = Places(list(centres.values()))
     edges = np.concatenate([[0], np.cumsum([len(c) for c in centres.values()])])
     spans = list(zip(edges, edges[1:], strict=False))
     columns = [kept.column[m] for m in centres] if kept else []
@@ -308,7 +329,7 @@ def one_pass(
         wide = np.concatenate([x, np.ones((len(x), 1))], axis=1)
         moved = 0
         old = np.ascontiguousarray(before[0][:, columns].T) if before else None
-        for m, (at, (lo, hi)) in enumerate(zip(places(x), spans, strict=True)):
+        for m, (at, (lo, hi)) in enumerate(zip(places.value(x), spans, strict=True)):
             which = np.flatnonzero(at != old[m]) if before else np.arange(len(x))
             if len(which):
                 member, row = np.zeros((hi - lo, len(which))), np.arange(len(which))
@@ -320,7 +341,8 @@ def one_pass(
         total[-2:] += moved, len(x) * len(spans)
 
     rows, kind = (kept.rows, kept.kind) if kept else (features, None)
-    total = _summed(rows, tasks, size * (dim + 1) + 2, add, CHUNK, kind)
+    with _sent(features, list(centres.values())) as places:
+        total = _summed(rows, tasks, size * (dim + 1) + 2, add, CHUNK, kind)
     sums = total[:-2].reshape(size, dim + 1)
     found = {m: sums[lo:hi] + (kept.sums[m] if kept else 0.0) for m, (lo, hi) in zip(centres, spans, strict=True)}
     return found, float(total[-2] / max(total[-1], 1.0))
@@ -328,16 +350,16 @@ def one_pass(
 
 def costs(features: DataFrame, tasks: int, models: Sequence[Model]) -> list[tuple[np.ndarray, float]]:
     """For each model the row counts of its clusters, and the sum of squared distances."""
-    places = Places([m.centres for m in models])
-    edges = _edges(models)
+    edges, own = _edges(models), [m.centres for m in models]
     spans = list(zip(edges, edges[1:], strict=False))
 
     def add(x: np.ndarray, total: np.ndarray) -> None:
-        for m, (at, (lo, hi)) in enumerate(zip(places(x), spans, strict=True)):
+        for m, (at, (lo, hi)) in enumerate(zip(places.value(x), spans, strict=True)):
             total[lo:hi] += np.bincount(at, minlength=hi - lo)
-            total[edges[-1] + m] += ((x - models[m].centres[at]) ** 2).sum()
+            total[edges[-1] + m] += ((x - places.value.given[m][at]) ** 2).sum()
 
-    total = _summed(features, tasks, edges[-1] + len(models), add)
+    with _sent(features, own) as places:
+        total = _summed(features, tasks, edges[-1] + len(models), add)
     return [(total[lo:hi], float(c)) for (lo, hi), c in zip(spans, total[edges[-1] :], strict=True)]
 
 
@@ -374,15 +396,16 @@ def fit_all(
                 break
             if spent > RENEW:
                 if kept:
-                    kept.rows.unpersist()
-                before = [centres[m] for m in still]
-                rows = placed(features, before).persist()
-                kept = Kept(rows, Places(before).kind, {m: i for i, m in enumerate(still)}, {m: found[m] for m in still})
+                    kept.drop()
+                places = _send(features, [centres[m] for m in still])
+                rows = placed(features, places).persist()
+                column = {m: i for i, m in enumerate(still)}
+                kept = Kept(rows, places.value.kind, column, {m: found[m] for m in still}, places)
                 spent = 0.0
             centres = still
     finally:
         if kept:
-            kept.rows.unpersist()
+            kept.drop()
     for model, (counts, cost) in zip(models, costs(features, tasks, models), strict=True):
         model.counts, model.cost = counts, cost
     return models

@@ -1,5 +1,6 @@
 """Votes, consensus, gate, risk and concentration against plain rules."""
 
+import os
 import random
 from collections import Counter
 
@@ -407,7 +408,7 @@ def test_sums_from_kept_places(spark):
     before = {0: x[:4], 2: x[10:17], 5: x[20:22]}
     found, share = kmeans.one_pass(df, 3, before, None)
     assert share == 1.0
-    rows = kmeans.placed(df, list(before.values()))
+    rows = kmeans.placed(df, spark.sparkContext.broadcast(kmeans.Places(list(before.values()))))
     kept = kmeans.Kept(rows, np.dtype("uint8"), {m: i for i, m in enumerate(before)}, found)
     after = {5: before[5] + 0.05, 2: before[2][::-1].copy()}  # model 0 rests; all rows of model 2 move
     again, share = kmeans.one_pass(df, 3, after, kept)
@@ -419,3 +420,16 @@ def test_sums_from_kept_places(spark):
         assert np.allclose(again[m], want) and np.allclose(plain[m], want)
     moved = np.mean([(((x[:, None] - before[m]) ** 2).sum(axis=2).argmin(axis=1) != ((x[:, None] - after[m]) ** 2).sum(axis=2).argmin(axis=1)) for m in after])
     assert share == pytest.approx(moved)
+
+
+def test_passes_leave_nothing_behind(spark):
+    """Centres sent for a pass are dropped after it, on the driver and on disk, as are kept places."""
+    x = unit_rows(35, 200, 64)
+    df = spark.createDataFrame([(f"{i}", v.tolist()) for i, v in enumerate(x)], "image string, features array<double>").coalesce(2).cache()
+    df.count()
+    sent = lambda: {f for _, _, files in os.walk(spark.sparkContext._temp_dir) for f in files}
+    cached = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keys())
+    before = sent(), cached()
+    fits = kmeans.fit_all(df, [100], 20, 3, 1)  # more than the megabyte from which Spark sends a closure by broadcast
+    assert len(fits) == 20 and (sent() - before[0], cached() - before[1]) == (set(), set())
+    df.unpersist()
